@@ -77,11 +77,11 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
     ).fit(weighted)
 
 
-def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 200) -> LinearSVCModel:
+def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 200, tol: float = 1e-3) -> LinearSVCModel:
     """Linear support vector machine with balanced classes; its raw score ranks, it gives no probability."""
     weighted = with_class_weights(train)
     return LinearSVC(
-        weightCol="weight", regParam=1.0 / (c * train.count()), standardization=False, maxIter=max_iter
+        weightCol="weight", regParam=1.0 / (c * train.count()), standardization=False, maxIter=max_iter, tol=tol
     ).fit(weighted)
 
 
@@ -154,7 +154,7 @@ def cross_validate(scaled: DataFrame, folds: int = 5, key: str = "id") -> DataFr
 
 def out_of_fold(scaled: DataFrame, folds: int = 5, key: str = "id", max_iter: int = 1000) -> DataFrame:
     """Prediction for every row from the model that did not see its fold."""
-    numbered = fold_ids(scaled, key=key, folds=folds).persist()
+    numbered = fold_ids(scaled, key=key, folds=folds)  # a stored table from here on
     parts = []
     for fold in range(folds):
         model = fit_logistic(numbered.filter(F.col("fold") != fold), max_iter=max_iter)
@@ -210,13 +210,14 @@ def _class_index(label: str) -> Column:
 
 
 def fit_text_classifier(
-    train: DataFrame, label: str, min_df: int = 2, max_iter: int = 1000, vocabulary_limit: int = 1 << 22
+    train: DataFrame, label: str, min_df: int = 2, max_iter: int = 100, tol: float = 1e-4, vocabulary_limit: int = 1 << 22
 ) -> TextModel:
     """Three-class logistic regression on weighted terms, classes balanced.
 
     Term weights are count * (ln((n + 1) / (df + 1)) + 1), each review scaled to length 1. A
     linear model holds one coefficient per term and class, so the vocabulary must fit the driver;
-    a larger one is refused rather than cut.
+    a larger one is refused rather than cut. Spark's solver works on standardised features, where
+    rare terms converge slowly: the last digits of the coefficients depend on `max_iter`.
     """
     marked = train.filter(F.col(label).isNotNull()).withColumn("terms", terms(F.col("comment")))
     marked = marked.select("terms", _class_index(label).alias("label")).persist()
@@ -233,14 +234,14 @@ def fit_text_classifier(
         weighted = with_class_weights(normal.transform(scaling.transform(counted)).select("features", "label"))
         classifier = LogisticRegression(
             family="multinomial", weightCol="weight", regParam=1.0 / marked.count(), elasticNetParam=0.0,
-            standardization=False, maxIter=max_iter,
+            standardization=False, maxIter=max_iter, tol=tol,
         ).fit(weighted)
     finally:
         marked.unpersist()
     return TextModel(vectorizer, scaling, classifier)
 
 
-def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 1000) -> TextModel:
+def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 100) -> TextModel:
     """Train on the scorer's own bands, with every gold row kept out of the training set."""
     return fit_text_classifier(exclude_gold(scored, gold), "label", max_iter=max_iter)
 
@@ -256,9 +257,9 @@ def text_top_features(model: TextModel, spark: SparkSession, k: int = 20) -> Dat
     return most.unionByName(least)
 
 
-def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 1000) -> DataFrame:
+def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 100) -> DataFrame:
     """Gold rows with the class predicted by a model that did not see them."""
-    numbered = fold_ids(gold, label=label, key="ingest_id", folds=folds).persist()
+    numbered = fold_ids(gold, label=label, key="ingest_id", folds=folds)
     parts = []
     for fold in range(folds):
         model = fit_text_classifier(numbered.filter(F.col("fold") != fold), label, max_iter=max_iter)

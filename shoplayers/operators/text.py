@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import sentiment_band, strip, word_characters
 from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.operators.cleaning import keep_first
+from shoplayers.session import durable
 
-REVIEW_KEY = ("user_id", "goods_id", "norm")
+# A fitted token table up to this many rows (some 100 MB) may be broadcast.
+BROADCAST_TOKENS = 1_000_000
 
 
 def _token_pattern() -> str:
@@ -123,6 +128,15 @@ def top_words(reviews: DataFrame, k: int = 20) -> DataFrame:
 # --- sentiment ---------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class SentimentModel:
+    """Fitted evidence per token (a durable table), its size, and the evidence before any token."""
+
+    log_odds: DataFrame
+    size: int
+    prior: float
+
+
 def token_log_odds(reviews: DataFrame, marks: DataFrame) -> DataFrame:
     """Naive-Bayes evidence of every training token: ln P(token | positive) - ln P(token | negative).
 
@@ -151,32 +165,42 @@ def token_log_odds(reviews: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
-def prior_log_odds(reviews: DataFrame, marks: DataFrame) -> Column:
-    """ln of positive over negative training reviews, as a scalar subquery."""
-    labelled = reviews.select("ingest_id").join(marks.select("ingest_id", "is_positive"), "ingest_id")
-    positive = F.count_if(F.col("is_positive") == 1)
-    negative = F.count_if(F.col("is_positive") == 0)
-    return labelled.agg(F.ln(positive.cast("double") / negative).alias("prior")).scalar()
+def fit_sentiment(reviews: DataFrame, marks: DataFrame) -> SentimentModel:
+    """Fit the token evidence on marked reviews and store it."""
+    log_odds = durable(token_log_odds(reviews, marks))
+    classes = (
+        reviews.select("ingest_id")
+        .join(marks.select("ingest_id", "is_positive"), "ingest_id")
+        .agg(
+            F.count_if(F.col("is_positive") == 1).alias("positive"),
+            F.count_if(F.col("is_positive") == 0).alias("negative"),
+        )
+        .first()
+    )
+    if not classes["positive"] or not classes["negative"]:
+        raise ValueError("both classes need at least one marked review")
+    return SentimentModel(log_odds, log_odds.count(), math.log(classes["positive"] / classes["negative"]))
 
 
-def score_reviews(reviews: DataFrame, log_odds: DataFrame, prior: Column) -> DataFrame:
+def score_reviews(reviews: DataFrame, model: SentimentModel, broadcast_limit: int = BROADCAST_TOKENS) -> DataFrame:
     """Sentiment score in [0, 1] per review (probability of positive) and its band.
 
-    Tokens outside the training vocabulary carry no evidence. Frequent tokens are joined in
-    pieces, and only ids and numbers are shuffled until the text is attached again.
+    Tokens outside the training vocabulary carry no evidence. A model of up to `broadcast_limit`
+    tokens is broadcast, so tokens are never shuffled; a larger one is joined by shuffle with
+    frequent tokens cut into pieces. Either way only ids and sums move until the text is attached.
     """
     words = exploded_words(reviews)
-    seen = words.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
-    lookup = seen.join(log_odds.select("token", "log_odds"), "token")
-    evidence = (
-        join_counted_lookup(words, lookup, "token", "seen", "ingest_id", how="inner")
-        .groupBy("ingest_id")
-        .agg(F.sum("log_odds").alias("evidence"))
-    )
-    logit = F.coalesce("evidence", F.lit(0.0)) + prior
+    evidence = model.log_odds.select("token", "log_odds")
+    if model.size <= broadcast_limit:
+        known = words.join(F.broadcast(evidence), "token")
+    else:
+        seen = words.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
+        known = join_counted_lookup(words, seen.join(evidence, "token"), "token", "seen", "ingest_id", how="inner")
+    sums = known.groupBy("ingest_id").agg(F.sum("log_odds").alias("evidence"))
+    logit = F.coalesce("evidence", F.lit(0.0)) + F.lit(model.prior)
     score = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 6)
     return (
-        reviews.join(evidence, "ingest_id", "left")
+        reviews.join(sums, "ingest_id", "left")
         .withColumn("score", score)
         .withColumn("label", sentiment_band(F.col("score")))
         .drop("evidence")
@@ -184,7 +208,9 @@ def score_reviews(reviews: DataFrame, log_odds: DataFrame, prior: Column) -> Dat
 
 
 def fit_and_score(reviews: DataFrame, marks: DataFrame) -> DataFrame:
-    return score_reviews(reviews, token_log_odds(reviews, marks), prior_log_odds(reviews, marks))
+    """Store the cleaned reviews once, then fit on the marked ones and score all of them."""
+    stored = durable(reviews.drop("norm"))
+    return score_reviews(stored, fit_sentiment(stored, marks))
 
 
 # --- term weights ------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from shoplayers.functions.ordered import exact_quantiles
 from shoplayers.operators import cleaning, evaluation, learning, quality, sampling, text
 from shoplayers.plans import exploration, oracle, reports, reviews, warehouse
 from shoplayers.plans.oracle import REFERENCE_DATE, mean, money_mean, order_case, pct, quoted, sql, weighted_recall
+from shoplayers.session import durable
 from shoplayers.sources import views
 
 FIXTURE_HOT_CATEGORIES = (0, 1, 2)
@@ -74,6 +75,11 @@ def _scored(spark, folder):
     return text.fit_and_score(_cleaned(spark, folder), views.labels(spark, folder))
 
 
+def _scored_table(spark, folder):
+    """Scored reviews, stored once for jobs that read them several times."""
+    return durable(_scored(spark, folder))
+
+
 def _fixed(spark, folder):
     return views.fixed_predictions(_cleaned(spark, folder))
 
@@ -792,7 +798,7 @@ _SCORED = "SELECT ingest_id, user_id, goods_id, category_id, comment, score, lab
 
 @_query("review_scores", sql(_SCORED, "scored"))
 def review_scores(spark, folder):
-    return _scored(spark, folder).drop("norm")
+    return _scored(spark, folder)
 
 
 @_query(
@@ -1170,7 +1176,7 @@ def tfidf_weights(spark, folder):
 def _prepared(spark, folder):
     """Scaled features with their split; the moments come from training rows only."""
     split = sampling.stratified_split(_features(spark, folder))
-    return learning.scale_features(split, learning.feature_moments(split.filter("is_train = 1")))
+    return durable(learning.scale_features(split, learning.feature_moments(split.filter("is_train = 1"))))
 
 
 def _logistic(prepared):
@@ -1221,18 +1227,13 @@ def model_report(spark, folder):
     return learning.model_report(logistic, svm, learning.cross_validate(prepared))
 
 
-def _text_model(spark, folder):
-    return learning.fit_on_bands(_scored(spark, folder), _gold_sheet(spark, folder))
-
-
 @_query("text_classifier")
 def text_classifier(spark, folder):
     """Precision and band-weighted figures of the self-labelled classifier on the gold rows."""
-    scored = _scored(spark, folder)
-    model = _text_model(spark, folder)
-    gold = evaluation.join_gold(_gold_sheet(spark, folder), scored, check=False)
+    scored, sheet = _scored_table(spark, folder), _gold_sheet(spark, folder)
+    model = learning.fit_on_bands(scored, sheet)
+    judged = model.predict(evaluation.join_gold(sheet, scored, check=False), "model_label")
     everything = model.predict(scored, "model_label")
-    judged = model.predict(gold, "model_label")
     return evaluation.band_weighted_recall(
         judged, evaluation.band_sizes(everything, "model_label"), pred="model_label"
     )
@@ -1240,13 +1241,15 @@ def text_classifier(spark, folder):
 
 @_query("text_band_counts")
 def text_band_counts(spark, folder):
-    predicted = _text_model(spark, folder).predict(_scored(spark, folder), "model_label")
-    return reports.frequency(predicted, "model_label")
+    scored = _scored_table(spark, folder)
+    model = learning.fit_on_bands(scored, _gold_sheet(spark, folder))
+    return reports.frequency(model.predict(scored, "model_label"), "model_label")
 
 
 @_query("text_top_features")
 def text_top_features(spark, folder):
-    return learning.text_top_features(_text_model(spark, folder), spark)
+    model = learning.fit_on_bands(_scored_table(spark, folder), _gold_sheet(spark, folder))
+    return learning.text_top_features(model, spark)
 
 
 @_query("text_cv_scores")

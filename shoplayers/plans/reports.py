@@ -14,7 +14,8 @@ from shoplayers.functions.numbers import money_mean, percent
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Value counts with their share in percent, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # The total comes from the same counts, so the rows are aggregated and shuffled once.
+    total = counts.agg(F.sum("cnt")).scalar()
     return counts.withColumn("pct", percent(F.col("cnt"), total)).orderBy(F.desc("cnt"), column)
 
 

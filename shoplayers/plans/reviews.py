@@ -16,17 +16,17 @@ def sentiment_distribution(scored: DataFrame) -> DataFrame:
 
 def score_histogram(scored: DataFrame, bins: int = K.HISTOGRAM_BINS) -> DataFrame:
     """Equal bins from the lowest to the highest score, the last bin closed; empty bins included."""
-    limits = scored.agg(F.struct(F.min("score").alias("low"), F.max("score").alias("high"))).scalar()
-    numbered = scored.select("score").withColumn("limits", limits)
+    # One row per distinct score; the limits read the same counts.
+    per_score = scored.filter("score IS NOT NULL").groupBy("score").agg(F.count(F.lit(1)).alias("n"))
+    limits = per_score.agg(F.struct(F.min("score").alias("low"), F.max("score").alias("high"))).scalar()
+    numbered = per_score.withColumn("limits", limits)
     low, high = F.col("limits.low"), F.col("limits.high")
     # With a single value the bins span half a unit to each side of it.
     flat = low == high
     start = F.when(flat, low - 0.5).otherwise(low)
     stop = F.when(flat, high + 0.5).otherwise(high)
     position = F.least(F.width_bucket("score", start, stop, F.lit(bins)), F.lit(bins))
-    counts = numbered.filter("score IS NOT NULL").groupBy(position.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = numbered.groupBy(position.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     listed = scored.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return listed.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("cnt")).orderBy("bin")
 
