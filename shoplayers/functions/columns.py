@@ -9,13 +9,17 @@ from pyspark.sql import Column, functions as F
 
 from shoplayers import constants as K
 
-# Unicode white space; Java's \s and trim() know only the ASCII part.
-_SPACE = r"[\s\u0085\p{Z}\x1c-\x1f]"
+# --- Fixed values: Unicode white space; Spark's plain trim() removes ASCII spaces only -----------
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = f"[{WHITE_SPACE}]"
 
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def clean_label(label: Column) -> Column:
@@ -30,7 +34,7 @@ def without_spaces(label: Column) -> Column:
 
 def word_characters(text: Column) -> Column:
     """Keep letters, digits and underscores: texts with equal results say the same thing."""
-    return F.regexp_replace(text, r"[^\p{L}\p{N}_]", "")
+    return F.regexp_replace(text, r"[^\p{L}\p{N}_]+", "")
 
 
 def is_digits(text: Column) -> Column:
@@ -44,14 +48,12 @@ def epoch_seconds(text: Column) -> Column:
     return F.when(is_digits(text) & seconds.between(0, K.MAX_EPOCH_SECOND), seconds)
 
 
-def epoch_to_timestamp(seconds: Column, zone: str = "UTC") -> Column:
-    """Epoch seconds (whole or fractional) to a wall-clock timestamp in `zone`.
+def epoch_to_timestamp(quantity: Column, unit: str = "SECOND", zone: str = "UTC") -> Column:
+    """Whole epoch seconds (or another unit) to a wall-clock timestamp in `zone`.
 
     The arithmetic is zone-free, so the session zone cannot change a date or an hour.
     """
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    micros = F.round(seconds * F.lit(1_000_000)).cast("bigint")
-    utc = F.timestamp_add("MICROSECOND", micros, epoch)
+    utc = F.timestamp_add(unit, quantity, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 

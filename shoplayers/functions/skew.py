@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shoplayers.session import durable
+
 
 def join_counted_lookup(
     facts: DataFrame,
@@ -20,8 +22,10 @@ def join_counted_lookup(
     1/`pieces` of all rows; by that definition at most `pieces` keys are hot, which bounds the
     broadcast table. A hot key gets as many salts as it has such shares, so no join task receives
     more than about 1/`pieces` of the rows from one key. `spread` is a fact column that differs
-    between rows; its hash picks the salt, so a recomputed task sends rows to the same place.
+    between rows; its hash picks the salt, so a recomputed task sends rows to the same place. The
+    lookup is stored first, because its total, its hot keys and the join all read it.
     """
+    lookup = durable(lookup)
     total = lookup.agg(F.sum(count)).scalar()
     shares = F.ceil(F.col(count) * F.lit(pieces) / total).cast("int")
     sized = lookup.withColumn("_salts", F.when(F.col(count) * pieces >= total, shares).otherwise(F.lit(1)))

@@ -12,6 +12,7 @@ from shoplayers.functions.columns import mapped
 from shoplayers.functions.numbers import f_score, ratio
 from shoplayers.functions.ordered import with_running_totals
 from shoplayers.operators.quality import require, require_rows, require_unique
+from shoplayers.session import durable
 
 GOLD_KEY = ("user_id", "goods_id", "comment")
 
@@ -26,16 +27,17 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def join_gold(gold: DataFrame, scored: DataFrame, check: bool = True) -> DataFrame:
     """Attach scores to gold rows one to one, map the labels, drop ambiguous rows.
 
-    The scored table is cut down to gold keys by a semi join first, so the big side is only read
-    once and never sorted as a whole when the gold table is small. With `check` the jobs raise on
-    repeated keys, lost rows, missing scores and labels outside the whitelist.
+    The scored table is cut down to gold keys by a semi join first, so the big side is read once
+    and never sorted as a whole. The joined rows, no more than people labelled, are stored once:
+    every metric reads them again. With `check` the jobs raise on repeated keys, lost rows, missing
+    scores and labels outside the whitelist.
     """
     matches = scored.join(gold.select(*GOLD_KEY), list(GOLD_KEY), "left_semi")
+    mapping = mapped(F.col("gold"), K.GOLD_LABELS)
+    joined = durable(gold.join(matches, list(GOLD_KEY), "left").withColumn("gold_std", mapping))
     if check:
-        require_unique(gold, GOLD_KEY, "gold keys must be unique")
-        require_unique(matches, GOLD_KEY, "scored keys must be unique")
-    joined = gold.join(matches, list(GOLD_KEY), "left").withColumn("gold_std", mapped(F.col("gold"), K.GOLD_LABELS))
-    if check:
+        # A key that is unique after the join was unique on both sides.
+        require_unique(joined, GOLD_KEY, "gold and scored keys must be unique")
         require_rows(joined, gold.count(), "gold rows after the join")
         require(joined, F.col("score").isNotNull(), "gold row without a score")
         require(joined, F.col("gold_std").isNotNull(), "gold label outside the whitelist")

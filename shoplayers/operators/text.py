@@ -18,9 +18,9 @@ BROADCAST_TOKENS = 1_000_000
 
 
 def _token_pattern() -> str:
-    """Shop terms (longest first), else pairs of Han characters, else words of two or more."""
-    terms = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
-    return rf"{terms}|\p{{IsHan}}{{2}}|[\p{{L}}\p{{N}}_&&[^\p{{IsHan}}]]{{2,}}"
+    """Words of two or more non-Han characters; in Han text shop terms (longest first), else pairs."""
+    shop_terms = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
+    return rf"[\p{{L}}\p{{N}}_&&\P{{IsHan}}]{{2,}}|(?=\p{{IsHan}})(?:{shop_terms}|\p{{IsHan}}{{2}})"
 
 
 def tokens(text: Column) -> Column:
@@ -216,18 +216,23 @@ def fit_and_score(reviews: DataFrame, marks: DataFrame) -> DataFrame:
 # --- term weights ------------------------------------------------------------------------------
 
 
-def _document_frequencies(pairs: DataFrame, min_df: int) -> DataFrame:
-    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+def _document_frequencies(reviews: DataFrame, min_df: int) -> DataFrame:
+    """Reviews per term. Terms are made distinct inside the review's row, so one shuffle is enough."""
+    each = reviews.select(F.explode(F.array_distinct(terms(F.col("comment")))).alias("term"))
+    return each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
 
 
 def _term_counts(reviews: DataFrame) -> DataFrame:
-    exploded = reviews.select("ingest_id", F.explode(terms(F.col("comment"))).alias("term"))
+    """(review, term, count). Reviews are placed by id before they are exploded, so counting their
+    terms needs no shuffle of the much larger exploded rows."""
+    placed = reviews.select("ingest_id", "comment").repartition("ingest_id")
+    exploded = placed.select("ingest_id", F.explode(terms(F.col("comment"))).alias("term"))
     return exploded.groupBy("ingest_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_stats(reviews: DataFrame, min_df: int = 2) -> DataFrame:
     """Rows, features, filled cells and sparsity of the term matrix, without building it."""
-    frequencies = _document_frequencies(_term_counts(reviews), min_df)
+    frequencies = _document_frequencies(reviews, min_df)
     rows = reviews.agg(F.count(F.lit(1))).scalar()
     sizes = frequencies.agg(
         F.count(F.lit(1)).alias("features"), F.coalesce(F.sum("df"), F.lit(0)).alias("filled_cells")
@@ -237,14 +242,18 @@ def tfidf_stats(reviews: DataFrame, min_df: int = 2) -> DataFrame:
 
 
 def tfidf_weights(reviews: DataFrame, min_df: int = 2) -> DataFrame:
-    """(review, term, weight) with smooth inverse document frequency, each review at length 1."""
-    counts = _term_counts(reviews)
-    frequencies = _document_frequencies(counts, min_df)
+    """Weighted terms per review: `weights` is an array of (term, weight) of length 1.
+
+    The weight is count * (ln((n + 1) / (df + 1)) + 1) before scaling. Gathering a review's terms
+    is bounded by the review's own text.
+    """
+    frequencies = _document_frequencies(reviews, min_df)
     rows = reviews.agg(F.count(F.lit(1))).scalar()
-    weighted = join_counted_lookup(counts, frequencies, "term", "df", "ingest_id", how="inner").select(
-        "ingest_id", "term", (F.col("tf") * (F.ln((rows + 1) / (F.col("df") + 1)) + 1)).alias("raw_weight")
+    weighted = join_counted_lookup(_term_counts(reviews), frequencies, "term", "df", "ingest_id", how="inner").select(
+        "ingest_id", "term", (F.col("tf") * (F.ln((rows + 1) / (F.col("df") + 1)) + 1)).alias("weight")
     )
-    norms = weighted.groupBy("ingest_id").agg(F.sqrt(F.sum(F.col("raw_weight") ** 2)).alias("norm"))
-    return weighted.join(norms, "ingest_id").select(
-        "ingest_id", "term", (F.col("raw_weight") / F.col("norm")).alias("weight")
+    gathered = weighted.groupBy("ingest_id").agg(
+        F.collect_list(F.struct("term", "weight")).alias("raw"), F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm")
     )
+    scaled = F.transform("raw", lambda t: F.struct(t["term"].alias("term"), (t["weight"] / F.col("norm")).alias("weight")))
+    return gathered.select("ingest_id", scaled.alias("weights"))

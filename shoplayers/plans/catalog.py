@@ -80,16 +80,28 @@ def _scored_table(spark, folder):
     return durable(_scored(spark, folder))
 
 
+def _stored_reviews(spark, folder):
+    """Cleaned reviews, stored once for jobs that read them several times."""
+    return durable(_cleaned(spark, folder).drop("norm"))
+
+
 def _fixed(spark, folder):
-    return views.fixed_predictions(_cleaned(spark, folder))
+    return views.fixed_predictions(_cleaned(spark, folder).drop("norm"))
 
 
 def _gold_sheet(spark, folder):
     return views.gold_sheet(_cleaned(spark, folder), views.labels(spark, folder))
 
 
-def _gold(spark, folder, check: bool = False):
-    return evaluation.join_gold(_gold_sheet(spark, folder), _fixed(spark, folder), check)
+def _judged(spark, folder, check: bool = False):
+    """Gold rows with both fixed predictions, and all reviews with them."""
+    stored = _stored_reviews(spark, folder)
+    fixed = views.fixed_predictions(stored)
+    return evaluation.join_gold(views.gold_sheet(stored, views.labels(spark, folder)), fixed, check), fixed
+
+
+def _gold(spark, folder):
+    return _judged(spark, folder)[0]
 
 
 def _features(spark, folder):
@@ -906,7 +918,7 @@ _GOLD_COLUMNS = ("user_id", "goods_id", "comment", "gold", "gold_std", "score",
 
 @_query("gold_join", sql(f"SELECT {', '.join(_GOLD_COLUMNS)} FROM gold", "gold"))
 def gold_join(spark, folder):
-    return _gold(spark, folder, check=True).select(*_GOLD_COLUMNS)
+    return _judged(spark, folder, check=True)[0].select(*_GOLD_COLUMNS)
 
 
 @_query(
@@ -931,7 +943,8 @@ def gold_ambiguous_share(spark, folder):
     ),
 )
 def gold_leak_guard(spark, folder):
-    kept = evaluation.exclude_gold(_fixed(spark, folder), _gold(spark, folder))
+    gold, fixed = _judged(spark, folder)
+    kept = evaluation.exclude_gold(fixed, gold)
     return kept.select("ingest_id", "user_id", "goods_id", "label")
 
 
@@ -984,7 +997,8 @@ def class_report(spark, folder):
 
 @_query("band_weighted_recall", sql(weighted_recall("label"), "gold", "fixed"))
 def band_weighted_recall(spark, folder):
-    return evaluation.band_weighted_recall(_gold(spark, folder), evaluation.band_sizes(_fixed(spark, folder)))
+    gold, fixed = _judged(spark, folder)
+    return evaluation.band_weighted_recall(gold, evaluation.band_sizes(fixed))
 
 
 @_query("mcnemar", sql("SELECT * EXCLUDE (z) FROM paired_p", "paired_p"))
@@ -1078,7 +1092,7 @@ def both_wrong(spark, folder):
     ),
 )
 def model_decision(spark, folder):
-    gold, fixed = _gold(spark, folder), _fixed(spark, folder)
+    gold, fixed = _judged(spark, folder)
     return evaluation.model_decision(
         gold, evaluation.band_sizes(fixed), evaluation.band_sizes(fixed, "label_b")
     )
@@ -1163,10 +1177,13 @@ def tfidf_stats(spark, folder):
     ),
 )
 def tfidf_weights(spark, folder):
-    return text.tfidf_weights(_cleaned(spark, folder)).groupBy("ingest_id").agg(
-        F.count(F.lit(1)).alias("n_terms"),
-        F.round(F.sum("weight"), 6).alias("weight_sum"),
-        F.round(F.max("weight"), 6).alias("weight_max"),
+    weighted = text.tfidf_weights(_cleaned(spark, folder)).select("ingest_id", F.col("weights.weight").alias("w"))
+    total = F.aggregate("w", F.lit(0.0), lambda a, b: a + b)
+    return weighted.select(
+        "ingest_id",
+        F.size("w").cast("bigint").alias("n_terms"),
+        F.round(total, 6).alias("weight_sum"),
+        F.round(F.array_max("w"), 6).alias("weight_max"),
     )
 
 

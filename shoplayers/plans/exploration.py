@@ -197,8 +197,9 @@ def model_features(dwd: DataFrame, hot_categories: Sequence[int] = K.HOT_CATEGOR
     numbered = with_running_totals(
         narrow, ["user_id", "goods_id"], ["id"], {"user_goods_count": F.lit(1).cast("long")}
     )
-    pairs = _user_goods(dwd)
-    featured = numbered.withColumn("is_peak_hour", flag(F.col("event_hour") == peak_hour(dwd)))
+    # `numbered` is a stored narrow table, so the totals read it instead of the detail layer.
+    pairs = numbered.groupBy("user_id", "goods_id").agg(F.max("user_goods_count").alias("n"))
+    featured = numbered.withColumn("is_peak_hour", flag(F.col("event_hour") == peak_hour(numbered)))
     featured = join_counted_lookup(featured, _user_totals(pairs), "user_id", "total_behavior_count", "id")
     featured = join_counted_lookup(featured, _goods_totals(pairs), "goods_id", "goods_hot_score", "id")
     return featured.select("id", "user_id", "goods_id", *K.FEATURES, "label").fillna(0, subset=list(K.FEATURES))

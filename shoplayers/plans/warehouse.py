@@ -32,7 +32,7 @@ def build_dwd(ods: DataFrame, zone: str = "UTC") -> DataFrame:
     `ingest_id` serves as the surrogate key.
     """
     timed = ods.filter(_is_clean()).withColumn(
-        "event_time", epoch_to_timestamp(epoch_seconds(F.col("timestamp")), zone)
+        "event_time", epoch_to_timestamp(F.col("timestamp").try_cast("bigint"), zone=zone)
     )
     return timed.select(
         F.col("ingest_id").alias("id"),
@@ -61,7 +61,8 @@ def parse_tolerantly(ods: DataFrame) -> DataFrame:
     """The other timestamp rule: keep anything numeric, including fractions and exponents."""
     seconds = tolerant_seconds(F.col("timestamp"))
     timed = ods.withColumn("seconds", seconds).filter("seconds IS NOT NULL")
-    return timed.withColumn("behavior_time", epoch_to_timestamp(F.col("seconds"))).withColumn(
+    micros = F.round(F.col("seconds") * 1_000_000).cast("bigint")
+    return timed.withColumn("behavior_time", epoch_to_timestamp(micros, "MICROSECOND")).withColumn(
         "hour", F.hour("behavior_time")
     )
 

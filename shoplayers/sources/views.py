@@ -22,6 +22,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over all cores when the files give fewer splits than there are cores.
+
+    For CPU-heavy text work on a few files; a large scan already has more splits and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def behaviour(spark: SparkSession, folder: str) -> DataFrame:
     """Raw behaviour log from `events`."""
     goods = "CAST(get_json_object(props, '$.k') AS BIGINT)"
@@ -95,8 +104,9 @@ def category_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Raw reviews from `documents`: whole texts, plus near copies, missing and too short ones."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
     return (
-        _table(spark, folder, "documents")
+        _spread(documents, "doc_id")
         .selectExpr(
             "doc_id",
             "text",
