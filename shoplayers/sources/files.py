@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shoplayers.functions.columns import clean_label
 from shoplayers.operators.cleaning import keep_first
@@ -98,21 +98,18 @@ class LayerTables:
         return done
 
     def write(self, df: DataFrame, table: str, partition_by: str | None = None) -> int:
-        """Replace a table; returns the number of rows written, counted during the write.
+        """Replace a table; returns the rows found in the written files (read from their footers).
 
         Partitioned tables are rebalanced on the partition column first: small partitions share
         a task, and one that holds many rows is split over several tasks and files.
         """
-        written = Observation()
-        rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         path = f"{self.root}/{table}/load-{stamp}-{uuid.uuid4().hex[:8]}"
         if partition_by:
-            rows = rows.hint("rebalance", F.col(partition_by))
-            rows.write.partitionBy(partition_by).parquet(path)
+            df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
         else:
-            rows.write.parquet(path)
-        return written.get["rows"]
+            df.write.parquet(path)
+        return self.spark.read.parquet(path).count()
 
     def read(self, table: str) -> DataFrame:
         loads = self.loads(table)
