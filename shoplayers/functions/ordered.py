@@ -26,20 +26,6 @@ def _sorted_with_parts(df: DataFrame, order: Sequence[Column | str]) -> DataFram
     return rows.withColumn("_part", F.shiftright("_row", _ROW_BITS))
 
 
-def with_global_position(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
-    """Add the 1-based position of every row in the total order `order`."""
-    rows = _sorted_with_parts(df, order)
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(
-        "_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_before")
-    )
-    return (
-        rows.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_row").bitwiseAND(F.lit(_ROW_MASK)) + 1)
-        .drop("_row", "_part", "_before")
-    )
-
-
 def with_stratum_position(
     df: DataFrame,
     strata: str,
@@ -49,18 +35,29 @@ def with_stratum_position(
 ) -> DataFrame:
     """Add the 1-based position inside each stratum and the stratum's size.
 
-    For a column with a fixed small set of values (labels, bands, dimensions): the table of
-    stratum starts is broadcast. A stratum may hold any share of the rows. Use
-    `with_running_totals` when the number of groups grows with the data.
+    For a column with a fixed small set of values (labels, bands, dimensions); a stratum may hold
+    any share of the rows. The rows of a stratum are contiguous in the sort, so the broadcast table
+    has at most one row per partition and stratum edge. Use `with_running_totals` when the number
+    of groups grows with the data.
     """
-    rows = with_global_position(df, [strata, *order], "_global")
-    starts = rows.groupBy(F.col(strata).alias("_stratum")).agg(
-        F.min("_global").alias("_start"), F.count(F.lit(1)).alias(size)
+    rows = _sorted_with_parts(df, [strata, *order])
+    pieces = rows.groupBy(F.col("_part").alias("_piece_part"), F.col(strata).alias("_stratum")).agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    stratum = W.partitionBy("_stratum")
+    earlier = stratum.orderBy("_piece_part").rowsBetween(W.unboundedPreceding, -1)
+    edges = pieces.select(
+        "_piece_part",
+        "_stratum",
+        "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(stratum).alias(size),
     )
+    same_piece = (F.col("_part") == F.col("_piece_part")) & F.col(strata).eqNullSafe(F.col("_stratum"))
     return (
-        rows.join(F.broadcast(starts), F.col(strata).eqNullSafe(F.col("_stratum")))
-        .withColumn(name, F.col("_global") - F.col("_start") + 1)
-        .drop("_global", "_start", "_stratum")
+        rows.join(F.broadcast(edges), same_piece)
+        .withColumn(name, F.col("_before") + F.col("_row") - F.col("_first") + 1)
+        .drop("_row", "_part", "_piece_part", "_stratum", "_first", "_before")
     )
 
 

@@ -60,9 +60,16 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Attach balanced weights; the broadcast table has one row per class."""
-    return df.join(F.broadcast(class_weights(df, label).drop("cnt")), label)
+def with_class_weights(df: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
+    """Attach balanced weights as `weight`; also returns the number of rows.
+
+    One row per class reaches the driver and becomes a constant per class, so nothing is joined.
+    """
+    classes = class_weights(df, label).collect()
+    weight = F.lit(None).cast("double")
+    for row in classes:
+        weight = F.when(F.col(label) == row[label], F.lit(row["weight"])).otherwise(weight)
+    return df.withColumn("weight", weight), sum(row["cnt"] for row in classes)
 
 
 # --- purchase models ---------------------------------------------------------------------------
@@ -70,8 +77,7 @@ def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> LogisticRegressionModel:
     """L2 logistic regression with balanced classes. `c` weighs the summed loss against the penalty."""
-    weighted = with_class_weights(train)
-    rows = train.count()  # balanced weights add up to the number of rows
+    weighted, rows = with_class_weights(train)  # balanced weights add up to the number of rows
     return LogisticRegression(
         weightCol="weight", regParam=1.0 / (c * rows), elasticNetParam=0.0, standardization=False, maxIter=max_iter
     ).fit(weighted)
@@ -79,9 +85,9 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
 
 def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 200, tol: float = 1e-3) -> LinearSVCModel:
     """Linear support vector machine with balanced classes; its raw score ranks, it gives no probability."""
-    weighted = with_class_weights(train)
+    weighted, rows = with_class_weights(train)
     return LinearSVC(
-        weightCol="weight", regParam=1.0 / (c * train.count()), standardization=False, maxIter=max_iter, tol=tol
+        weightCol="weight", regParam=1.0 / (c * rows), standardization=False, maxIter=max_iter, tol=tol
     ).fit(weighted)
 
 
@@ -231,9 +237,10 @@ def fit_text_classifier(
         idf = IDF(inputCol="counts", outputCol="unused").fit(counted).idf.toArray() + 1.0
         scaling = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted")
         normal = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-        weighted = with_class_weights(normal.transform(scaling.transform(counted)).select("features", "label"))
+        vectors = normal.transform(scaling.transform(counted)).select("features", "label")
+        weighted, rows = with_class_weights(vectors)
         classifier = LogisticRegression(
-            family="multinomial", weightCol="weight", regParam=1.0 / marked.count(), elasticNetParam=0.0,
+            family="multinomial", weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
             standardization=False, maxIter=max_iter, tol=tol,
         ).fit(weighted)
     finally:

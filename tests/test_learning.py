@@ -40,7 +40,9 @@ def test_logistic_regression_is_at_the_optimum(spark, prepared):
     """The gradient of the penalised, class-weighted loss vanishes at the fitted coefficients."""
     train = prepared.filter("is_train = 1")
     model = L.fit_logistic(train)
-    rows = L.with_class_weights(train).select("features", "label", "weight").collect()
+    weighted, n = L.with_class_weights(train)
+    rows = weighted.select("features", "label", "weight").collect()
+    assert n == len(rows)
     x = np.array([r["features"].toArray() for r in rows])
     y = np.array([r["label"] for r in rows])
     w = np.array([r["weight"] for r in rows])

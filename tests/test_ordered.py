@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from shoplayers.functions.ordered import (
-    exact_quantile, exact_quantiles, tile, with_global_position, with_running_totals, with_stratum_position,
+    exact_quantile, exact_quantiles, tile, with_running_totals, with_stratum_position,
 )
 from shoplayers.functions.skew import join_counted_lookup
 
@@ -28,10 +28,12 @@ def skewed(spark, n=600, seed=1):
     return spark.createDataFrame(rows, "id long, key string, value long").repartition(5)
 
 
-def test_global_position(spark):
-    rows = with_global_position(skewed(spark), ["value", "id"]).collect()
+def test_position_in_the_whole_table(spark):
+    df = skewed(spark).withColumn("all", F.lit(0))
+    rows = with_stratum_position(df, "all", ["value", "id"]).collect()
     ordered = sorted(rows, key=lambda r: (r["value"], r["id"]))
     assert [r["position"] for r in ordered] == list(range(1, len(rows) + 1))
+    assert {r["stratum_size"] for r in rows} == {len(rows)}
 
 
 def test_partitions_are_really_used(spark):
