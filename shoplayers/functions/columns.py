@@ -37,6 +37,11 @@ def word_characters(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}\p{N}_]+", "")
 
 
+def any_case(text: Column) -> Column:
+    """Text that compares and groups without regard to case and accents."""
+    return F.collate(text, "UNICODE_CI_AI")
+
+
 def is_digits(text: Column) -> Column:
     """True for a non-empty run of ASCII digits, false for anything else and for NULL."""
     return F.coalesce(text.rlike(r"^[0-9]+\z"), F.lit(False))

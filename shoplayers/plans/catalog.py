@@ -11,7 +11,7 @@ from shoplayers import constants as K
 from shoplayers.functions.columns import clean_label
 from shoplayers.functions.ordered import exact_quantiles
 from shoplayers.operators import cleaning, evaluation, learning, quality, sampling, text
-from shoplayers.plans import exploration, oracle, reports, reviews, warehouse
+from shoplayers.plans import comparison, exploration, oracle, reports, reviews, warehouse
 from shoplayers.plans.oracle import REFERENCE_DATE, mean, money_mean, order_case, pct, quoted, sql, weighted_recall
 from shoplayers.session import durable
 from shoplayers.sources import views
@@ -573,6 +573,25 @@ def preprocess_dedup(spark, folder):
     return cleaning.drop_duplicate_events(views.behaviour_delivered_twice(spark, folder))
 
 
+_TOLERANT = """SELECT * FROM (SELECT *, TRY_CAST(timestamp AS DOUBLE) AS seconds FROM behaviour_gaps) WHERE seconds >= 0"""
+_DISTINCT = f"""SELECT * FROM ({_FILLED.format(rows=f'({_TOLERANT})')}) QUALIFY row_number() OVER
+    (PARTITION BY user_id, goods_id, behavior, seconds ORDER BY ingest_id) = 1"""
+
+
+@_query(
+    "exploration_detail",
+    sql(
+        f"""SELECT ingest_id AS id, user_id, goods_id, category_id, behavior, event_time,
+        CAST(event_time AS DATE) AS event_date, CAST(hour(event_time) AS INTEGER) AS event_hour, sex, address, device,
+        round(price, 6) AS price, amount, comment FROM (SELECT *, TIMESTAMP '1970-01-01 00:00:00'
+        + to_microseconds(CAST(round(seconds * 1000000) AS BIGINT)) AS event_time FROM ({_clamped(_DISTINCT)}))""",
+        "behaviour_gaps",
+    ),
+)
+def exploration_detail(spark, folder):
+    return _rounded_price(exploration.prepared_detail(views.behaviour_with_gaps(spark, folder)))
+
+
 @_query(
     "price_quantiles",
     sql(
@@ -1256,6 +1275,13 @@ def text_classifier(spark, folder):
     )
 
 
+@_query("model_comparison")
+def model_comparison(spark, folder):
+    """The scorer against the self-labelled classifier, one row per model."""
+    scored, sheet = _scored_table(spark, folder), durable(_gold_sheet(spark, folder))
+    return comparison.compare_models(scored, sheet).summary
+
+
 @_query("text_band_counts")
 def text_band_counts(spark, folder):
     scored = _scored_table(spark, folder)

@@ -11,6 +11,8 @@ from shoplayers.functions.columns import flag, member_flag, weekend_flag
 from shoplayers.functions.numbers import ratio
 from shoplayers.functions.ordered import exact_quantile, exact_quantiles, with_running_totals
 from shoplayers.functions.skew import join_counted_lookup
+from shoplayers.operators.cleaning import preprocess
+from shoplayers.plans.warehouse import parse_tolerantly
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -19,6 +21,20 @@ def is_purchase() -> Column:
     return (F.col("behavior") == "buy").cast("int")
 
 
+def prepared_detail(ods: DataFrame) -> DataFrame:
+    """Detail rows of the exploration path: any numeric timestamp, gaps filled, deduplicated, clamped.
+
+    Same columns as the warehouse's detail layer as far as the reports here need them, so every
+    function of this module takes either. Duplicates are found on the numeric timestamp.
+    """
+    timed = parse_tolerantly(ods).withColumn("timestamp", F.col("seconds"))
+    return preprocess(timed).select(
+        F.col("ingest_id").alias("id"), "user_id", "goods_id", "category_id", "behavior",
+        F.col("behavior_time").alias("event_time"), F.to_date("behavior_time").alias("event_date"),
+        F.col("hour").alias("event_hour"), "sex", "address", "device", "price", "amount", "comment",
+    )
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column, to two digits."""
     moments = []
@@ -197,8 +213,8 @@ def model_features(dwd: DataFrame, hot_categories: Sequence[int] = K.HOT_CATEGOR
     numbered = with_running_totals(
         narrow, ["user_id", "goods_id"], ["id"], {"user_goods_count": F.lit(1).cast("long")}
     )
-    # `numbered` is a stored narrow table, so the totals read it instead of the detail layer.
-    pairs = numbered.groupBy("user_id", "goods_id").agg(F.max("user_goods_count").alias("n"))
+    # `numbered` reads a stored narrow table, so the totals use it instead of the detail layer.
+    pairs = numbered.groupBy("user_id", "goods_id").agg(F.count("label").alias("n"))
     featured = numbered.withColumn("is_peak_hour", flag(F.col("event_hour") == peak_hour(numbered)))
     featured = join_counted_lookup(featured, _user_totals(pairs), "user_id", "total_behavior_count", "id")
     featured = join_counted_lookup(featured, _goods_totals(pairs), "goods_id", "goods_hot_score", "id")

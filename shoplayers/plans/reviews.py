@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.numbers import percent
+from shoplayers.operators.text import clean_reviews, fit_and_score
 from shoplayers.plans.reports import frequency_in_order
+from shoplayers.sources.files import LayerTables, cache_scores
+
+
+def build_scored_reviews(tables: LayerTables, marks: DataFrame) -> int:
+    """Clean and score the stored raw reviews and keep the result as a table for all later jobs."""
+    return cache_scores(fit_and_score(clean_reviews(tables.read("ods_comment")), marks), tables)
 
 
 def sentiment_distribution(scored: DataFrame) -> DataFrame:

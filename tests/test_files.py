@@ -108,3 +108,16 @@ def test_cleaners_apply_to_their_column(spark, folder, tmp_path):
     source = Source("p", f"{folder}/user_face.csv", schemas.PROFILE_FILE, cleaners={"face": clean_label})
     tables = LayerTables(spark, str(tmp_path / "l"))
     assert tables.load([source]) == {"p": 3}  # without keys nothing is deduplicated
+
+
+def test_reviews_from_files_to_scored_table(spark, folder, tmp_path):
+    from shoplayers.plans.reviews import build_scored_reviews, sentiment_distribution
+
+    lines = "".join(f"{i},10,100,{'物流很快好评给力' if i % 2 else '包装破损客服很差'}{i}\n" for i in range(20))
+    (tmp_path / "user_comments.csv").write_text("user_id,goods_id,category_id,comment\n" + lines, "utf-8-sig")
+    tables = LayerTables(spark, str(tmp_path / "layers"))
+    tables.load(default_sources(folder), only={"ods_comment"})
+    marks = tables.read("ods_comment").select("ingest_id", (F.col("user_id") % 2).cast("int").alias("is_positive"))
+    assert build_scored_reviews(tables, marks.filter("is_positive IS NOT NULL")) == 20
+    counts = {r["label"]: r["cnt"] for r in sentiment_distribution(tables.read("scored_reviews")).collect()}
+    assert counts == {"正面": 10, "中性": 0, "负面": 10}

@@ -110,3 +110,19 @@ def test_text_folds(spark):
     assert predicted.count() == 90 and predicted.select("ingest_id").distinct().count() == 90
     scores = {r["metric"]: r["mean"] for r in L.fold_f1(predicted).collect()}
     assert scores["f1_macro"] > 0.9 and scores["f1_weighted"] > 0.9
+
+
+def test_comparison_of_two_models(spark):
+    from shoplayers.plans.comparison import compare_models, cross_check
+
+    scored = gold_reviews(spark).withColumn("score", F.when(F.col("label") == K.NEGATIVE, 0.1).otherwise(0.9)).drop("gold_std")
+    gold = scored.filter("ingest_id % 3 = 0 OR ingest_id < 45").select(
+        "user_id", "goods_id", "comment", F.concat(F.lit("真"), "label").alias("gold")
+    )
+    result = compare_models(scored, gold)
+    rows = {r["model"]: r for r in result.summary.collect()}
+    assert rows["baseline"]["f1_w"] == 1.0 and rows["baseline"]["average_precision"] == 1.0
+    assert rows["candidate"]["precision"] >= 0
+    assert result.decision.first()["decision"] == "keep"
+    check = cross_check(result.judged, folds=2)
+    assert check.both_wrong.count() == 0 and check.folds.count() == 2
