@@ -56,16 +56,13 @@ class Source:
     cleaners: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
-def default_sources(folder: str) -> list[Source]:
-    """The four source files of the warehouse."""
+def standard_sources(behaviour: str, comments: str, categories: str, profiles: str) -> list[Source]:
+    """The four sources of the warehouse: a GB18030 behaviour log and three UTF-8 files."""
     return [
-        Source("ods_user_behavior", f"{folder}/UserBehavior--1.csv", schemas.BEHAVIOUR_FILE, "GB18030"),
-        Source("ods_comment", f"{folder}/user_comments.csv", schemas.COMMENT_FILE),
-        Source("dim_category", f"{folder}/category_mapping.csv", schemas.CATEGORY_FILE, keys=("category_id",)),
-        Source(
-            "dim_user_profile", f"{folder}/user_face.csv", schemas.PROFILE_FILE,
-            keys=("user_id",), cleaners={"face": clean_label},
-        ),
+        Source("ods_user_behavior", behaviour, schemas.BEHAVIOUR_FILE, "GB18030"),
+        Source("ods_comment", comments, schemas.COMMENT_FILE),
+        Source("dim_category", categories, schemas.CATEGORY_FILE, keys=("category_id",)),
+        Source("dim_user_profile", profiles, schemas.PROFILE_FILE, keys=("user_id",), cleaners={"face": clean_label}),
     ]
 
 

@@ -7,7 +7,7 @@ from shoplayers.functions.columns import clean_label
 from shoplayers.plans import warehouse
 from shoplayers.sources import schemas
 from shoplayers.sources.files import (
-    LayerTables, Source, cache_scores, default_sources, read_csv, read_gold_csv, write_report,
+    LayerTables, Source, cache_scores, read_csv, read_gold_csv, standard_sources, write_report,
 )
 
 DAY = 1717200000
@@ -22,17 +22,21 @@ def folder(tmp_path):
         f"2,11,101,fav,{DAY + 90000},0,,,,,",
         "2,11,101,pv,坏,0,,,,,",
     ]
-    (tmp_path / "UserBehavior--1.csv").write_bytes((header + "\r\n".join(lines) + "\r\n").encode("gb18030"))
-    (tmp_path / "user_comments.csv").write_text("user_id,goods_id,category_id,comment\n1,10,100,物流很快，好评\n", "utf-8-sig")
-    (tmp_path / "category_mapping.csv").write_text(
+    (tmp_path / "behaviour.csv").write_bytes((header + "\r\n".join(lines) + "\r\n").encode("gb18030"))
+    (tmp_path / "comments.csv").write_text("user_id,goods_id,category_id,comment\n1,10,100,物流很快，好评\n", "utf-8-sig")
+    (tmp_path / "categories.csv").write_text(
         "category_id,category_count,category_label\n100,3,手机\n100,4,重复\n101,2,水果\n", "utf-8-sig"
     )
-    (tmp_path / "user_face.csv").write_text("user_id,face\n1,　农民 / 种植户 \n1,学生\n2,\n", "utf-8-sig")
+    (tmp_path / "profiles.csv").write_text("user_id,face\n1,　农民 / 种植户 \n1,学生\n2,\n", "utf-8-sig")
     return str(tmp_path)
 
 
+def sources_in(folder):
+    return standard_sources(*[f"{folder}/{name}.csv" for name in ("behaviour", "comments", "categories", "profiles")])
+
+
 def test_gb18030_with_quoted_line_break(spark, folder):
-    rows = read_csv(spark, f"{folder}/UserBehavior--1.csv", schemas.BEHAVIOUR_FILE, "GB18030").orderBy("ingest_id").collect()
+    rows = read_csv(spark, f"{folder}/behaviour.csv", schemas.BEHAVIOUR_FILE, "GB18030").orderBy("ingest_id").collect()
     assert len(rows) == 4
     assert rows[0]["comment"] == "第一行\n第二行" and rows[0]["address"] == "北京"
     assert rows[1]["comment"] == "NA" and str(rows[1]["price"]) == "12.50"
@@ -40,13 +44,13 @@ def test_gb18030_with_quoted_line_break(spark, folder):
 
 
 def test_byte_order_mark_is_not_part_of_the_header(spark, folder):
-    row = read_csv(spark, f"{folder}/user_comments.csv", schemas.COMMENT_FILE).first()
+    row = read_csv(spark, f"{folder}/comments.csv", schemas.COMMENT_FILE).first()
     assert row["user_id"] == 1 and row["comment"] == "物流很快，好评"
 
 
 def test_load_replaces_and_only_loads_named_tables(spark, folder, tmp_path):
     tables = LayerTables(spark, str(tmp_path / "layers"))
-    sources = default_sources(folder)
+    sources = sources_in(folder)
     assert tables.load(sources, only={"dim_user_profile"}) == {"dim_user_profile": 2}
     assert tables.loads("ods_user_behavior") == []
     assert tables.load(sources) == {"ods_user_behavior": 4, "ods_comment": 1, "dim_category": 2, "dim_user_profile": 2}
@@ -60,7 +64,7 @@ def test_load_replaces_and_only_loads_named_tables(spark, folder, tmp_path):
 
 def test_failed_load_leaves_the_table_as_it_was(spark, folder, tmp_path):
     tables = LayerTables(spark, str(tmp_path / "layers"))
-    tables.load(default_sources(folder), only={"dim_category"})
+    tables.load(sources_in(folder), only={"dim_category"})
     broken = tables.read("dim_category").withColumn("category_id", F.raise_error(F.lit("stop")).cast("long"))
     with pytest.raises(Exception, match="stop"):
         tables.write(broken, "dim_category")
@@ -74,7 +78,7 @@ def test_missing_table_is_reported(spark, tmp_path):
 
 def test_whole_warehouse_from_files(spark, folder, tmp_path):
     tables = LayerTables(spark, str(tmp_path / "layers"))
-    counts = warehouse.build_warehouse(tables, default_sources(folder), "2024-06-04")
+    counts = warehouse.build_warehouse(tables, sources_in(folder), "2024-06-04")
     assert counts["dwd_user_behavior"] == 3 and counts["dws_user_day"] == 2 and counts["ads_rfm_segments"] == 1
     day = warehouse.one_user(tables.read("dws_user_day"), 1).first()
     assert day["event_date"] == dt.date(2024, 6, 1) and float(day["buy_amount"]) == 25.0
@@ -105,7 +109,7 @@ def test_gold_sheet_types(spark, tmp_path):
 
 
 def test_cleaners_apply_to_their_column(spark, folder, tmp_path):
-    source = Source("p", f"{folder}/user_face.csv", schemas.PROFILE_FILE, cleaners={"face": clean_label})
+    source = Source("p", f"{folder}/profiles.csv", schemas.PROFILE_FILE, cleaners={"face": clean_label})
     tables = LayerTables(spark, str(tmp_path / "l"))
     assert tables.load([source]) == {"p": 3}  # without keys nothing is deduplicated
 
@@ -114,9 +118,9 @@ def test_reviews_from_files_to_scored_table(spark, folder, tmp_path):
     from shoplayers.plans.reviews import build_scored_reviews, sentiment_distribution
 
     lines = "".join(f"{i},10,100,{'物流很快好评给力' if i % 2 else '包装破损客服很差'}{i}\n" for i in range(20))
-    (tmp_path / "user_comments.csv").write_text("user_id,goods_id,category_id,comment\n" + lines, "utf-8-sig")
+    (tmp_path / "comments.csv").write_text("user_id,goods_id,category_id,comment\n" + lines, "utf-8-sig")
     tables = LayerTables(spark, str(tmp_path / "layers"))
-    tables.load(default_sources(folder), only={"ods_comment"})
+    tables.load(sources_in(folder), only={"ods_comment"})
     marks = tables.read("ods_comment").select("ingest_id", (F.col("user_id") % 2).cast("int").alias("is_positive"))
     assert build_scored_reviews(tables, marks.filter("is_positive IS NOT NULL")) == 20
     counts = {r["label"]: r["cnt"] for r in sentiment_distribution(tables.read("scored_reviews")).collect()}
