@@ -24,10 +24,11 @@ from bisect import bisect_left
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplayers.llm.common import type_of, word_count
+from shoplayers.llm.common import word_count
 from shoplayers.session import durable
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -110,24 +111,20 @@ def pack_documents(
         .select("group", "id", "copy", "piece", "start", "length")
     )
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "id", "start", "copy"], ascending=[False, True, True, True], kind="stable")
-        bins, offsets, finals = pack(group["length"].tolist(), lengths)
-        bins = np.array(bins, np.int64)
-        return pd.DataFrame(
-            {
-                "id": group["id"].to_numpy(),
-                "copy": group["copy"].to_numpy(),
-                "piece": group["piece"].to_numpy(),
-                "start": group["start"].to_numpy(),
-                "length": group["length"].to_numpy(),
-                "bin_id": (group["group"].to_numpy(np.int64) << 32) | bins,
-                "bin_offset": np.array(offsets, np.int32),
-                "bin_length": np.array(finals, np.int32)[bins],
-            }
-        )
-
-    kind = type_of(docs, id_col)
-    columns = "copy int, piece int, start long, length int, bin_id long, bin_offset int, bin_length int"
-    packed = unfolded.groupBy("group").applyInPandas(run, f"id {kind}, {columns}")
+    names = ["copy", "piece", "start", "length", "bin_id", "bin_offset", "bin_length"]
+    kinds = [T.IntegerType(), T.IntegerType(), T.LongType(), T.IntegerType(), T.LongType(), T.IntegerType(), T.IntegerType()]
+    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *map(T.StructField, names, kinds)])
+    arrow = to_arrow_schema(out)
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "descending"), ("id", "ascending"), ("start", "ascending"), ("copy", "ascending")])
+        bins, offsets, finals = pack(group["length"].to_pylist(), lengths)
+        number = np.array(bins, np.int64)
+        first = group["group"][0].as_py() << 32
+        found = group.select(["id", "copy", "piece", "start", "length"])
+        found = found.append_column("bin_id", pa.array(first | number))
+        found = found.append_column("bin_offset", pa.array(offsets, pa.int32()))
+        return found.append_column("bin_length", pa.array(np.array(finals, np.int32)[number])).cast(arrow)
+
+    packed = unfolded.groupBy("group").applyInArrow(run, out)
     return packed.withColumnRenamed("id", id_col) if id_col != "id" else packed
