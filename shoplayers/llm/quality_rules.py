@@ -36,7 +36,7 @@ MAX_REPEAT_PERCENT = 30
 
 BUCKET_BITS = 14
 SMOOTHING = 1.0
-MIN_SCORE = -0.25
+MIN_SCORE = -0.5
 UNIT = 1 << 20
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 
