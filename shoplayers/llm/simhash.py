@@ -7,9 +7,9 @@ and fingerprints that meet in a variant are linked after their distance has been
 With 64 bits and k = 2 that is 2,081 variants a fingerprint. They are not shuffled one by one. A
 variant is its first P bits plus the rest; a row (fingerprint, first P bits of the variant, flips left)
 stands for all variants that begin so, and the task that gets the group writes out the rest. P grows
-with the number of fingerprints such that a group holds at most `limit` variants. Groups that are still
-larger, because many fingerprints are alike, go on for `STEP` more bits, until every group fits. A group
-of full variants holds at most 2,081 fingerprints, so this ends; no group is cut.
+with the number of fingerprints such that a group holds a quarter of `limit` variants on average. Groups
+beyond `limit`, because many fingerprints are alike, go on for `STEP` more bits, until every group fits. A
+group of full variants holds at most 2,081 fingerprints, so this ends; no group is cut.
 
 All fingerprints that share a variant are linked to the smallest of them: any two are within 2k bits,
 so k - 1 links say the same as all pairs. Inside a task links are reduced to one star a component.
@@ -39,7 +39,7 @@ from shoplayers.session import durable
 BITS = 64
 SEED = 42
 STEP = 8
-VARIANTS_PER_GROUP = 1 << 21
+VARIANTS_PER_GROUP = 1 << 22
 
 
 # --- fingerprints --------------------------------------------------------------------------------
@@ -124,7 +124,7 @@ def _links_of(group: pd.DataFrame, rest: int, flips: int, radius: int) -> pd.Dat
         rows = np.flatnonzero(left == flips_left)
         masks = np.array([m for m, _ in _masks(rest, flips_left)], np.uint64)
         variants.append((base[rows][:, None] ^ masks[None, :]).ravel())
-        owners.append(np.repeat(rows, len(masks)))
+        owners.append(np.repeat(rows.astype(np.int32), len(masks)))
     variant, owner = np.concatenate(variants), np.concatenate(owners)
     order = np.argsort(variant)
     variant, owner = variant[order], owner[order]
@@ -166,7 +166,7 @@ def near_links(prints: DataFrame, radius: int = 4, limit: int = VARIANTS_PER_GRO
     """
     flips = (radius + 1) // 2
     count = prints.count()
-    done = max(1, math.ceil(math.log2(max(2, count * _ball(BITS, flips) / limit))))
+    done = max(1, math.ceil(math.log2(max(2, 4 * count * _ball(BITS, flips) / limit))))
     done = min(done, 24)
     start = prints.select("fingerprint", F.lit(0).cast("long").alias("prefix"), F.lit(flips).alias("left"))
     rows = _extend(start, 0, done, flips)
