@@ -17,6 +17,7 @@ from shoplayers.llm import (
     url_filter,
 )
 from shoplayers.llm.common import table
+from shoplayers.llm.sql import SQL  # noqa: F401  (part of what this module registers)
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,5 +106,3 @@ QUERIES = {
         op10_packing,
     )
 }
-
-SQL = {}
