@@ -23,6 +23,8 @@ an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers.llm.common import WORD
@@ -38,7 +40,12 @@ BUCKET_BITS = 14
 SMOOTHING = 1.0
 MIN_SCORE = -0.5
 UNIT = 1 << 20
-TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
+TOKEN = r"[a-z0-9_\p{L}\p{N}]+|[^\s_\p{L}\p{N}]+"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _after(values: Column, places: int) -> Column:
@@ -46,11 +53,15 @@ def _after(values: Column, places: int) -> Column:
     return F.slice(values, places + 1, F.greatest(F.size(values), F.lit(1)))
 
 
-def _windows(values: Column, join) -> Column:
-    """All runs of eight elements, built by doubling: pairs, fours, eights."""
-    for places in (1, 2, 4):
-        values = F.zip_with(values, _after(values, places), join)
-    return F.slice(values, 1, F.greatest(F.size(values) - (WINDOW - 1), F.lit(0)))
+def _windows(values: Column, join: Callable[[Column, Column], Column], then: Callable[[Column], Column]) -> Column:
+    """`then` of all runs of eight elements, built by doubling into pairs, fours and eights."""
+
+    def doubled(runs: Column, places: int) -> Column:
+        if places == WINDOW:
+            return then(F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0))))
+        return _let(F.zip_with(runs, _after(runs, places), join), lambda longer: doubled(longer, 2 * places))
+
+    return _let(values, lambda single: doubled(single, 1))
 
 
 def _shifted(values: Column, first: Column) -> Column:
@@ -58,48 +69,68 @@ def _shifted(values: Column, first: Column) -> Column:
     return F.slice(F.concat(F.array(first), values), 1, F.size(values))
 
 
-def with_base_counts(rows: DataFrame, text: str) -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the column `text`."""
-    content = F.coalesce(F.col(text), F.lit(""))
+def _repeated_words(words: Column) -> Column:
+    """Words in runs of eight that occur twice or more: sort (run, place), mark runs equal to a
+    neighbour, unite the places they cover."""
+
+    def covered(places: Column) -> Column:
+        lengths = F.zip_with(
+            places, _after(places, 1), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))
+        )
+        return F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
+
+    def marked(ordered: Column, as_next: Column) -> Column:
+        twice = F.zip_with(as_next, _shifted(as_next, F.lit(False)), lambda a, b: a | b)
+        places = F.zip_with(ordered, twice, lambda pair, two: F.when(two, pair["place"]))
+        return _let(F.sort_array(F.filter(places, lambda place: place.isNotNull())), covered)
+
+    def compared(ordered: Column) -> Column:
+        equal = F.zip_with(ordered, _after(ordered, 1), lambda a, b: F.coalesce(a["run"] == b["run"], F.lit(False)))
+        return _let(equal, lambda as_next: marked(ordered, as_next))
+
+    def placed(runs: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(runs) - 1)
+        return _let(F.sort_array(F.zip_with(runs, places, lambda w, i: F.struct(w.alias("run"), i.alias("place")))), compared)
+
+    return _windows(words, lambda a, b: F.concat(a, F.lit(" "), b), placed)
+
+
+def base_counts(text: Column) -> Column:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text, as a struct.
+
+    Equal runs of words have equal hashes, so only where two hashes agree are the words compared.
+    """
+    content = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(WORD))
-    rows = rows.withColumn("_words", F.regexp_extract_all(content, F.lit(WORD), F.lit(0))).withColumn("_lines", lines)
-    hashes = _windows(F.transform("_words", lambda w: F.xxhash64(w)), lambda a, b: F.xxhash64(a, b))
-    rows = rows.withColumn("_hashes", hashes)
-    suspect = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    rows = rows.withColumn("_suspect", suspect).drop("_hashes")
-
-    # Only where hashes agree: sort (run, place), mark runs equal to a neighbour, unite their places.
-    runs = _windows(F.col("_words"), lambda a, b: F.concat(a, F.lit(" "), b))
-    pairs = F.zip_with(
-        runs, F.sequence(F.lit(0), F.size("_words") - WINDOW), lambda w, i: F.struct(w.alias("run"), i.alias("place"))
-    )
-    rows = rows.withColumn("_sorted", F.when(F.col("_suspect"), F.sort_array(pairs)))
-    as_next = F.zip_with("_sorted", _after(F.col("_sorted"), 1), lambda a, b: F.coalesce(a["run"] == b["run"], F.lit(False)))
-    rows = rows.withColumn("_as_next", as_next)
-    twice = F.zip_with("_as_next", _shifted(F.col("_as_next"), F.lit(False)), lambda a, b: a | b)
-    marked = F.zip_with("_sorted", twice, lambda pair, two: F.when(two, pair["place"]))
-    rows = rows.withColumn("_places", F.sort_array(F.filter(marked, lambda place: place.isNotNull())))
-    lengths = F.zip_with(
-        "_places", _after(F.col("_places"), 1), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))
-    )
-    repeated = F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
-    return rows.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": F.regexp_count(content, F.lit(SYMBOLS)).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.coalesce(repeated, F.lit(0)).cast("long"),
-        }
-    ).drop("_words", "_lines", "_suspect", "_sorted", "_as_next", "_places")
 
+    def counts(words: Column) -> Column:
+        suspect = _windows(
+            F.transform(words, lambda w: F.xxhash64(w)),
+            lambda a, b: F.xxhash64(a, b),
+            lambda hashes: F.size(F.array_distinct(hashes)) < F.size(hashes),
+        )
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            F.regexp_count(content, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            _let(lines, lambda all_: (F.size(all_) - F.size(F.array_distinct(all_))).cast("long")).alias("n_dup_lines"),
+            F.when(suspect, _repeated_words(words)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
+        )
+
+    return _let(F.regexp_extract_all(content, F.lit(WORD), F.lit(0)), counts)
 
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
+def _gram_buckets(text: Column, bits: int) -> Column:
+    """Per token, the bucket of its unigram and of the bigram it begins, as one number:
+    unigram * 2^32 + bigram. The last token begins none, which is bucket 2^bits."""
+    mask = F.lit((1 << bits) - 1).cast("long")
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
-def _bucket(*tokens: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(len(tokens)), *tokens), F.lit(1 << bits)).cast("int")
+    def packed(token: Column, following: Column) -> Column:
+        bigram = F.when(following.isNotNull(), F.xxhash64(token, following).bitwiseAND(mask)).otherwise(mask + 1)
+        return F.shiftleft(token.bitwiseAND(mask), 32).bitwiseOR(bigram)
+
+    return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.zip_with(h, _after(h, 1), packed))
 
 
 def likelihood_ratios(
@@ -107,15 +138,12 @@ def likelihood_ratios(
 ) -> DataFrame:
     """(bucket, ratio) for all 2^bits buckets; `ratio` counts units of 2^-20. `trusted` holds ids."""
     marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("marked", F.lit(1))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
-    tokens = texts.select("marked", _tokens(F.col("text")).alias("tokens"))
-    pairs = F.zip_with("tokens", _after(F.col("tokens"), 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    pairs = tokens.select("marked", F.explode(pairs).alias("gram"))
-    bigram = F.when(F.col("gram.b").isNotNull(), _bucket(F.col("gram.a"), F.col("gram.b"), bits=bits))
-    grams = pairs.select("marked", F.explode(F.array(_bucket(F.col("gram.a"), bits=bits), bigram)).alias("bucket"))
-    counted = grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted")
-    )
+    # Placed by id at every size: marks may be many, so they are never assumed to fit a broadcast.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks.hint("shuffle_hash"), "id", "left")
+    packed = texts.select("marked", F.explode(_gram_buckets(F.col("text"), bits)).alias("packed"))
+    buckets = F.array(F.shiftright("packed", 32).cast("int"), F.col("packed").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+    grams = packed.select("marked", F.explode(buckets).alias("bucket"))
+    counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted"))
     every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
     counts = durable(every.join(counted, "bucket", "left").na.fill(0, ["raw", "trusted"]))
     total = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))).scalar()
@@ -128,23 +156,27 @@ def likelihood_ratios(
     return counts.withColumn("total", total).select("bucket", ratio.alias("ratio"))
 
 
-def score_sums(text: Column, ratios: DataFrame, bits: int = BUCKET_BITS) -> tuple[Column, Column]:
-    """Number of n-grams of a text and the sum of their ratios (in units of 2^-20).
+def score_sums(text: Column, ratios: DataFrame, bits: int = BUCKET_BITS) -> Column:
+    """n_grams and ratio_sum (in units of 2^-20) of a text, as a struct.
 
-    The table of 2^bits whole numbers becomes a constant of the plan.
+    The table of 2^bits whole numbers, and 0 for no bigram, becomes a constant of the plan.
     """
     by_bucket = dict(ratios.select("bucket", "ratio").toLocalIterator())
-    numbers = ",".join(str(by_bucket[bucket]) for bucket in range(1 << bits))
+    numbers = ",".join(str(by_bucket.get(bucket, 0)) for bucket in range((1 << bits) + 1))
     table = F.split(F.lit(numbers), ",").cast("array<bigint>")
-    tokens = _tokens(text)
-
-    def both(a: Column, b: Column) -> Column:
-        bigram = F.when(b.isNotNull(), F.get(table, _bucket(a, b, bits=bits)))
-        return F.get(table, _bucket(a, bits=bits)) + F.coalesce(bigram, F.lit(0).cast("long"))
-
-    sums = F.zip_with(tokens, _after(tokens, 1), both)
-    total = F.aggregate(sums, F.lit(0).cast("long"), lambda x, y: x + y)
-    return F.greatest(2 * F.size(tokens) - 1, F.lit(0)).cast("long"), total
+    low = F.lit((1 << 32) - 1)
+
+    def add(total: Column, packed: Column) -> Column:
+        unigram = F.get(table, F.shiftright(packed, 32).cast("int"))
+        return total + unigram + F.get(table, packed.bitwiseAND(low).cast("int"))
+
+    return _let(
+        _gram_buckets(text, bits),
+        lambda packed: F.struct(
+            F.greatest(2 * F.size(packed) - 1, F.lit(0)).cast("long").alias("n_grams"),
+            F.aggregate(packed, F.lit(0).cast("long"), add).alias("ratio_sum"),
+        ),
+    )
 
 
 def judge(
@@ -157,13 +189,15 @@ def judge(
 ) -> DataFrame:
     """One row per input row: id, the counts, base_failed, n_grams, score and kept."""
     ratios = durable(likelihood_ratios(docs, trusted, id_col, text_col, bits))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    grams, total = score_sums(F.col("_text"), ratios, bits)
-    rows = with_base_counts(rows.withColumns({"n_grams": grams, "_sum": total}), "_text")
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        base_counts(F.col(text_col)).alias("base"),
+        score_sums(F.col(text_col), ratios, bits).alias("score"),
+    ).select("id", "base.*", "score.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    reaches = F.col("_sum") >= F.col("n_grams") * F.lit(round(min_score * UNIT))
+    reaches = F.col("ratio_sum") >= F.col("n_grams") * F.lit(round(min_score * UNIT))
     return rows.select(
-        F.col("_id").alias(id_col),
+        F.col("id").alias(id_col),
         "n_words",
         "word_chars",
         "n_symbols",
@@ -171,6 +205,6 @@ def judge(
         "n_repeat_words",
         failed.alias("base_failed"),
         "n_grams",
-        (F.col("_sum") / F.greatest(F.col("n_grams"), F.lit(1)) / UNIT).alias("score"),
+        (F.col("ratio_sum") / F.greatest(F.col("n_grams"), F.lit(1)) / UNIT).alias("score"),
         (~failed & reaches).alias("kept"),
     )

@@ -38,18 +38,15 @@ def test_base_counts(documents, rows):
 TOKEN = re.compile(r"[^\W]+|[^\w\s]+")
 
 
-def spark_hash(count, *tokens):
-    """Spark's xxhash64 of an int and strings: each hash seeds the next."""
-    value = xxhash.xxh64_intdigest(count.to_bytes(4, "little"), 42)
-    for token in tokens:
-        value = xxhash.xxh64_intdigest(token.encode(), value)
-    return value - (1 << 64) if value >> 63 else value
+def bytes_of(number):
+    return number.to_bytes(8, "little")
 
 
 def grams(text, bits):
-    tokens = TOKEN.findall((text or "").lower())
-    found = [spark_hash(1, t) % (1 << bits) for t in tokens]
-    return found + [spark_hash(2, a, b) % (1 << bits) for a, b in zip(tokens, tokens[1:])]
+    """Spark's xxhash64 has seed 42; of several values, each hash seeds the next."""
+    hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in TOKEN.findall((text or "").lower())]
+    pairs = [xxhash.xxh64_intdigest(bytes_of(b), xxhash.xxh64_intdigest(bytes_of(a), 42)) for a, b in zip(hashes, hashes[1:])]
+    return [h % (1 << bits) for h in hashes + pairs]
 
 
 def test_ratio_equals_brute_force(spark):
