@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplayers.session import durable
 
@@ -194,22 +194,17 @@ def fit(
     return Model.from_bytes(bytes(trained["model"]))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """Score every row from its whole text. `carried` is its id or, with `keep`, a struct of all its columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.to_bytes())
+def score_of(text: Column, model: Model, spark: SparkSession) -> Column:
+    """Score of a whole text. Only texts travel to Python and only scores come back."""
+    shared = spark.sparkContext.broadcast(model.to_bytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model.from_bytes(shared.value)
-        for batch in batches:
-            carried = batch.column(0)
-            texts = carried.field(place) if keep else batch.column(1)
-            scores = pa.array([own.score(text.as_py()) for text in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays([carried, scores], ["carried", "score"])
+        for texts in batches:
+            yield pa.array([own.score(text.as_py()) for text in texts], pa.float64())
 
-    place = docs.columns.index(text_col)
-    carried = F.struct(*docs.columns) if keep else F.col(id_col)
-    rows = docs.select(carried.alias("carried"), *([] if keep else [F.col(text_col).alias("text")]))
-    return rows.mapInArrow(run, T.StructType([rows.schema["carried"], T.StructField("score", T.DoubleType())]))
+    return run(text)
 
 
 def classify(
@@ -222,10 +217,11 @@ def classify(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """One row per input row: id, held_out, score (probability of label 1) and predicted."""
-    scored = score(docs, fit(docs, labels, id_col, text_col, label_col, max_rows), id_col, text_col)
+    model = fit(docs, labels, id_col, text_col, label_col, max_rows)
+    scored = docs.select(F.col(id_col).alias("id"), score_of(F.col(text_col), model, docs.sparkSession).alias("score"))
     return scored.select(
-        F.col("carried").alias(id_col),
-        held_out(F.col("carried")).alias("held_out"),
+        F.col("id").alias(id_col),
+        held_out(F.col("id")).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
@@ -236,4 +232,4 @@ def accepted(
 ) -> DataFrame:
     """The rows the classifier doesn't reject, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
-    return score(docs, model, id_col, text_col, keep=True).filter(F.col("score") >= threshold).select("carried.*")
+    return docs.filter(score_of(F.col(text_col), model, docs.sparkSession) >= threshold)
