@@ -11,9 +11,10 @@ from shoplayers.functions.columns import (
     epoch_seconds, epoch_to_timestamp, segment_label, strip, tolerant_seconds,
 )
 from shoplayers.functions.ordered import tile, with_stratum_position
-from shoplayers.operators.quality import require_unique
+from shoplayers.operators.quality import not_null_violations, require, require_unique
+from shoplayers.plans.reports import totals_reconciliation
 from shoplayers.sources.files import LayerTables, Source
-from shoplayers.sources.schemas import KEYS, MONEY_SUM
+from shoplayers.sources.schemas import KEYS, MONEY_SUM, NOT_NULL
 
 
 def _behaviour_code() -> Column:
@@ -148,29 +149,50 @@ def rfm_segments(user_day: DataFrame, reference_date: dt.date | str) -> DataFram
     return build_rfm_segments(build_rfm_scores(build_rfm_raw(user_day, reference_date)))
 
 
+def check_constraints(tables: LayerTables, built: dict[str, int]) -> None:
+    """Raise if a built table breaks a declared NOT NULL or key."""
+    for table, columns in NOT_NULL.items():
+        if table in built:
+            broken = not_null_violations(tables.read(table), columns).filter("violations > 0").collect()
+            if broken:
+                raise ValueError(f"{table}: NULLs in {[row.asDict() for row in broken]}")
+    for table, keys in KEYS.items():
+        if table in built and table != "dwd_user_behavior":  # its key is the load's own row id
+            require_unique(tables.read(table), keys, table)
+
+
+def check_layers(tables: LayerTables, built: dict[str, int]) -> None:
+    """Raise if rows or totals get lost between layers: raw = detail + quarantine, detail = daily."""
+    detail, daily = tables.read("dwd_user_behavior"), tables.read("dws_user_day")
+    if built["ods_user_behavior"] != built["dwd_user_behavior"] + built["dwd_quarantine"]:
+        raise ValueError(f"raw rows are neither in the detail layer nor in quarantine: {built}")
+    require(totals_reconciliation(detail, daily), F.col("diff") == 0, "totals differ between layers")
+
+
 def build_warehouse(
     tables: LayerTables,
     sources: list[Source],
     reference_date: dt.date | str,
     zone: str = "UTC",
 ) -> dict[str, int]:
-    """Load the source files, build every layer as a stored table, and check its key.
+    """Load the source files, build every layer as a stored table, and check it.
 
-    Each layer is read back from its table, so a later layer never recomputes an earlier one.
+    Each layer is read back from its table, so a later layer never recomputes an earlier one. Rows the
+    detail layer does not take are stored with their reason. Declared constraints, row counts and totals
+    are checked at the end.
     """
     counts = tables.load(sources)
-    counts["dwd_user_behavior"] = tables.write(
-        build_dwd(tables.read("ods_user_behavior"), zone), "dwd_user_behavior", "event_date"
-    )
+    raw = tables.read("ods_user_behavior")
+    counts["dwd_user_behavior"] = tables.write(build_dwd(raw, zone), "dwd_user_behavior", "event_date")
+    counts["dwd_quarantine"] = tables.write(quarantine(raw), "dwd_quarantine")
     counts["dws_user_day"] = tables.write(
         build_user_day(tables.read("dwd_user_behavior")), "dws_user_day", "event_date"
     )
     counts["ads_rfm_segments"] = tables.write(
         rfm_segments(tables.read("dws_user_day"), reference_date), "ads_rfm_segments"
     )
-    for table, keys in KEYS.items():
-        if table in counts and table != "dwd_user_behavior":  # its key is the load's own row id
-            require_unique(tables.read(table), keys, table)
+    check_constraints(tables, counts)
+    check_layers(tables, counts)
     return counts
 
 

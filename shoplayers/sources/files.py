@@ -7,40 +7,70 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from shoplayers.functions.columns import clean_label
 from shoplayers.operators.cleaning import keep_first
 from shoplayers.sources import schemas
 
 BOM = "\ufeff"
+CORRUPT = "_corrupt_record"
 
 
-def read_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType,
-    encoding: str = "UTF-8",
-    multi_line: bool = True,
-) -> DataFrame:
-    """A CSV file with a header, declared types and a declared text encoding, plus `ingest_id`.
-
-    `multi_line` keeps quoted line breaks but reads each file in one task, so deliver big logs as
-    many files, or switch it off where no field holds a line break. Encodings outside Spark's
-    short list need `spark.sql.legacy.javaCharsets=true`, which is set here when it is missing.
-    """
+def _csv(spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str, multi_line: bool) -> DataFrame:
     if encoding.upper() not in {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    rows = (
+    return (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", encoding)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    return rows.select(F.monotonically_increasing_id().alias("ingest_id"), *schema.names)
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> DataFrame:
+    """CSV files with a header, declared types and a declared text encoding, plus `ingest_id`.
+
+    `ingest_id` numbers the rows by file name, place of the split in its file and place in the split,
+    whatever order Spark reads splits in. Only the number of rows per split is needed for that, one row
+    a split. `multi_line` keeps quoted line breaks but reads each file in one task; it is for files of
+    free texts. Encodings outside Spark's short list need `spark.sql.legacy.javaCharsets=true`, which is
+    set here when it is missing.
+    """
+    rows = _csv(spark, path, schema, encoding, multi_line).select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    splits = rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
+    begins = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    placed = rows.join(begins, ["_file", "_block"])
+    return placed.select((F.col("_begin") + F.col("_at") - F.col("_first")).alias("ingest_id"), *schema.names)
+
+
+def malformed_records(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
+    """(file, record) of every record with a cell that does not have its declared type.
+
+    Reading turns such a cell into NULL; this is the trace of it.
+    """
+    watched = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = _csv(spark, path, watched, encoding, multi_line).select("*", F.col("_metadata.file_path").alias("file"))
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.names])) >= 0  # makes Spark parse the cells
+    return rows.filter(F.col(CORRUPT).isNotNull() & parsed).select("file", F.col(CORRUPT).alias("record"))
 
 
 @dataclass(frozen=True)
@@ -51,16 +81,20 @@ class Source:
     path: str
     schema: T.StructType
     encoding: str = "UTF-8"
-    multi_line: bool = True
+    multi_line: bool = False
     keys: Sequence[str] = ()
     cleaners: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
 def standard_sources(behaviour: str, comments: str, categories: str, profiles: str) -> list[Source]:
-    """The four sources of the warehouse: a GB18030 behaviour log and three UTF-8 files."""
+    """The four sources of the warehouse: a GB18030 behaviour log and three UTF-8 files.
+
+    The log is read line by line, so a large file is split over many tasks; a log whose comments hold
+    line breaks needs `dataclasses.replace(source, multi_line=True)`. Comments are read with them.
+    """
     return [
         Source("ods_user_behavior", behaviour, schemas.BEHAVIOUR_FILE, "GB18030"),
-        Source("ods_comment", comments, schemas.COMMENT_FILE),
+        Source("ods_comment", comments, schemas.COMMENT_FILE, multi_line=True),
         Source("dim_category", categories, schemas.CATEGORY_FILE, keys=("category_id",)),
         Source("dim_user_profile", profiles, schemas.PROFILE_FILE, keys=("user_id",), cleaners={"face": clean_label}),
     ]
@@ -70,12 +104,15 @@ class LayerTables:
     """Parquet tables under one root, each fully replaced by a load.
 
     A load writes a folder of its own; readers take the newest folder whose job has committed.
-    A failed load therefore leaves the table as it was, and a repeated load never doubles rows.
+    A failed load therefore leaves the table as it was, and a repeated load never doubles rows. The
+    Hadoop file system is reached through the session's JVM, so this class needs a classic session.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_loads: int = 2):
+        """`keep_loads` committed loads of a table stay, at least one: readers may still be on the last but one."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_loads = max(1, keep_loads)
 
     def _folder(self, path: str):
         jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -106,6 +143,9 @@ class LayerTables:
             df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
         else:
             df.write.parquet(path)
+        for old in self.loads(table)[: -self.keep_loads]:
+            fs, folder = self._folder(f"{self.root}/{table}/{old}")
+            fs.delete(folder, True)
         return self.spark.read.parquet(path).count()
 
     def read(self, table: str) -> DataFrame:
@@ -154,7 +194,7 @@ def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
     """The sheet people filled in, with its key types forced."""
-    return read_csv(spark, path, schemas.GOLD_FILE).drop("ingest_id")
+    return read_csv(spark, path, schemas.GOLD_FILE, multi_line=True).drop("ingest_id")
 
 
 def cache_scores(scored: DataFrame, tables: LayerTables, table: str = "scored_reviews") -> int:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shoplayers.functions.columns import sentiment_band
 
 SECOND_DELIVERY = 1_000_000_000_000
+# Phrases in which shop terms stand at even and odd places, after stop words and next to each other.
+PHRASES = ("的物流快", "京东的物流很快", "这快递员好", "性价比高的正品", "第三方卖家发货速度慢", "不好的客服和售后", "包装破损")
 GAPS = {
     "sex": "IF(ingest_id % 13 = 0, NULL, sex)",
     "price": "IF(ingest_id % 17 = 0, NULL, price)",
@@ -22,15 +24,6 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over all cores when the files give fewer splits than there are cores.
-
-    For CPU-heavy text work on a few files; a large scan already has more splits and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def behaviour(spark: SparkSession, folder: str) -> DataFrame:
     """Raw behaviour log from `events`."""
     goods = "CAST(get_json_object(props, '$.k') AS BIGINT)"
@@ -44,7 +37,7 @@ def behaviour(spark: SparkSession, folder: str) -> DataFrame:
         "WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior",
         "CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 101 = 0 THEN '' "
         f"WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN concat({seconds}, '.5') "
-        f"ELSE {seconds} END AS timestamp",
+        f"WHEN event_id % 109 = 0 THEN concat('-', {seconds}) ELSE {seconds} END AS timestamp",
         "CAST(user_id % 2 AS INT) AS sex",
         "CAST(NULL AS STRING) AS address",
         "concat('dev', user_id % 7) AS device",
@@ -103,13 +96,15 @@ def category_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw reviews from `documents`: whole texts, plus near copies, missing and too short ones."""
-    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    """Raw reviews from `documents`: whole texts, a third of them with a Chinese phrase behind, plus near
+    copies, missing and too short ones."""
+    phrases = ", ".join(f"'{phrase}'" for phrase in PHRASES)
+    said = f"IF(doc_id % 3 = 0, concat(text, ' ', element_at(array({phrases}), CAST(doc_id % {len(PHRASES)} AS INT) + 1)), text)"
     return (
-        _spread(documents, "doc_id")
+        _table(spark, folder, "documents")
         .selectExpr(
             "doc_id",
-            "text",
+            f"{said} AS text",
             "CASE WHEN doc_id % 25 = 0 THEN 1 WHEN doc_id % 100 = 1 THEN 2 WHEN doc_id % 100 = 2 THEN 3 "
             "WHEN doc_id % 100 = 3 THEN 4 ELSE 0 END AS extra",
         )

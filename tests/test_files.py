@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from shoplayers.functions.columns import clean_label
 from shoplayers.plans import warehouse
 from shoplayers.sources import schemas
 from shoplayers.sources.files import (
-    LayerTables, Source, cache_scores, read_csv, read_gold_csv, standard_sources, write_report,
+    LayerTables, Source, cache_scores, malformed_records, read_csv, read_gold_csv, standard_sources, write_report,
 )
 
 DAY = 1717200000
@@ -32,11 +33,13 @@ def folder(tmp_path):
 
 
 def sources_in(folder):
-    return standard_sources(*[f"{folder}/{name}.csv" for name in ("behaviour", "comments", "categories", "profiles")])
+    log, *others = standard_sources(*[f"{folder}/{name}.csv" for name in ("behaviour", "comments", "categories", "profiles")])
+    return [replace(log, multi_line=True), *others]
 
 
 def test_gb18030_with_quoted_line_break(spark, folder):
-    rows = read_csv(spark, f"{folder}/behaviour.csv", schemas.BEHAVIOUR_FILE, "GB18030").orderBy("ingest_id").collect()
+    rows = read_csv(spark, f"{folder}/behaviour.csv", schemas.BEHAVIOUR_FILE, "GB18030", multi_line=True)
+    rows = rows.orderBy("ingest_id").collect()
     assert len(rows) == 4
     assert rows[0]["comment"] == "第一行\n第二行" and rows[0]["address"] == "北京"
     assert rows[1]["comment"] == "NA" and str(rows[1]["price"]) == "12.50"
@@ -79,7 +82,7 @@ def test_missing_table_is_reported(spark, tmp_path):
 def test_whole_warehouse_from_files(spark, folder, tmp_path):
     tables = LayerTables(spark, str(tmp_path / "layers"))
     counts = warehouse.build_warehouse(tables, sources_in(folder), "2024-06-04")
-    assert counts["dwd_user_behavior"] == 3 and counts["dws_user_day"] == 2 and counts["ads_rfm_segments"] == 1
+    assert counts["dwd_quarantine"] == 1 and counts["dwd_user_behavior"] == 3 and counts["dws_user_day"] == 2 and counts["ads_rfm_segments"] == 1
     day = warehouse.one_user(tables.read("dws_user_day"), 1).first()
     assert day["event_date"] == dt.date(2024, 6, 1) and float(day["buy_amount"]) == 25.0
     plan = tables.read("dwd_user_behavior").filter("event_date = DATE'2024-06-01'")._jdf.queryExecution().executedPlan().toString()
@@ -125,3 +128,67 @@ def test_reviews_from_files_to_scored_table(spark, folder, tmp_path):
     assert build_scored_reviews(tables, marks.filter("is_positive IS NOT NULL")) == 20
     counts = {r["label"]: r["cnt"] for r in sentiment_distribution(tables.read("scored_reviews")).collect()}
     assert counts == {"正面": 10, "中性": 0, "负面": 10}
+
+
+def test_first_row_follows_file_names_not_sizes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("user_id,face\n1,small file\n")
+    (tmp_path / "in" / "b.csv").write_text("user_id,face\n" + "".join(f"{i},large file\n" for i in range(5000)))
+    rows = read_csv(spark, str(tmp_path / "in"), schemas.PROFILE_FILE)
+    assert [r["ingest_id"] for r in rows.orderBy("ingest_id").collect()] == list(range(5001))
+    assert rows.orderBy("ingest_id").first()["face"] == "small file"
+    tables = LayerTables(spark, str(tmp_path / "layers"))
+    tables.load([Source("p", str(tmp_path / "in"), schemas.PROFILE_FILE, keys=("user_id",))])
+    assert tables.read("p").filter("user_id = 1").first()["face"] == "small file"
+
+
+def test_numbers_follow_places_when_a_file_is_split(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("user_id,face\n" + "".join(f"{i},row {i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        rows = read_csv(spark, str(tmp_path / "big.csv"), schemas.PROFILE_FILE)
+        assert rows.rdd.getNumPartitions() > 1
+        assert rows.filter("ingest_id <> user_id").count() == 0 and rows.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_malformed_cells_leave_a_trace(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("user_id,face\n1,a\nx,b\n3,c\n")
+    found = malformed_records(spark, str(tmp_path / "p.csv"), schemas.PROFILE_FILE)
+    assert [r["record"] for r in found.collect()] == ["x,b"] and found.count() == 1
+
+
+def test_old_loads_are_removed(spark, folder, tmp_path):
+    tables = LayerTables(spark, str(tmp_path / "layers"), keep_loads=2)
+    for _ in range(4):
+        tables.load(sources_in(folder), only={"dim_category"})
+    assert len(tables.loads("dim_category")) == 2 and tables.read("dim_category").count() == 2
+
+
+def test_broken_constraints_stop_the_build(spark, folder, tmp_path):
+    header = (tmp_path / "categories.csv").read_text("utf-8-sig")
+    (tmp_path / "categories.csv").write_text(header + ",5,no id\n", "utf-8-sig")
+    with pytest.raises(ValueError, match="dim_category"):
+        warehouse.build_warehouse(LayerTables(spark, str(tmp_path / "layers")), sources_in(folder), "2024-06-04")
+
+
+def test_all_reports_are_written(spark, folder, tmp_path):
+    from shoplayers.plans import publish
+    from shoplayers.plans.reviews import build_scored_reviews
+
+    lines = "".join(f"{i},10,100,{'物流很快好评给力' if i % 2 else '包装破损客服很差'}{i}\n" for i in range(20))
+    (tmp_path / "comments.csv").write_text("user_id,goods_id,category_id,comment\n" + lines, "utf-8-sig")
+    tables = LayerTables(spark, str(tmp_path / "layers"))
+    warehouse.build_warehouse(tables, sources_in(folder), "2024-06-04")
+    marks = tables.read("ods_comment").select("ingest_id", (F.col("user_id") % 2).cast("int").alias("is_positive"))
+    build_scored_reviews(tables, marks)
+    out = tmp_path / "reports"
+    (tmp_path / "gold.csv").write_text(
+        "user_id,goods_id,comment,gold\n1,10,物流很快好评给力1,真正面\n2,10,包装破损客服很差2,真负面\n", "utf-8-sig"
+    )
+    names = publish.publish_warehouse_reports(tables, str(out)) + publish.publish_review_reports(tables, str(out))
+    names += publish.publish_gold_reports(tables, str(tmp_path / "gold.csv"), str(out))
+    for name in names:
+        files = [f for f in (out / name).iterdir() if f.suffix == ".csv"]
+        assert files and all(f.read_bytes().startswith(b"\xef\xbb\xbf") for f in files), name
