@@ -4,7 +4,8 @@
 BEHAVIOURS = ("pv", "cart", "fav", "buy")
 FUNNEL_STAGES = ("pv", "cart", "buy", "fav")
 
-# --- Fixed values: largest epoch second that still converts to a timestamp --------------------
+# --- Fixed values: first and last epoch second that convert to a timestamp ---------------------
+MIN_EPOCH_SECOND = -62_135_596_800
 MAX_EPOCH_SECOND = 32_536_771_199
 
 # --- Fixed values: segment labels by (recency high, frequency high, money high) ---------------
@@ -62,6 +63,9 @@ SHEET_CHARS = 80
 HISTOGRAM_BINS = 20
 SEED = 42
 
+# --- Bound on the labelled rows that the margin model is fitted on ---------------------------
+MAX_FIT_ROWS = 100_000
+
 # --- Fixed values: switch the model only above both limits ------------------------------------
 DECISION_MIN_GAIN_POINTS = 5.0
 DECISION_MAX_P = 0.05

@@ -37,11 +37,6 @@ def word_characters(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}\p{N}_]+", "")
 
 
-def any_case(text: Column) -> Column:
-    """Text that compares and groups without regard to case and accents."""
-    return F.collate(text, "UNICODE_CI_AI")
-
-
 def is_digits(text: Column) -> Column:
     """True for a non-empty run of ASCII digits, false for anything else and for NULL."""
     return F.coalesce(text.rlike(r"^[0-9]+\z"), F.lit(False))
@@ -63,9 +58,10 @@ def epoch_to_timestamp(quantity: Column, unit: str = "SECOND", zone: str = "UTC"
 
 
 def tolerant_seconds(text: Column) -> Column:
-    """Epoch seconds from anything numeric, e.g. `12.5` or `1e9`; NULL for the rest."""
+    """Epoch seconds from anything numeric, e.g. `12.5`, `-60` or `1e9`; NULL for text, NaN and what
+    lies outside the years 1 to 3001 and has no timestamp."""
     number = text.try_cast("double")
-    return F.when(number.between(0, K.MAX_EPOCH_SECOND) & ~F.isnan(number), number)
+    return F.when(number.between(K.MIN_EPOCH_SECOND, K.MAX_EPOCH_SECOND) & ~F.isnan(number), number)
 
 
 def clamp(value: Column, low: float | int, high: float | int) -> Column:

@@ -1,7 +1,7 @@
 """Model fitting on Spark ML: purchase models on event features, sentiment models on text.
 
 Training data stays distributed. What reaches the driver is what a linear model is made of:
-moments, coefficients, cluster centres and, for text, the vocabulary behind the coefficients.
+moments, coefficients and cluster centres; for text a fixed number of hashed buckets.
 """
 
 from __future__ import annotations
@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,6 +23,7 @@ from shoplayers.functions.numbers import ratio
 from shoplayers.operators.evaluation import binary_metrics, exclude_gold, roc_auc
 from shoplayers.operators.sampling import fold_ids
 from shoplayers.operators.text import terms
+from shoplayers.session import durable
 
 METRICS = ("accuracy", "precision", "recall", "f1")
 
@@ -83,7 +85,7 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
     ).fit(weighted)
 
 
-def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 200, tol: float = 1e-3) -> LinearSVCModel:
+def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 5000, tol: float = 1e-6) -> LinearSVCModel:
     """Linear support vector machine with balanced classes; its raw score ranks, it gives no probability."""
     weighted, rows = with_class_weights(train)
     return LinearSVC(
@@ -120,10 +122,13 @@ def feature_importance(model: LogisticRegressionModel, spark: SparkSession, feat
     return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def cluster_rows(scaled: DataFrame, k: int = 3, seed: int = K.SEED) -> DataFrame:
+def cluster_rows(scaled: DataFrame, k: int = 3, seed: int = K.SEED, label: str = "label") -> DataFrame:
     """K-means cluster per row; clusters are numbered by their label rate, highest first."""
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(scaled)
-    return model.transform(scaled)
+    clustered = model.transform(scaled)
+    rates = clustered.groupBy("cluster").agg(F.avg(F.col(label).cast("double")).alias("rate"))
+    order = [row["cluster"] for row in rates.orderBy(F.desc("rate"), "cluster").collect()]  # k rows at most
+    return clustered.withColumn("cluster", F.array_position(F.array(*[F.lit(c) for c in order]), F.col("cluster")).cast("int") - 1)
 
 
 def cluster_report(clustered: DataFrame, label: str = "label") -> DataFrame:
@@ -142,7 +147,11 @@ def cross_validate(scaled: DataFrame, folds: int = 5, key: str = "id") -> DataFr
 
     Out-of-fold predictions are made first; the metrics of all folds are then one aggregate.
     """
-    predicted = out_of_fold(scaled, folds, key)
+    return fold_metrics(out_of_fold(scaled, folds, key))
+
+
+def fold_metrics(predicted: DataFrame) -> DataFrame:
+    """Mean and population deviation over folds of the metrics of each fold, in one aggregate."""
     truth, positive = F.col("label") == 1, F.col("predicted") == 1
     tp, pp, ap = F.count_if(truth & positive), F.count_if(positive), F.count_if(truth)
     per_fold = predicted.groupBy("fold").agg(
@@ -184,16 +193,21 @@ def model_report(logistic: DataFrame, svm: DataFrame, validation: DataFrame) ->
 # --- text models -------------------------------------------------------------------------------
 
 
+# Buckets that terms are hashed into. A model has one coefficient per bucket and class whatever the
+# vocabulary: three times 2^16 numbers, 1.5 MB. Terms that share a bucket share its weight.
+TEXT_FEATURES = 1 << 16
+
+
 @dataclass(frozen=True)
 class TextModel:
-    """Fitted text classifier: vocabulary, term weights, classifier."""
+    """Fitted text classifier: hashed terms, bucket weights, classifier."""
 
-    vectorizer: CountVectorizerModel
+    hasher: HashingTF
     scaling: ElementwiseProduct
     classifier: LogisticRegressionModel
 
     def features(self, df: DataFrame) -> DataFrame:
-        counted = self.vectorizer.transform(df.withColumn("terms", terms(F.col("comment"))))
+        counted = self.hasher.transform(df.withColumn("terms", terms(F.col("comment"))))
         weighted = self.scaling.transform(counted)
         return Normalizer(p=2.0, inputCol="weighted", outputCol="features").transform(weighted).drop(
             "terms", "counts", "weighted"
@@ -216,55 +230,63 @@ def _class_index(label: str) -> Column:
 
 
 def fit_text_classifier(
-    train: DataFrame, label: str, min_df: int = 2, max_iter: int = 100, tol: float = 1e-4, vocabulary_limit: int = 1 << 22
+    train: DataFrame,
+    label: str,
+    min_df: int = 2,
+    max_iter: int = 1000,
+    tol: float = 1e-4,
+    num_features: int = TEXT_FEATURES,
 ) -> TextModel:
     """Three-class logistic regression on weighted terms, classes balanced.
 
-    Term weights are count * (ln((n + 1) / (df + 1)) + 1), each review scaled to length 1. A
-    linear model holds one coefficient per term and class, so the vocabulary must fit the driver;
-    a larger one is refused rather than cut. Spark's solver works on standardised features, where
-    rare terms converge slowly: the last digits of the coefficients depend on `max_iter`.
+    Terms are hashed into `num_features` buckets; no vocabulary is kept anywhere, so the model's size
+    does not depend on the texts. A bucket's weight is count * (ln((n + 1) / (df + 1)) + 1), 0 below
+    `min_df` reviews; each review is scaled to length 1. The solver stops by tolerance.
     """
     marked = train.filter(F.col(label).isNotNull()).withColumn("terms", terms(F.col("comment")))
-    marked = marked.select("terms", _class_index(label).alias("label")).persist()
-    try:
-        vectorizer = CountVectorizer(
-            inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=vocabulary_limit + 1
-        ).fit(marked)
-        if len(vectorizer.vocabulary) > vocabulary_limit:
-            raise ValueError(f"more than {vocabulary_limit} terms; raise min_df or vocabulary_limit")
-        counted = vectorizer.transform(marked)
-        idf = IDF(inputCol="counts", outputCol="unused").fit(counted).idf.toArray() + 1.0
-        scaling = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted")
-        normal = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-        vectors = normal.transform(scaling.transform(counted)).select("features", "label")
-        weighted, rows = with_class_weights(vectors)
-        classifier = LogisticRegression(
-            family="multinomial", weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
-            standardization=False, maxIter=max_iter, tol=tol,
-        ).fit(weighted)
-    finally:
-        marked.unpersist()
-    return TextModel(vectorizer, scaling, classifier)
-
-
-def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 100) -> TextModel:
+    marked = marked.select("terms", _class_index(label).alias("label"))
+    hasher = HashingTF(inputCol="terms", outputCol="counts", numFeatures=num_features)
+    counted = durable(hasher.transform(marked).select("counts", "label"))
+    fitted = IDF(inputCol="counts", outputCol="unused").fit(counted)
+    frequent = np.asarray(fitted.docFreq) >= min_df
+    scaling = ElementwiseProduct(
+        scalingVec=Vectors.dense(np.where(frequent, fitted.idf.toArray() + 1.0, 0.0)), inputCol="counts", outputCol="weighted"
+    )
+    normal = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
+    vectors = normal.transform(scaling.transform(counted)).select("features", "label")
+    weighted, rows = with_class_weights(vectors)
+    classifier = LogisticRegression(
+        family="multinomial", weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
+        standardization=False, maxIter=max_iter, tol=tol,
+    ).fit(weighted)
+    return TextModel(hasher, scaling, classifier)
+
+
+def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 1000) -> TextModel:
     """Train on the scorer's own bands, with every gold row kept out of the training set."""
     return fit_text_classifier(exclude_gold(scored, gold), "label", max_iter=max_iter)
 
 
-def text_top_features(model: TextModel, spark: SparkSession, k: int = 20) -> DataFrame:
-    """The terms that point most and least to the negative class."""
-    row = model.classifier.coefficientMatrix.toArray()[K.CLASSES.index(K.NEGATIVE)]
-    named = spark.createDataFrame(
-        [(term, float(value)) for term, value in zip(model.vectorizer.vocabulary, row)], "term string, coefficient double"
-    )
+def text_top_features(model: TextModel, reviews: DataFrame, k: int = 20, min_df: int = 2) -> DataFrame:
+    """The terms of `reviews` that point most and least to the negative class.
+
+    Every distinct term goes through the classifier as a text of its own, where the raw score is its
+    bucket's coefficient plus the intercept. Terms in fewer than `min_df` reviews are left out; terms
+    that share a bucket share its coefficient.
+    """
+    each = reviews.select(F.explode(F.array_distinct(terms(F.col("comment")))).alias("term"))
+    distinct = each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    hashed = model.hasher.transform(distinct.select("term", F.array("term").alias("terms")))
+    scored = model.classifier.transform(hashed.withColumnRenamed("counts", "features"))
+    place = K.CLASSES.index(K.NEGATIVE)
+    raw = vector_to_array("rawPrediction")[place] - F.lit(float(model.classifier.interceptVector[place]))
+    named = scored.select("term", raw.alias("coefficient"))
     most = named.orderBy(F.desc("coefficient"), "term").limit(k).withColumn("side", F.lit("negative"))
     least = named.orderBy("coefficient", "term").limit(k).withColumn("side", F.lit("not negative"))
     return most.unionByName(least)
 
 
-def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 100) -> DataFrame:
+def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 1000) -> DataFrame:
     """Gold rows with the class predicted by a model that did not see them."""
     numbered = fold_ids(gold, label=label, key="ingest_id", folds=folds)
     parts = []

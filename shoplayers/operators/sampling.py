@@ -36,9 +36,11 @@ def labelling_sheet(sample: DataFrame, seed: int = K.SEED, key: str = "ingest_id
 
 
 def short_bands(scored: DataFrame, per_band: int = K.SAMPLE_PER_BAND) -> DataFrame:
-    """Bands with fewer rows than a full sample needs."""
+    """Bands with fewer rows than a full sample needs, bands without any row included."""
+    bands = scored.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in K.CLASSES])).alias("label"))
     counts = scored.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.filter(F.col("cnt") < per_band)
+    listed = bands.join(counts, "label", "left").select("label", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    return listed.filter(F.col("cnt") < per_band)
 
 
 def equidistant_sheet(
@@ -75,20 +77,21 @@ def stratified_split(
     key: str = "id",
     train_share: float = 0.7,
     seed: int = K.SEED,
+    max_fit_rows: int = K.MAX_FIT_ROWS,
 ) -> DataFrame:
     """Mark every row as train or test with the same share in each label, and mark a train subsample.
 
-    The subsample takes 10% of the training rows of a label when there are more than 100,000
-    training rows in all, else 30%.
+    `max_fit_rows` bounds the subsample: it takes the same share of the training rows of every label,
+    all of them as long as they are no more than that.
     """
     placed = with_stratum_position(df.withColumn("_draw", shuffle_key(seed, key)), label, ["_draw", key])
     train_size = F.round(F.col("stratum_size") * F.lit(train_share)).cast("long")
     total_train = df.agg(F.round(F.count(F.lit(1)) * F.lit(train_share))).scalar()
-    sub_share = F.when(total_train > 100_000, F.lit(0.1)).otherwise(F.lit(0.3))
+    fit_share = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(float(max_fit_rows)), total_train), F.lit(1.0)))
     return placed.withColumns(
         {
             "is_train": (F.col("position") <= train_size).cast("int"),
-            "in_subsample": (F.col("position") <= F.round(train_size * sub_share)).cast("int"),
+            "in_subsample": (F.col("position") <= F.floor(train_size * fit_share)).cast("int"),
         }
     ).drop("_draw", "position", "stratum_size")
 

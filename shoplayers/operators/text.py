@@ -11,21 +11,23 @@ from shoplayers import constants as K
 from shoplayers.functions.columns import sentiment_band, strip, word_characters
 from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.operators.cleaning import keep_first
-from shoplayers.session import durable
+from shoplayers.session import durable, stored
 
-# A fitted token table up to this many rows (some 100 MB) may be broadcast.
-BROADCAST_TOKENS = 1_000_000
-
-
-def _token_pattern() -> str:
-    """Words of two or more non-Han characters; in Han text shop terms (longest first), else pairs."""
-    shop_terms = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
-    return rf"[\p{{L}}\p{{N}}_&&\P{{IsHan}}]{{2,}}|(?=\p{{IsHan}})(?:{shop_terms}|\p{{IsHan}}{{2}})"
+# A fitted token table of up to this many bytes may be broadcast.
+BROADCAST_BYTES = 64 << 20
+_SHOP_TERMS = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
+_BREAK = "\x01"
 
 
 def tokens(text: Column) -> Column:
-    """Tokens of two or more characters that are neither stop words nor digits."""
-    found = F.regexp_extract_all(text, F.lit(_token_pattern()), F.lit(0))
+    """Tokens of two or more characters that are neither stop words nor digits.
+
+    Shop terms are set apart first, the longest first, so nothing before a term can take part of it.
+    What remains gives pairs of Han characters and words of other characters.
+    """
+    apart = F.regexp_replace(text, f"({_SHOP_TERMS})", f"{_BREAK}$1{_BREAK}")
+    pattern = rf"{_SHOP_TERMS}|\p{{IsHan}}{{2}}|[\p{{L}}\p{{N}}_&&\P{{IsHan}}]{{2,}}"
+    found = F.regexp_extract_all(apart, F.lit(pattern), F.lit(0))
     return F.filter(found, lambda w: ~w.isin(*K.STOP_WORDS) & ~w.rlike(r"^\p{Nd}+$"))
 
 
@@ -130,7 +132,7 @@ def top_words(reviews: DataFrame, k: int = 20) -> DataFrame:
 
 @dataclass(frozen=True)
 class SentimentModel:
-    """Fitted evidence per token (a durable table), its size, and the evidence before any token."""
+    """Fitted evidence per token (a durable table), its bytes, and the evidence before any token."""
 
     log_odds: DataFrame
     size: int
@@ -179,14 +181,15 @@ def fit_sentiment(reviews: DataFrame, marks: DataFrame) -> SentimentModel:
     )
     if not classes["positive"] or not classes["negative"]:
         raise ValueError("both classes need at least one marked review")
-    return SentimentModel(log_odds, log_odds.count(), math.log(classes["positive"] / classes["negative"]))
+    size = log_odds.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0)).alias("size")).first()["size"]
+    return SentimentModel(log_odds, size, math.log(classes["positive"] / classes["negative"]))
 
 
-def score_reviews(reviews: DataFrame, model: SentimentModel, broadcast_limit: int = BROADCAST_TOKENS) -> DataFrame:
+def score_reviews(reviews: DataFrame, model: SentimentModel, broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Sentiment score in [0, 1] per review (probability of positive) and its band.
 
     Tokens outside the training vocabulary carry no evidence. A model of up to `broadcast_limit`
-    tokens is broadcast, so tokens are never shuffled; a larger one is joined by shuffle with
+    bytes is broadcast, so tokens are never shuffled; a larger one is joined by shuffle with
     frequent tokens cut into pieces. Either way only ids and sums move until the text is attached.
     """
     words = exploded_words(reviews)
@@ -209,8 +212,8 @@ def score_reviews(reviews: DataFrame, model: SentimentModel, broadcast_limit: in
 
 def fit_and_score(reviews: DataFrame, marks: DataFrame) -> DataFrame:
     """Store the cleaned reviews once, then fit on the marked ones and score all of them."""
-    stored = durable(reviews.drop("norm"))
-    return score_reviews(stored, fit_sentiment(stored, marks))
+    kept = stored(reviews.drop("norm"))
+    return score_reviews(kept, fit_sentiment(kept, marks))
 
 
 # --- term weights ------------------------------------------------------------------------------

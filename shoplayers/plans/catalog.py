@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import clean_label
 from shoplayers.functions.ordered import exact_quantiles
 from shoplayers.operators import cleaning, evaluation, learning, quality, sampling, text
-from shoplayers.plans import comparison, exploration, oracle, reports, reviews, warehouse
+from shoplayers.plans import comparison, exploration, oracle, reports, reviews, roundtrips, warehouse
 from shoplayers.plans.oracle import REFERENCE_DATE, mean, money_mean, order_case, pct, quoted, sql, weighted_recall
-from shoplayers.session import durable
+from shoplayers.session import durable, stored
 from shoplayers.sources import views
 
 FIXTURE_HOT_CATEGORIES = (0, 1, 2)
@@ -77,12 +78,12 @@ def _scored(spark, folder):
 
 def _scored_table(spark, folder):
     """Scored reviews, stored once for jobs that read them several times."""
-    return durable(_scored(spark, folder))
+    return stored(_scored(spark, folder))
 
 
 def _stored_reviews(spark, folder):
     """Cleaned reviews, stored once for jobs that read them several times."""
-    return durable(_cleaned(spark, folder).drop("norm"))
+    return stored(_cleaned(spark, folder).drop("norm"))
 
 
 def _fixed(spark, folder):
@@ -95,9 +96,9 @@ def _gold_sheet(spark, folder):
 
 def _judged(spark, folder, check: bool = False):
     """Gold rows with both fixed predictions, and all reviews with them."""
-    stored = _stored_reviews(spark, folder)
-    fixed = views.fixed_predictions(stored)
-    return evaluation.join_gold(views.gold_sheet(stored, views.labels(spark, folder)), fixed, check), fixed
+    kept = _stored_reviews(spark, folder)
+    fixed = views.fixed_predictions(kept)
+    return evaluation.join_gold(views.gold_sheet(kept, views.labels(spark, folder)), fixed, check), fixed
 
 
 def _gold(spark, folder):
@@ -191,7 +192,8 @@ def dwd_quarantine(spark, folder):
         TIMESTAMP '1970-01-01 00:00:00' + to_microseconds(CAST(round(seconds * 1000000) AS BIGINT)) AS behavior_time,
         CAST(hour(TIMESTAMP '1970-01-01 00:00:00' + to_microseconds(CAST(round(seconds * 1000000) AS BIGINT)))
         AS INTEGER) AS hour
-        FROM (SELECT *, TRY_CAST(timestamp AS DOUBLE) AS seconds FROM behaviour) WHERE seconds >= 0""",
+        FROM (SELECT *, TRY_CAST(timestamp AS DOUBLE) AS seconds FROM behaviour)
+        WHERE isfinite(seconds) AND seconds BETWEEN -62135596800 AND 32536771199""",
         "behaviour",
     ),
 )
@@ -573,7 +575,8 @@ def preprocess_dedup(spark, folder):
     return cleaning.drop_duplicate_events(views.behaviour_delivered_twice(spark, folder))
 
 
-_TOLERANT = """SELECT * FROM (SELECT *, TRY_CAST(timestamp AS DOUBLE) AS seconds FROM behaviour_gaps) WHERE seconds >= 0"""
+_TOLERANT = """SELECT * FROM (SELECT *, TRY_CAST(timestamp AS DOUBLE) AS seconds FROM behaviour_gaps)
+    WHERE isfinite(seconds) AND seconds BETWEEN -62135596800 AND 32536771199"""
 _DISTINCT = f"""SELECT * FROM ({_FILLED.format(rows=f'({_TOLERANT})')}) QUALIFY row_number() OVER
     (PARTITION BY user_id, goods_id, behavior, seconds ORDER BY ingest_id) = 1"""
 
@@ -873,7 +876,7 @@ def score_histogram(spark, folder):
         f"""SELECT category_id, total, neg, neg_pct, COALESCE(category_label, '{K.UNKNOWN_CATEGORY}') AS category_label
         FROM (SELECT *, {pct('neg', 'total', 6)} AS neg_pct FROM (SELECT category_id, COUNT(*) AS total,
         COUNT(*) FILTER (WHERE label = '{K.NEGATIVE}') AS neg FROM scored GROUP BY category_id HAVING COUNT(*) >= 20)
-        ORDER BY neg_pct DESC, category_id LIMIT 10) LEFT JOIN category USING (category_id)""",
+        ORDER BY neg / CAST(total AS DOUBLE) DESC, category_id LIMIT 10) LEFT JOIN category USING (category_id)""",
         "scored", "category",
     ),
 )
@@ -924,12 +927,30 @@ def gold_sample(spark, folder):
 
 @_query(
     "short_bands",
-    sql("SELECT label, COUNT(*) AS cnt FROM scored GROUP BY label HAVING COUNT(*) < 400", "scored"),
+    sql(
+        f"""SELECT label, COUNT(score) AS cnt FROM (SELECT unnest([{quoted(K.CLASSES)}]) AS label)
+        LEFT JOIN scored USING (label) GROUP BY label HAVING COUNT(score) < 400""",
+        "scored",
+    ),
 )
 def short_bands(spark, folder):
     return sampling.short_bands(_scored(spark, folder), 400)
 
 
+@_query(
+    "short_bands_empty",
+    sql(
+        f"""SELECT label, COUNT(score) AS cnt FROM (SELECT unnest([{quoted(K.CLASSES)}]) AS label)
+        LEFT JOIN (SELECT * FROM fixed WHERE label <> '{K.NEUTRAL}') USING (label) GROUP BY label
+        HAVING COUNT(score) < 40""",
+        "fixed",
+    ),
+)
+def short_bands_empty(spark, folder):
+    """A table without any row of one band."""
+    return sampling.short_bands(_fixed(spark, folder).filter(F.col("label") != K.NEUTRAL))
+
+
 # --- evaluation --------------------------------------------------------------------------------
 
 _GOLD_COLUMNS = ("user_id", "goods_id", "comment", "gold", "gold_std", "score", "label")
@@ -1127,7 +1148,7 @@ _PLACED = """SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY sh
     "stratified_split",
     sql(
         f"""SELECT id, label, CAST(k <= train_size AS INTEGER) AS is_train,
-        CAST(k <= round(train_size * CASE WHEN total > 100000 THEN CAST(0.1 AS DOUBLE) ELSE CAST(0.3 AS DOUBLE) END) AS INTEGER) AS in_subsample
+        CAST(k <= floor(train_size * least(CAST(1 AS DOUBLE), CAST({K.MAX_FIT_ROWS} AS DOUBLE) / total)) AS INTEGER) AS in_subsample
         FROM (SELECT *, round(size * CAST(0.7 AS DOUBLE)) AS train_size,
         (SELECT round(COUNT(*) * CAST(0.7 AS DOUBLE)) FROM features) AS total FROM ({_PLACED}))""",
         "features",
@@ -1182,28 +1203,181 @@ def scale_features(spark, folder):
     ),
 )
 def tfidf_stats(spark, folder):
-    return text.tfidf_stats(_cleaned(spark, folder))
+    return text.tfidf_stats(_stored_reviews(spark, folder))
 
 
 @_query(
     "tfidf_weights",
     sql(
-        """SELECT ingest_id, COUNT(*) AS n_terms, round(SUM(w / norm), 6) AS weight_sum,
-        round(MAX(w / norm), 6) AS weight_max FROM (SELECT *, sqrt(SUM(w * w) OVER (PARTITION BY ingest_id)) AS norm
-        FROM (SELECT ingest_id, tf * (ln(((SELECT COUNT(*) FROM cleaned) + 1) / CAST(df + 1 AS DOUBLE)) + 1) AS w
-        FROM term_counts JOIN term_df USING (term))) GROUP BY ingest_id""",
+        """SELECT ingest_id, term, round(w / norm, 6) AS weight FROM (SELECT *,
+        sqrt(SUM(w * w) OVER (PARTITION BY ingest_id)) AS norm
+        FROM (SELECT ingest_id, term, tf * (ln(((SELECT COUNT(*) FROM cleaned) + 1) / CAST(df + 1 AS DOUBLE)) + 1) AS w
+        FROM term_counts JOIN term_df USING (term)))""",
         "term_counts", "term_df", "cleaned",
     ),
 )
 def tfidf_weights(spark, folder):
-    weighted = text.tfidf_weights(_cleaned(spark, folder)).select("ingest_id", F.col("weights.weight").alias("w"))
-    total = F.aggregate("w", F.lit(0.0), lambda a, b: a + b)
-    return weighted.select(
-        "ingest_id",
-        F.size("w").cast("bigint").alias("n_terms"),
-        F.round(total, 6).alias("weight_sum"),
-        F.round(F.array_max("w"), 6).alias("weight_max"),
+    """Every term of every review with its weight."""
+    weighted = text.tfidf_weights(_stored_reviews(spark, folder))
+    return weighted.select("ingest_id", F.inline("weights")).withColumn("weight", F.round("weight", 6))
+
+
+# --- files ---------------------------------------------------------------------------------------
+
+_COMMENT = """CASE WHEN ingest_id % 7 = 0 THEN '第一行' || chr(10) || 'says "' || ingest_id || '"'
+    WHEN ingest_id % 7 = 1 THEN 'NA' END"""
+_RANK = "row_number() OVER (ORDER BY ingest_id) - 1 AS ingest_id"
+
+
+@_query(
+    "file_behaviour_log",
+    sql(f"SELECT * REPLACE ({_COMMENT} AS comment, NULLIF(timestamp, '') AS timestamp, {_RANK}) FROM behaviour", "behaviour"),
+)
+def file_behaviour_log(spark, folder):
+    return roundtrips.behaviour_file(spark, folder)
+
+
+@_query("file_numbered_log", sql(f"SELECT {_RANK}, user_id, goods_id, behavior, NULLIF(timestamp, '') AS timestamp FROM behaviour", "behaviour"))
+def file_numbered_log(spark, folder):
+    return roundtrips.numbered_log(spark, folder)
+
+
+@_query(
+    "file_malformed_cells",
+    sql("SELECT COUNT(*) AS records FROM behaviour WHERE ingest_id % 50 = 0", "behaviour"),
+)
+def file_malformed_cells(spark, folder):
+    return roundtrips.malformed_cells(spark, folder)
+
+
+@_query("file_dimension_load", sql("SELECT user_id, face FROM profile", "profile"))
+def file_dimension_load(spark, folder):
+    return roundtrips.dimension_load(spark, folder)
+
+
+@_query(
+    "file_overwritten_log",
+    sql("SELECT COUNT(*) AS rows_cnt, CAST(2 AS INTEGER) AS loads_kept FROM behaviour", "behaviour"),
+)
+def file_overwritten_log(spark, folder):
+    return roundtrips.overwritten_log(spark, folder)
+
+
+@_query(
+    "file_named_tables",
+    """SELECT t AS table_name, CAST(n AS INTEGER) AS loads FROM
+    (VALUES ('ods_user_behavior', 0), ('dim_user_profile', 1), ('dim_category', 1)) v(t, n)""",
+)
+def file_named_tables(spark, folder):
+    return roundtrips.named_tables(spark, folder)
+
+
+@_query(
+    "file_loaded_rows",
+    sql(
+        """SELECT 'ods_user_behavior' AS table_name, COUNT(*) AS rows_cnt FROM behaviour UNION ALL
+        SELECT 'dim_user_profile', COUNT(*) FROM profile UNION ALL SELECT 'dim_category', COUNT(*) FROM category""",
+        "behaviour", "profile", "category",
+    ),
+)
+def file_loaded_rows(spark, folder):
+    return roundtrips.loaded_rows(spark, folder)
+
+
+@_query(
+    "file_report",
+    sql(
+        """SELECT true AS has_mark, 'behavior,cnt' AS line UNION ALL
+        SELECT true, behavior || ',' || COUNT(*) FROM behaviour GROUP BY behavior""",
+        "behaviour",
+    ),
+)
+def file_report(spark, folder):
+    return roundtrips.report_file(spark, reports.frequency(views.behaviour(spark, folder), "behavior").select("behavior", "cnt"))
+
+
+@_query(
+    "file_score_cache",
+    sql("SELECT ingest_id, user_id, goods_id, category_id, comment, score, label, score_b, label_b FROM fixed", "fixed"),
+)
+def file_score_cache(spark, folder):
+    return roundtrips.score_cache(spark, text.with_words(views.fixed_predictions(_cleaned(spark, folder))))
+
+
+@_query("file_gold_sheet", sql("SELECT * FROM gold_sheet", "gold_sheet"))
+def file_gold_sheet(spark, folder):
+    return roundtrips.gold_file(spark, _gold_sheet(spark, folder))
+
+
+# --- model arithmetic on fixed inputs ------------------------------------------------------------
+
+
+@_query(
+    "scaled_features",
+    sql(
+        "SELECT id, label, "
+        + ", ".join(
+            f"round(({c} - AVG({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END), 6) AS {c}"
+            for c in K.FEATURES
+        )
+        + " FROM features",
+        "features",
+    ),
+)
+def scaled_features(spark, folder):
+    """Every scaled value of every row."""
+    features = _features(spark, folder)
+    scaled = learning.scale_features(features, learning.feature_moments(features))
+    values = vector_to_array("features")
+    return scaled.select("id", "label", *[F.round(values[i], 6).alias(c) for i, c in enumerate(K.FEATURES)])
+
+
+@_query(
+    "cluster_report_fixed",
+    sql(
+        """SELECT cluster, cnt, round(rate, 6) AS rate,
+        CAST(CASE WHEN row_number() OVER (ORDER BY rate DESC, cluster) = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_best
+        FROM (SELECT CAST(user_id % 3 AS INTEGER) AS cluster, COUNT(*) AS cnt, AVG(CAST(label AS DOUBLE)) AS rate
+        FROM features GROUP BY user_id % 3)""",
+        "features",
+    ),
+)
+def cluster_report_fixed(spark, folder):
+    """Size and label rate of clusters that are fixed by the user."""
+    rows = _dwd(spark, folder).select((F.col("user_id") % 3).cast("int").alias("cluster"), exploration.is_purchase().alias("label"))
+    return learning.cluster_report(rows)
+
+
+@_query("oof_rows", sql(f"SELECT id, label, CAST((k - 1) % 5 AS INTEGER) AS fold FROM ({_PLACED})", "features"))
+def oof_rows(spark, folder):
+    """Rows, labels and folds of the out-of-fold predictions."""
+    return learning.out_of_fold(_prepared(spark, folder)).select("id", "label", "fold")
+
+
+_FIXED_FOLDS = """SELECT k % 5 AS fold, label, CASE WHEN (id * 7919) % 100 >= 60 THEN 1 ELSE 0 END AS predicted
+    FROM (SELECT id, label, id AS k FROM features)"""
+
+
+@_query(
+    "fold_metrics_fixed",
+    sql(
+        f"""SELECT metric, round(AVG(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (
+        SELECT fold, unnest(['accuracy', 'precision', 'recall', 'f1']) AS metric,
+        unnest([ok / n, COALESCE(tp / NULLIF(pp, 0), 0), COALESCE(tp / NULLIF(ap, 0), 0), COALESCE(2 * tp / NULLIF(pp + ap, 0), 0)]) AS v
+        FROM (SELECT fold, CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (label = predicted) AS DOUBLE) AS ok,
+        CAST(COUNT(*) FILTER (label = 1 AND predicted = 1) AS DOUBLE) AS tp, CAST(COUNT(*) FILTER (predicted = 1) AS DOUBLE) AS pp,
+        CAST(COUNT(*) FILTER (label = 1) AS DOUBLE) AS ap FROM ({_FIXED_FOLDS}) GROUP BY fold)) GROUP BY metric""",
+        "features",
+    ),
+)
+def fold_metrics_fixed(spark, folder):
+    """Mean and deviation over folds of the metrics of fixed predictions."""
+    rows = _dwd(spark, folder).select(
+        (F.col("id") % 5).alias("fold"), exploration.is_purchase().alias("label"),
+        F.when(F.col("id") * 7919 % 100 >= 60, 1).otherwise(0).alias("predicted"),
     )
+    found = learning.fold_metrics(rows)
+    return found.select("metric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 # --- fitted models (no SQL twin: iterative) ------------------------------------------------------
@@ -1266,7 +1440,8 @@ def model_report(spark, folder):
 @_query("text_classifier")
 def text_classifier(spark, folder):
     """Precision and band-weighted figures of the self-labelled classifier on the gold rows."""
-    scored, sheet = _scored_table(spark, folder), _gold_sheet(spark, folder)
+    scored = _scored_table(spark, folder)
+    sheet = views.gold_sheet(scored, views.labels(spark, folder))
     model = learning.fit_on_bands(scored, sheet)
     judged = model.predict(evaluation.join_gold(sheet, scored, check=False), "model_label")
     everything = model.predict(scored, "model_label")
@@ -1278,21 +1453,23 @@ def text_classifier(spark, folder):
 @_query("model_comparison")
 def model_comparison(spark, folder):
     """The scorer against the self-labelled classifier, one row per model."""
-    scored, sheet = _scored_table(spark, folder), durable(_gold_sheet(spark, folder))
+    scored = _scored_table(spark, folder)
+    sheet = durable(views.gold_sheet(scored, views.labels(spark, folder)))
     return comparison.compare_models(scored, sheet).summary
 
 
 @_query("text_band_counts")
 def text_band_counts(spark, folder):
     scored = _scored_table(spark, folder)
-    model = learning.fit_on_bands(scored, _gold_sheet(spark, folder))
+    model = learning.fit_on_bands(scored, views.gold_sheet(scored, views.labels(spark, folder)))
     return reports.frequency(model.predict(scored, "model_label"), "model_label")
 
 
 @_query("text_top_features")
 def text_top_features(spark, folder):
-    model = learning.fit_on_bands(_scored_table(spark, folder), _gold_sheet(spark, folder))
-    return learning.text_top_features(model, spark)
+    scored = _scored_table(spark, folder)
+    model = learning.fit_on_bands(scored, views.gold_sheet(scored, views.labels(spark, folder)))
+    return learning.text_top_features(model, scored)
 
 
 @_query("text_cv_scores")

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from shoplayers import constants as K
+from shoplayers.sources.views import PHRASES
 
 REFERENCE_DATE = "2024-01-31"
 SECOND = 1_000_000_000_000
@@ -40,12 +41,14 @@ def strip(column: str) -> str:
 
 
 _TERMS = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
+_PHRASES = ", ".join(f"'{phrase}'" for phrase in PHRASES)
 TOKEN = rf"{_TERMS}|\p{{Han}}{{2}}|(?:[^\P{{L}}\p{{Han}}]|[\p{{N}}_]){{2,}}"
 
 
 def tokens(column: str) -> str:
     keep = rf"w NOT IN ({quoted(K.STOP_WORDS)}) AND NOT regexp_full_match(w, '\p{{Nd}}+')"
-    return f"list_filter(regexp_extract_all({column}, '{TOKEN}'), lambda w: {keep})"
+    apart = rf"regexp_replace({column}, '({_TERMS})', chr(1) || '\1' || chr(1), 'g')"
+    return f"list_filter(regexp_extract_all({apart}, '{TOKEN}'), lambda w: {keep})"
 
 
 def band(score: str) -> str:
@@ -79,7 +82,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'fav'
              WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior,
         CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 101 = 0 THEN '' WHEN event_id % 103 = 0 THEN NULL
-             WHEN event_id % 107 = 0 THEN {_SECONDS} || '.5' ELSE {_SECONDS} END AS timestamp,
+             WHEN event_id % 107 = 0 THEN {_SECONDS} || '.5' WHEN event_id % 109 = 0 THEN '-' || {_SECONDS}
+             ELSE {_SECONDS} END AS timestamp,
         CAST(user_id % 2 AS INTEGER) AS sex, CAST(NULL AS VARCHAR) AS address, 'dev' || (user_id % 7) AS device,
         CAST(value AS DECIMAL(12,2)) AS price, CAST(1 + event_id % 3 AS INTEGER) AS amount,
         CAST(NULL AS VARCHAR) AS comment FROM events""",
@@ -178,7 +182,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT doc_id + delivery * {SECOND} AS ingest_id, doc_id % 50 AS user_id, doc_id % 20 AS goods_id,
         doc_id % 10 AS category_id, CASE WHEN delivery = 0 THEN text WHEN doc_id % 25 = 0 THEN text || '!'
         WHEN doc_id % 100 = 1 THEN NULL WHEN doc_id % 100 = 2 THEN 'ok' ELSE '    ' END AS comment
-        FROM documents JOIN (VALUES (0), (1)) d(delivery)
+        FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' ' || [{_PHRASES}][doc_id % {len(PHRASES)} + 1]
+        ELSE text END AS text FROM documents) JOIN (VALUES (0), (1)) d(delivery)
         ON delivery = 0 OR doc_id % 25 = 0 OR doc_id % 100 IN (1, 2, 3)""",
     ),
     "long_reviews": (

@@ -126,7 +126,7 @@ def high_value_share_by_occupation(
         )
         .filter(F.col("total_users") >= min_users)
         .withColumn("high_value_pct", percent(F.col("high_value"), F.col("total_users")))
-        .orderBy(F.desc("high_value_pct"), F.asc_nulls_first("occupation"))
+        .orderBy(F.desc(F.col("high_value") / F.col("total_users")), F.asc_nulls_first("occupation"))
     )
 
 

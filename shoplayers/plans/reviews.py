@@ -47,12 +47,14 @@ def category_negative_rate(
         .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("label") == K.NEGATIVE).alias("neg"))
         .filter(F.col("total") >= min_reviews)
         .withColumn("neg_pct", percent(F.col("neg"), F.col("total"), 6))
-        .orderBy(F.desc("neg_pct"), "category_id")
+        .withColumn("share", F.col("neg") / F.col("total"))  # ranks by the exact share, not the rounded one
+        .orderBy(F.desc("share"), "category_id")
         .limit(top)
     )
-    return rates.join(categories.select("category_id", "category_label"), "category_id", "left").select(
+    named = rates.join(categories.select("category_id", "category_label"), "category_id", "left")
+    return named.orderBy(F.desc("share"), "category_id").select(
         "category_id", "total", "neg", "neg_pct", F.coalesce("category_label", F.lit(K.UNKNOWN_CATEGORY)).alias("category_label")
-    ).orderBy(F.desc("neg_pct"), "category_id")
+    )
 
 
 def negative_reviews(scored: DataFrame) -> DataFrame:

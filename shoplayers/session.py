@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,25 +26,32 @@ def build_session(app: str = "shoplayers", master: str | None = None, **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for durable intermediate results.
+    """The shared folder for durable intermediate results, one per application.
 
-    The cluster names it in `spark.checkpoint.dir`. Only a local master, where driver and
-    executors share one machine, falls back to a temporary folder.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset, as in tests, a folder in the
+    warehouse takes its place, which driver and executors share as well.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="shoplayers-checkpoint-")
-    context.setCheckpointDir(configured)
+    if not context.getCheckpointDir():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder once, so a lost executor cannot change its rows."""
+    """Write `df` to the checkpoint folder once, so a lost executor cannot change its rows.
+
+    For narrow tables: rows are kept in Spark's own form, and Spark deletes them with their last reader.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Keep `df` as Parquet in the checkpoint folder: compressed, and readers take the columns they need.
+
+    For tables with texts. The folder belongs to the application; whoever owns it cleans it up.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

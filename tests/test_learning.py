@@ -95,14 +95,54 @@ def test_text_model_keeps_gold_out_and_learns(spark):
     model = L.fit_on_bands(reviews, gold)
     judged = model.predict(gold, "model_label")
     assert judged.filter("model_label = gold_std").count() >= 28
-    top = L.text_top_features(model, spark, 5).collect()
+    top = L.text_top_features(model, reviews, 5).collect()
     assert {"terrible", "broken"} <= {r["term"] for r in top if r["side"] == "negative"}
     assert len(top) == 10
 
 
-def test_vocabulary_over_the_limit_is_refused(spark):
-    with pytest.raises(ValueError, match="terms"):
-        L.fit_text_classifier(gold_reviews(spark), "label", vocabulary_limit=3)
+def test_few_buckets_still_give_a_model(spark):
+    model = L.fit_text_classifier(gold_reviews(spark), "label", num_features=16)
+    assert model.classifier.coefficientMatrix.numCols == 16
+    assert model.predict(gold_reviews(spark), "p").count() == 90
+
+
+def test_text_model_is_at_the_optimum(spark):
+    """The gradient of the penalised multinomial loss vanishes at the fitted coefficients."""
+    reviews = gold_reviews(spark)
+    model = L.fit_text_classifier(reviews, "label", num_features=256, tol=1e-9)
+    rows = model.features(reviews).select("features", "label").collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    y = np.array([K.CLASSES.index(r["label"]) for r in rows])
+    beta, offset = model.classifier.coefficientMatrix.toArray(), model.classifier.interceptVector.toArray()
+    odds = np.exp(x @ beta.T + offset)
+    error = odds / odds.sum(axis=1, keepdims=True) - np.eye(3)[y]  # classes are of equal size: weight 1
+    assert np.abs(error.T @ x + beta).max() / len(rows) < 1e-4
+
+
+def test_margin_model_is_at_the_optimum(spark, prepared):
+    """No small step from the fitted coefficients lowers the penalised, class-weighted hinge loss."""
+    train = prepared.filter("is_train = 1")
+    model = L.fit_linear_svm(train)
+    weighted, n = L.with_class_weights(train)
+    rows = weighted.select("features", "label", "weight").collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    sign = np.array([2 * r["label"] - 1 for r in rows])
+    w = np.array([r["weight"] for r in rows])
+
+    def loss(beta, offset):
+        return (w * np.maximum(0, 1 - sign * (x @ beta + offset))).sum() / n + beta @ beta / (2 * n)
+
+    beta, offset = model.coefficients.toArray(), model.intercept
+    best, rng = loss(beta, offset), np.random.default_rng(1)
+    for _ in range(300):
+        step = rng.normal(size=len(beta) + 1) * 10 ** rng.uniform(-3, -0.5)
+        assert loss(beta + step[:-1], offset + step[-1]) > best - 1e-3
+
+
+def test_clusters_are_numbered_by_their_label_rate(prepared):
+    rows = L.cluster_rows(prepared).groupBy("cluster").agg(F.avg("label").alias("rate")).orderBy("cluster").collect()
+    assert [r["cluster"] for r in rows] == [0, 1, 2]
+    assert [r["rate"] for r in rows] == sorted((r["rate"] for r in rows), reverse=True)
 
 
 def test_text_folds(spark):
