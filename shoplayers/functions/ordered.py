@@ -112,6 +112,37 @@ def with_running_totals(
     )
 
 
+def with_running_number(
+    df: DataFrame, groups: Sequence[str], order: str, name: str, sizes: DataFrame, pieces: int = 1000
+) -> DataFrame:
+    """Number the rows of each group from 1 in the order of a whole-number column, in one shuffle.
+
+    `sizes` has one row per group with `n` rows and the extremes `first` and `last` of the order column.
+    A group with at least 1/`pieces` of all rows is cut into stretches of the order column, each numbered
+    on its own; what the stretches before it hold is added. At most `pieces` groups are cut, into at most
+    twice as many stretches, which bounds both broadcast tables.
+    """
+    total = sizes.agg(F.sum("n")).scalar()
+    cuts = F.ceil(F.col("n") * pieces / total).cast("long")
+    hot = sizes.filter((F.col("n") * pieces >= total) & (cuts > 1)).select(
+        *[F.col(g).alias(f"_hot_{g}") for g in groups], "first", "last", cuts.alias("_cuts")
+    )
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_hot_{g}")) for g in groups])
+    reach = (F.col(order) - F.col("first")).cast("double") / (F.col("last") - F.col("first") + 1)
+    stretch = F.coalesce(F.floor(reach * F.col("_cuts")), F.lit(0)).cast("long")
+    cut = df.join(F.broadcast(hot), same, "left").withColumn("_stretch", stretch)
+    keys = [*groups, "_stretch"]
+    counts = cut.filter("_cuts IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.partitionBy(*groups).orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(
+        *[F.col(k).alias(f"_before_{k}") for k in keys], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    numbered = cut.withColumn("_number", F.row_number().over(W.partitionBy(*keys).orderBy(order)).cast("long"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_before_{k}")) for k in keys])
+    joined = numbered.join(F.broadcast(before), same, "left")
+    return joined.select(*df.columns, (F.col("_number") + F.coalesce("_before", F.lit(0))).alias(name))
+
+
 def tile(position: Column, size: Column, tiles: int) -> Column:
     """NTILE from a 1-based position: the first `size % tiles` tiles hold one row more."""
     small = F.floor(size / F.lit(tiles))

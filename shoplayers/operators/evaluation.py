@@ -17,24 +17,33 @@ from shoplayers.session import durable
 GOLD_KEY = ("user_id", "goods_id", "comment")
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
+def _hashed(df: DataFrame, *, prefix: str = "") -> DataFrame:
+    """Add a digest of the key, so that joins move 32 bytes a row instead of the review's text.
+
+    NULL and empty parts of the key give different digests.
+    """
+    parts = [F.when(F.col(k).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(k).cast("string"))) for k in GOLD_KEY]
+    return df.withColumn(f"{prefix}_key", F.unhex(F.sha2(F.concat_ws("|", *[F.concat(F.length(p), F.lit(":"), p) for p in parts]), 256)))
 
 
 def join_gold(gold: DataFrame, scored: DataFrame, check: bool = True) -> DataFrame:
     """Attach scores to gold rows one to one, map the labels, drop ambiguous rows.
 
-    The scored table is cut down to gold keys by a semi join first, so the big side is read once
-    and never sorted as a whole. The joined rows, no more than people labelled, are stored once:
-    every metric reads them again. With `check` the jobs raise on repeated keys, lost rows, missing
-    scores and labels outside the whitelist.
+    Rows meet by a digest of the key; the columns of the key are compared as well. The joined rows, no
+    more than people labelled, are stored once: every metric reads them again. With `check` the jobs raise
+    on repeated keys, lost rows, missing scores and labels outside the whitelist.
     """
-    matches = scored.join(gold.select(*GOLD_KEY), list(GOLD_KEY), "left_semi")
+    sheet = _hashed(gold.filter(F.col("user_id").isNotNull() & F.col("goods_id").isNotNull() & F.col("comment").isNotNull()))
+    rest = [c for c in scored.columns if c not in GOLD_KEY]
+    wanted = sheet.select("_key").distinct()
+    matches = _hashed(scored).join(wanted, "_key", "left_semi")
+    other = matches.select("_key", *[F.col(k).alias(f"_{k}") for k in GOLD_KEY], *rest)
+    same = (F.col("g._key") == F.col("s._key")) & (F.col("g.user_id") == F.col("s._user_id"))
+    same &= (F.col("g.goods_id") == F.col("s._goods_id")) & (F.col("g.comment") == F.col("s._comment"))
+    found = sheet.alias("g").join(other.alias("s"), same, "left").select(*[F.col(f"g.{c}") for c in gold.columns], *[F.col(f"s.{c}") for c in rest])
+    incomplete = gold.filter(F.col("user_id").isNull() | F.col("goods_id").isNull() | F.col("comment").isNull())
     mapping = mapped(F.col("gold"), K.GOLD_LABELS)
-    joined = durable(gold.join(matches, list(GOLD_KEY), "left").withColumn("gold_std", mapping))
+    joined = durable(found.unionByName(incomplete, allowMissingColumns=True).withColumn("gold_std", mapping))
     if check:
         # A key that is unique after the join was unique on both sides.
         require_unique(joined, GOLD_KEY, "gold and scored keys must be unique")
@@ -54,9 +63,13 @@ def ambiguous_share(gold: DataFrame) -> DataFrame:
 
 
 def exclude_gold(scored: DataFrame, gold: DataFrame) -> DataFrame:
-    """Training rows: everything that is not a gold row. NULL keys match NULL keys."""
-    keys = gold.select(*GOLD_KEY).distinct()
-    return scored.join(keys, _same_key(scored, keys, GOLD_KEY), "left_anti")
+    """Training rows: everything that is not a gold row. NULL keys match NULL keys.
+
+    Rows meet by a 256-bit digest of the key; texts stay where they are unless Spark has to place the
+    rows, and are never compared or sorted.
+    """
+    keys = _hashed(gold.select(*GOLD_KEY)).select("_key").distinct()
+    return _hashed(scored).join(keys, "_key", "left_anti").drop("_key")
 
 
 def confusion_matrix(df: DataFrame, gold: str = "gold_std", pred: str = "label") -> DataFrame:

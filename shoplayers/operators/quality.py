@@ -42,27 +42,23 @@ def price_amount_audit(ods: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_rows(ods: DataFrame, dwd: DataFrame) -> DataFrame:
-    """Row counts of two layers and the rows lost between them, as one table."""
-    source = ods.agg(F.count(F.lit(1))).scalar()
-    target = dwd.agg(F.count(F.lit(1))).scalar()
-    return (
-        ods.sparkSession.range(1)
-        .select(source.alias("a"), target.alias("b"))
-        .selectExpr("stack(3, 'ods', a, 'dwd', b, 'lost', a - b) AS (layer, rows_cnt)")
-    )
+def reconcile_rows(ods: DataFrame, is_clean: Column) -> DataFrame:
+    """Rows of the raw layer, rows its detail layer takes, and the rows lost between them, in one pass."""
+    counts = ods.agg(F.count(F.lit(1)).alias("a"), _yes(is_clean).alias("b"))
+    return counts.selectExpr("stack(3, 'ods', a, 'dwd', b, 'lost', a - b) AS (layer, rows_cnt)")
 
 
-def layer_sizes(dwd: DataFrame, user_day: DataFrame) -> DataFrame:
-    """Rows of the detail and daily layers, and distinct users, as one table."""
-    rows = F.count(F.lit(1)).alias("rows_cnt")
-    return (
-        dwd.agg(F.lit("dwd").alias("layer"), rows)
-        .unionByName(user_day.agg(F.lit("dws").alias("layer"), rows))
-        .unionByName(
-            user_day.agg(F.lit("users").alias("layer"), F.count_distinct("user_id").alias("rows_cnt"))
-        )
+def layer_sizes(dwd: DataFrame) -> DataFrame:
+    """Rows of the detail and daily layers, and distinct users, from one pass over the detail rows.
+
+    A user's days are counted first, then users; both aggregations combine before their shuffle.
+    """
+    days = dwd.groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("n"))
+    users = days.groupBy("user_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("days"))
+    counts = users.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("days"), F.lit(0)).alias("b"), F.count("user_id").alias("c")
     )
+    return counts.selectExpr("stack(3, 'dwd', a, 'dws', b, 'users', c) AS (layer, rows_cnt)")
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -247,7 +247,7 @@ def dwd_behavior_distribution(spark, folder):
     ),
 )
 def layer_row_reconciliation(spark, folder):
-    return quality.reconcile_rows(views.behaviour(spark, folder), _dwd(spark, folder))
+    return quality.reconcile_rows(views.behaviour(spark, folder), warehouse.is_clean())
 
 
 # --- daily layer -------------------------------------------------------------------------------
@@ -272,8 +272,7 @@ def user_day_one_user(spark, folder):
     ),
 )
 def layer_sizes(spark, folder):
-    dwd = _dwd(spark, folder)
-    return quality.layer_sizes(dwd, warehouse.build_user_day(dwd))
+    return quality.layer_sizes(_dwd(spark, folder))
 
 
 @_query(

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shoplayers import constants as K
 from shoplayers.functions.columns import flag, member_flag, weekend_flag
 from shoplayers.functions.numbers import ratio
-from shoplayers.functions.ordered import exact_quantile, exact_quantiles, with_running_totals
+from shoplayers.functions.ordered import exact_quantile, exact_quantiles, with_running_number
 from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.operators.cleaning import preprocess
 from shoplayers.plans.warehouse import parse_tolerantly
+from shoplayers.session import durable
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -201,21 +202,22 @@ def _goods_totals(user_goods: DataFrame) -> DataFrame:
 def model_features(dwd: DataFrame, hot_categories: Sequence[int] = K.HOT_CATEGORIES) -> DataFrame:
     """One row per event: eight features and the purchase label, missing values as 0.
 
-    The running number inside (user, product) comes from one global sort, and the user and
-    product totals are joined back with hot keys cut into pieces, so neither a heavy user nor a
-    best-selling product ends up in one task.
+    Counts per (user, product) are stored once; the running number, the totals and the cutting of hot
+    pairs all come from them. Events are shuffled once for the running number and once for each total,
+    with hot keys cut into pieces, so neither a heavy user nor a best-selling product ends up in one task.
     """
     narrow = dwd.select(
         "id", "user_id", "goods_id", "sex", "event_hour", weekend_flag(F.col("event_date")).alias("is_weekend"),
         member_flag(F.col("category_id"), hot_categories).alias("is_hot_category"),
         is_purchase().alias("label"),
     )
-    numbered = with_running_totals(
-        narrow, ["user_id", "goods_id"], ["id"], {"user_goods_count": F.lit(1).cast("long")}
+    pairs = durable(
+        narrow.groupBy("user_id", "goods_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.max("id").alias("last")
+        )
     )
-    # `numbered` reads a stored narrow table, so the totals use it instead of the detail layer.
-    pairs = numbered.groupBy("user_id", "goods_id").agg(F.count("label").alias("n"))
-    featured = numbered.withColumn("is_peak_hour", flag(F.col("event_hour") == peak_hour(numbered)))
+    featured = narrow.withColumn("is_peak_hour", flag(F.col("event_hour") == peak_hour(dwd)))
+    featured = with_running_number(featured, ["user_id", "goods_id"], "id", "user_goods_count", pairs)
     featured = join_counted_lookup(featured, _user_totals(pairs), "user_id", "total_behavior_count", "id")
     featured = join_counted_lookup(featured, _goods_totals(pairs), "goods_id", "goods_hot_score", "id")
     return featured.select("id", "user_id", "goods_id", *K.FEATURES, "label").fillna(0, subset=list(K.FEATURES))

@@ -21,7 +21,8 @@ def _behaviour_code() -> Column:
     return F.lower(strip(F.col("behavior")))
 
 
-def _is_clean() -> Column:
+def is_clean() -> Column:
+    """Whether the detail layer takes a raw row."""
     known = _behaviour_code().isin(*K.BEHAVIOURS)
     return epoch_seconds(F.col("timestamp")).isNotNull() & F.coalesce(known, F.lit(False))
 
@@ -32,7 +33,7 @@ def build_dwd(ods: DataFrame, zone: str = "UTC") -> DataFrame:
     Row-wise only, so the scan, filter and projection are one stage without a shuffle. The stored
     `ingest_id` serves as the surrogate key.
     """
-    timed = ods.filter(_is_clean()).withColumn(
+    timed = ods.filter(is_clean()).withColumn(
         "event_time", epoch_to_timestamp(F.col("timestamp").try_cast("bigint"), zone=zone)
     )
     return timed.select(
@@ -55,7 +56,7 @@ def build_dwd(ods: DataFrame, zone: str = "UTC") -> DataFrame:
 def quarantine(ods: DataFrame) -> DataFrame:
     """The rows the detail layer does not take, with the reason."""
     reason = F.when(epoch_seconds(F.col("timestamp")).isNull(), "timestamp").otherwise("behavior")
-    return ods.filter(~_is_clean()).withColumn("reason", reason)
+    return ods.filter(~is_clean()).withColumn("reason", reason)
 
 
 def parse_tolerantly(ods: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from shoplayers.functions.ordered import (
+    with_running_number,
     exact_quantile, exact_quantiles, tile, with_running_totals, with_stratum_position,
 )
 from shoplayers.functions.skew import join_counted_lookup
@@ -114,3 +115,18 @@ def test_hot_key_is_cut_into_pieces(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert parts > 2
+
+
+@pytest.mark.parametrize("pieces", [3, 1000])
+def test_running_number_with_a_hot_group(spark, pieces):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["hot"] * 5 + ["a", "b", None]), rng.choice([1, None])) for i in rng.sample(range(10_000), 900)]
+    df = spark.createDataFrame(rows, "id long, g string, h int").repartition(7)
+    sizes = df.groupBy("g", "h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
+    found = {r["id"]: r["nth"] for r in with_running_number(df, ["g", "h"], "id", "nth", sizes, pieces).collect()}
+    expected, seen = {}, {}
+    for i, g, h in sorted(rows):
+        seen[g, h] = expected[i] = seen.get((g, h), 0) + 1
+    assert found == expected
+    empty = with_running_number(df.limit(0), ["g", "h"], "id", "nth", sizes.limit(0), pieces)
+    assert empty.count() == 0
