@@ -1,7 +1,7 @@
 """Exact positions, running totals and quantiles over a global order.
 
 A window without partition keys moves every row to one task, and a window over a hot key moves
-that key's rows to one task. Here Spark's range-partitioned sort spreads the rows by the full
+that key's rows to one task. Here (quantiles apart, which only count) Spark's range-partitioned sort spreads the rows by the full
 sort key (which must be unique), the sorted rows are checkpointed once, and what each partition
 has to add for the rows before it comes from a table with one row per partition. That table is
 the only thing broadcast, so the broadcast is bounded by the number of sort partitions.
@@ -9,7 +9,10 @@ the only thing broadcast, so the broadcast is bounded by the number of sort part
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -19,6 +22,8 @@ from shoplayers.session import durable
 # Layout of monotonically_increasing_id(): partition number above bit 33, row number below it.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
+# Bins that a bracket of values is cut into by one counting pass.
+BINS = 4096
 
 
 def _sorted_with_parts(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
@@ -153,51 +158,95 @@ def tile(position: Column, size: Column, tiles: int) -> Column:
     return F.when(position <= edge, in_longer).otherwise(in_shorter).cast("int")
 
 
+@dataclass
+class _Rank:
+    """A value wanted by its place in a column's order, and the bracket it is known to lie in."""
+
+    column: str
+    place: int
+    low: float
+    high: float
+    before: int = 0  # rows below the bracket
+
+
+def _bracket_counts(values: DataFrame, ranks: Sequence[_Rank]) -> list[dict]:
+    """Rows and extremes per bracket and bin; one pass, merged before a shuffle of BINS rows a bracket."""
+    brackets = sorted({(r.column, r.low, r.high) for r in ranks if r.low < r.high})
+    cells = []
+    for number, (column, low, high) in enumerate(brackets):
+        value = F.col(column)
+        share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)  # halves, so no difference overflows
+        place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+        cell = F.struct(F.lit(number).alias("bracket"), place.alias("bin"), value.alias("value"))
+        cells.append(F.when((value >= low) & (value <= high), cell))
+    inside = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
+    binned = values.select("_weight", F.explode(inside).alias("c")).groupBy("c.bracket", "c.bin")
+    binned = binned.agg(F.sum("_weight").alias("n"), F.min("c.value").alias("low"), F.max("c.value").alias("high"))
+    upto = F.sum("n").over(W.partitionBy("bracket").orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow))
+    counted = binned.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
+    # Of every bracket only the bins that hold a wanted place come back, at most one row a wanted value.
+    wanted = F.lit(False)
+    for number, (column, low, high) in enumerate(brackets):
+        for r in ranks:
+            if (r.column, r.low, r.high) == (column, low, high):
+                offset = r.place - r.before
+                wanted |= (F.col("bracket") == number) & (F.col("before") <= offset) & (F.col("upto") > offset)
+    return [row.asDict() | {"key": brackets[row["bracket"]]} for row in counted.filter(wanted).collect()]
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], weight: Column | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per column, one output `q<i>` per probability.
 
-    Values are first counted (partial aggregation before the shuffle), so equal values cost one
-    row however often they occur, and no aggregate state grows with the data.
+    The columns are stored once, narrow. Then the bracket of every wanted value is cut into BINS bins
+    whose rows are counted; the bin that holds the wanted place, with the extremes found in it, is the
+    next bracket, until its extremes agree. No value is sorted, a pass shuffles at most BINS rows a
+    bracket, and a few passes reach any value. `weight` says how many rows a row stands for. The jobs run
+    when this is called.
     """
     weight = F.lit(1).cast("long") if weight is None else weight.cast("long")
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
-    counted = (
-        df.select(pairs.alias("_pair"), weight.alias("_weight"))
-        .select("_pair.*", "_weight")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name", "value")
-        .agg(F.sum("_weight").alias("n"))
-    )
-    running = with_running_totals(counted, ["column_name"], ["value"], {"upto": F.col("n")})
-    sizes = running.groupBy(F.col("column_name").alias("_name")).agg(F.max("upto").alias("size"))
-    # One row per requested column, fixed by the call.
-    running = running.join(F.broadcast(sizes), F.col("column_name") == F.col("_name"))
-
-    def value_at(index: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= index) & (index < F.col("upto")), F.col("value")))
-
-    aggregates = []
-    for i, p in enumerate(probabilities):
-        rank = F.lit(float(p)) * (F.col("size") - 1)
-        aggregates += [
-            value_at(F.floor(rank)).alias(f"_low{i}"),
-            value_at(F.ceil(rank)).alias(f"_high{i}"),
-            F.max(rank - F.floor(rank)).alias(f"_part{i}"),
-        ]
-    picked = running.groupBy("column_name").agg(*aggregates)
-    return picked.select(
-        "column_name",
+
+    def finite(c: str) -> Column:  # infinities count as the largest numbers, so brackets have a width
+        value = F.col(c).cast("double")
+        limited = F.greatest(F.lit(-sys.float_info.max), F.least(value, F.lit(sys.float_info.max)))
+        return F.when(value.isNotNull() & ~F.isnan(value), limited).alias(c)
+
+    numbers = [finite(c) for c in columns]
+    values = durable(df.select(*numbers, weight.alias("_weight")))
+    basics = values.agg(
         *[
-            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}")).alias(f"q{i}")
-            for i in range(len(probabilities))
-        ],
-    )
+            F.struct(F.sum(F.when(F.col(c).isNotNull(), F.col("_weight"))).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
+            for c in columns
+        ]
+    ).first()
+    ranks: dict[tuple[str, int], _Rank] = {}
+    for c in columns:
+        for p in probabilities:
+            if basics[c]["n"]:
+                exact = float(p) * (basics[c]["n"] - 1)
+                for place in (math.floor(exact), math.ceil(exact)):
+                    ranks[c, place] = _Rank(c, place, basics[c]["low"], basics[c]["high"])
+    while open_ := [r for r in ranks.values() if r.low < r.high]:
+        found = _bracket_counts(values, open_)
+        for r in open_:
+            key, offset = (r.column, r.low, r.high), r.place - r.before
+            row = next(x for x in found if x["key"] == key and x["before"] <= offset < x["upto"])
+            r.low, r.high, r.before = row["low"], row["high"], r.before + row["before"]
+
+    def quantile(c: str, p: float) -> float | None:
+        if not basics[c]["n"]:
+            return None
+        exact = float(p) * (basics[c]["n"] - 1)
+        low, high = ranks[c, math.floor(exact)].low, ranks[c, math.ceil(exact)].low
+        return low + (high - low) * (exact - math.floor(exact))
+
+    rows = [(c, *[quantile(c, p) for p in probabilities]) for c in columns if basics[c]["n"]]
+    names = ", ".join(f"q{i} double" for i in range(len(probabilities)))
+    return df.sparkSession.createDataFrame(rows, f"column_name string, {names}")
 
 
 def exact_quantile(df: DataFrame, column: str, probability: float, weight: Column | None = None) -> Column:
-    """One exact quantile as a scalar subquery, usable inside any expression."""
-    return exact_quantiles(df, [column], [probability], weight).select("q0").scalar()
+    """One exact quantile as a constant; NULL for a column without values."""
+    row = exact_quantiles(df, [column], [probability], weight).first()
+    return F.lit(row["q0"] if row else None).cast("double")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shoplayers import constants as K
 from shoplayers.functions.columns import clamp
 from shoplayers.functions.ordered import exact_quantile
+from shoplayers.session import stored
 
 CORE_COLUMNS = ("user_id", "goods_id", "behavior", "timestamp")
 
@@ -47,7 +48,11 @@ def fill_gaps(df: DataFrame) -> DataFrame:
 
 
 def clamp_outliers(df: DataFrame, quantile: float = K.PRICE_QUANTILE) -> DataFrame:
-    """Cut prices at an exact quantile and amounts at fixed limits."""
+    """Cut prices at an exact quantile and amounts at fixed limits.
+
+    The rows are stored once, because the quantile and the result both read them.
+    """
+    df = stored(df)
     limit = exact_quantile(df, "price", quantile)
     price = F.col("price").cast("double")
     return df.withColumns(

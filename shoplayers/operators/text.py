@@ -91,7 +91,9 @@ def review_templates(
 ) -> DataFrame:
     """Normalised texts seen more than `threshold` times before deduplication, with an example.
 
-    Counting moves only hashes and ids; the texts are fetched for the suspects alone.
+    Counting moves only hashes and ids. The suspects, one id each, are stored and counted; up to
+    BROADCAST_BYTES of them are broadcast to a second scan, so no text but a suspect's ever moves. More of
+    them meet the texts by a shuffle.
     """
     kept = _long_enough(raw, min_chars)
     suspects = (
@@ -101,6 +103,9 @@ def review_templates(
         .filter(F.col("occurrences") > threshold)
         .drop("hash")
     )
+    suspects = durable(suspects)
+    if suspects.count() * 64 <= BROADCAST_BYTES:  # two numbers a row
+        suspects = F.broadcast(suspects)
     return (
         kept.select("ingest_id", "norm", F.col("comment").alias("example"))
         .join(suspects, "ingest_id")

@@ -1353,6 +1353,20 @@ def oof_rows(spark, folder):
     return learning.out_of_fold(_prepared(spark, folder)).select("id", "label", "fold")
 
 
+def _fixed_model(number: int, factor: int, limit: int) -> str:
+    """Metrics of predictions and scores that are fixed by the id, one row per metric."""
+    return f"""SELECT unnest(['accuracy', 'precision', 'recall', 'f1', 'roc_auc']) AS metric, unnest([
+        round(ok / n, 6), round(CASE WHEN pp = 0 THEN 1.0 ELSE tp / pp END, 6), round(COALESCE(tp / NULLIF(ap, 0), 0), 6),
+        round(COALESCE(2 * tp / NULLIF(pp + ap, 0), 0), 6),
+        round(COALESCE((ranks - ap * (ap + 1) / 2) / NULLIF(ap * (n - ap), 0), 0.5), 6)]) AS model{number}
+        FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (label = p) AS DOUBLE) AS ok,
+        CAST(COUNT(*) FILTER (label = 1 AND p = 1) AS DOUBLE) AS tp, CAST(COUNT(*) FILTER (p = 1) AS DOUBLE) AS pp,
+        CAST(COUNT(*) FILTER (label = 1) AS DOUBLE) AS ap, CAST(SUM(CASE WHEN label = 1 THEN r END) AS DOUBLE) AS ranks
+        FROM (SELECT label, CASE WHEN s >= {limit} THEN 1 ELSE 0 END AS p,
+        rank() OVER (ORDER BY s) + (COUNT(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS r
+        FROM (SELECT label, (id * {factor}) % 100 AS s FROM features)))"""
+
+
 _FIXED_FOLDS = """SELECT k % 5 AS fold, label, CASE WHEN (id * 7919) % 100 >= 60 THEN 1 ELSE 0 END AS predicted
     FROM (SELECT id, label, id AS k FROM features)"""
 
@@ -1379,6 +1393,33 @@ def fold_metrics_fixed(spark, folder):
     return found.select("metric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+def _fixed_scores(rows: DataFrame, factor: int, limit: int) -> DataFrame:
+    place = F.col("id") * factor % 100
+    return rows.select("label", (place >= limit).cast("int").alias("predicted"), (place.cast("double") / 100).alias("ranking_score"))
+
+
+@_query(
+    "model_report_fixed",
+    sql(
+        f"""SELECT a.metric, model1 AS logistic_regression, model2 AS linear_svm, round(v.mean, 6) AS logistic_cross_validated
+        FROM ({_fixed_model(1, 7919, 60)}) a JOIN ({_fixed_model(2, 104729, 50)}) b USING (metric)
+        LEFT JOIN (SELECT metric, AVG(v) AS mean FROM (SELECT unnest(['accuracy', 'precision', 'recall', 'f1']) AS metric,
+        unnest([ok / n, COALESCE(tp / NULLIF(pp, 0), 0), COALESCE(tp / NULLIF(ap, 0), 0), COALESCE(2 * tp / NULLIF(pp + ap, 0), 0)]) AS v
+        FROM (SELECT fold, CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (label = predicted) AS DOUBLE) AS ok,
+        CAST(COUNT(*) FILTER (label = 1 AND predicted = 1) AS DOUBLE) AS tp, CAST(COUNT(*) FILTER (predicted = 1) AS DOUBLE) AS pp,
+        CAST(COUNT(*) FILTER (label = 1) AS DOUBLE) AS ap FROM ({_FIXED_FOLDS}) GROUP BY fold)) GROUP BY metric) v USING (metric)""",
+        "features",
+    ),
+)
+def model_report_fixed(spark, folder):
+    """The side-by-side report of two models whose predictions and scores are fixed by the id."""
+    rows = _dwd(spark, folder).select("id", exploration.is_purchase().alias("label"))
+    folds = rows.select((F.col("id") % 5).alias("fold"), "label", F.when(F.col("id") * 7919 % 100 >= 60, 1).otherwise(0).alias("predicted"))
+    logistic, svm = (learning.evaluate_binary(_fixed_scores(rows, *p)) for p in ((7919, 60), (104729, 50)))
+    report = learning.model_report(logistic, svm, learning.fold_metrics(folds))
+    return report.withColumn("logistic_cross_validated", F.round("logistic_cross_validated", 6))
+
+
 # --- fitted models (no SQL twin: iterative) ------------------------------------------------------
 
 
@@ -1480,3 +1521,29 @@ def text_cv_scores(spark, folder):
 def text_both_wrong(spark, folder):
     predicted = learning.text_out_of_fold(_gold(spark, folder))
     return evaluation.both_wrong(predicted, "label", "cv_label")
+
+
+@_query("lr_pr_curve")
+def lr_pr_curve(spark, folder):
+    """Precision and recall at every score of the logistic purchase model on test rows."""
+    prepared = _prepared(spark, folder)
+    predicted = learning.predict(_logistic(prepared), prepared.filter("is_train = 0"))
+    return evaluation.precision_recall_curve(predicted, F.col("label") == 1, F.col("ranking_score"))
+
+
+@_query("svm_pr_curve")
+def svm_pr_curve(spark, folder):
+    """Precision and recall at every margin of the linear purchase model on test rows."""
+    prepared = _prepared(spark, folder)
+    model = learning.fit_linear_svm(prepared.filter("in_subsample = 1"))
+    predicted = learning.predict(model, prepared.filter("is_train = 0"))
+    return evaluation.precision_recall_curve(predicted, F.col("label") == 1, F.col("ranking_score"))
+
+
+@_query("text_pr_curve")
+def text_pr_curve(spark, folder):
+    """Precision and recall of the self-labelled classifier on the gold rows."""
+    scored = _scored_table(spark, folder)
+    sheet = views.gold_sheet(scored, views.labels(spark, folder))
+    judged = learning.fit_on_bands(scored, sheet).predict(evaluation.join_gold(sheet, scored, check=False), "model_label")
+    return evaluation.precision_recall_curve(judged, _is_negative(), F.col("model_label_negative"))

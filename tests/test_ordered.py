@@ -130,3 +130,16 @@ def test_running_number_with_a_hot_group(spark, pieces):
     assert found == expected
     empty = with_running_number(df.limit(0), ["g", "h"], "id", "nth", sizes.limit(0), pieces)
     assert empty.count() == 0
+
+
+def test_quantiles_of_extreme_and_dense_values(spark):
+    rng = random.Random(9)
+    values = [1e308, -1e308, 0.0, 5e-324, -5e-324] + [1 + i * 2.0**-52 for i in range(200)] + [rng.gauss(0, 1e6) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(5)
+    found = exact_quantiles(df, ["v"], [0.0, 0.1, 0.5, 0.61, 1.0]).first()
+    ordered = sorted(values)
+    for i, p in enumerate([0.0, 0.1, 0.5, 0.61, 1.0]):
+        exact = p * (len(ordered) - 1)
+        low, high = ordered[int(exact)], ordered[min(int(exact) + 1, len(ordered) - 1)]
+        assert found[f"q{i}"] == pytest.approx(low + (high - low) * (exact - int(exact)))
+    assert exact_quantiles(df.limit(0), ["v"], [0.5]).count() == 0
