@@ -3,16 +3,21 @@
 Alternating large-star and small-star steps (Kiveris et al., "Connected Components in MapReduce and
 Beyond", 2014) turn every component into a star around its smallest node. Each step sends a node's
 smallest neighbour to its edges; minima are pre-aggregated, and the join that brings them to the edges
-cuts the edges of a hub into pieces. Every round is checkpointed, so lineage stays short and a lost
-executor costs one round at most. Nothing is collected but two numbers a round.
+cuts the edges of a hub into pieces. Nothing is collected but two numbers a round.
+
+The edges of every round are written to the shared folder and read again, so a lost executor costs one
+round at most and neither lineage nor plan grows with the number of rounds (a checkpoint keeps what Spark
+knows about the plan before it, which grows beyond measure over a long chain). Only the last round stays.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from shoplayers.functions.skew import join_counted_lookup
-from shoplayers.session import durable
+from shoplayers.session import discard, durable, ensure_checkpoint_dir
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -49,10 +54,20 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     ordered = edges.filter(F.col(left) != F.col(right)).select(
         F.greatest(left, right).alias("hi"), F.least(left, right).alias("lo")
     )
-    current = durable(ordered.distinct())
+    spark = edges.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/components-{uuid.uuid4().hex}"
+
+    def written(rows: DataFrame, number: int) -> DataFrame:
+        rows.write.parquet(f"{folder}/{number}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{number}")
+
+    number = 0
+    current = written(ordered.distinct(), number)
     seen = _fingerprint(current)
     while seen[0]:
-        current = durable(_small_star(durable(_large_star(current).distinct())).distinct())
+        current = written(_small_star(durable(_large_star(current).distinct())).distinct(), number + 1)
+        discard(spark, f"{folder}/{number}")
+        number += 1
         now = _fingerprint(current)
         if now == seen:
             break
