@@ -39,7 +39,7 @@ from shoplayers.session import durable
 BITS = 64
 SEED = 42
 STEP = 8
-VARIANTS_PER_GROUP = 1 << 22
+VARIANTS_PER_GROUP = 1 << 21
 
 
 # --- fingerprints --------------------------------------------------------------------------------
@@ -114,33 +114,37 @@ def _links_of(group: pd.DataFrame, rest: int, flips: int, radius: int) -> pd.Dat
 
     `rest` bits of the variants are still to be written, in `left` flips at most.
     """
+    group = group.sort_values("fingerprint")  # a group has a fingerprint once: places stand for fingerprints
     prints = group["fingerprint"].to_numpy(np.int64).view(np.uint64)
     low = np.uint64((1 << rest) - 1)
     prefix = group["prefix"].to_numpy(np.int64).view(np.uint64)
     base = (prints & low) | (prefix << np.uint64(rest) if rest < BITS else np.uint64(0))
     left = group["left"].to_numpy()
-    variants, owners = [], []
+    total = sum(int((left == k).sum()) * _ball(rest, k) for k in range(flips + 1))
+    variant, owner, at = np.empty(total, np.uint64), np.empty(total, np.int32), 0
     for flips_left in range(flips + 1):
-        rows = np.flatnonzero(left == flips_left)
+        rows = np.flatnonzero(left == flips_left).astype(np.int32)
         masks = np.array([m for m, _ in _masks(rest, flips_left)], np.uint64)
-        variants.append((base[rows][:, None] ^ masks[None, :]).ravel())
-        owners.append(np.repeat(rows.astype(np.int32), len(masks)))
-    variant, owner = np.concatenate(variants), np.concatenate(owners)
+        end = at + len(rows) * len(masks)
+        np.bitwise_xor(base[rows][:, None], masks[None, :], out=variant[at:end].reshape(len(rows), len(masks)))
+        owner[at:end] = np.repeat(rows, len(masks))
+        at = end
     order = np.argsort(variant)
     variant, owner = variant[order], owner[order]
+    del order
     starts = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]]) if len(variant) else np.empty(0, int)
     sizes = np.diff(np.r_[starts, len(variant)])
     shared = np.repeat(sizes > 1, sizes)
     if not shared.any():
         return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
     owner, sizes = owner[shared], sizes[sizes > 1]
-    member = prints[owner]
-    first = np.repeat(np.minimum.reduceat(member, np.r_[0, np.cumsum(sizes)[:-1]]), sizes)
-    near = (first != member) & (np.bitwise_count(first ^ member) <= radius)
-    pairs = pd.DataFrame({"a": first[near], "b": member[near]}).drop_duplicates()
-    nodes, ends = np.unique(pairs.to_numpy(np.uint64).ravel(), return_inverse=True)
-    ends = ends.reshape(-1, 2)
-    root = np.arange(len(nodes))
+    del variant, shared
+    first = np.repeat(np.minimum.reduceat(owner, np.r_[0, np.cumsum(sizes)[:-1]]), sizes)
+    pairs = np.unique((first.astype(np.int64) << 32) | owner)
+    ends = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
+    near = (ends[:, 0] != ends[:, 1]) & (np.bitwise_count(prints[ends[:, 0]] ^ prints[ends[:, 1]]) <= radius)
+    ends = ends[near]
+    root = np.arange(len(prints))
     while True:  # smallest label over links, then pointer jumping
         best = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
         after = root.copy()
@@ -150,8 +154,8 @@ def _links_of(group: pd.DataFrame, rest: int, flips: int, radius: int) -> pd.Dat
         if (after == root).all():
             break
         root = after
-    loose = root != np.arange(len(nodes))
-    return pd.DataFrame({"a": nodes[root[loose]].view(np.int64), "b": nodes[loose].view(np.int64)})
+    loose = root != np.arange(len(prints))
+    return pd.DataFrame({"a": prints[root[loose]].view(np.int64), "b": prints[loose].view(np.int64)})
 
 
 def _linker(rest: int, flips: int, radius: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
