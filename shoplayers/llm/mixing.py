@@ -128,7 +128,7 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per input row: id, size, source_size, target (its source's), copies, taken (words)."""
+    """One row per input row: id, size, source_size, target (its source's), taken (words), copies."""
     source = F.col(source_col).cast("string")
     size = word_count(F.col(text_col))
     sized = durable(
@@ -189,8 +189,8 @@ def mix(
             "size",
             "source_size",
             "target",
-            "copies",
             (F.col("copies") * F.col("size")).alias("taken"),
+            "copies",
         )
     )
 

@@ -187,7 +187,7 @@ def judge(
     min_score: float = MIN_SCORE,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """One row per input row: id, the counts, base_failed, n_grams, score and kept."""
+    """One row per input row: id, the counts, base_failed, kept, n_grams and score."""
     ratios = durable(likelihood_ratios(docs, trusted, id_col, text_col, bits))
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -204,7 +204,7 @@ def judge(
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
+        (~failed & reaches).alias("kept"),
         "n_grams",
         (F.col("ratio_sum") / F.greatest(F.col("n_grams"), F.lit(1)) / UNIT).alias("score"),
-        (~failed & reaches).alias("kept"),
     )

@@ -58,7 +58,7 @@ drawn AS (
                    ELSE copies + CASE WHEN p >= 1 THEN 1 WHEN v IS NULL THEN 0 WHEN 2 * upto - size <= 2 * room THEN 1 ELSE 0 END
               END::BIGINT AS taken_copies
     FROM counted)
-SELECT doc_id, size, source_size, target, taken_copies AS copies, (taken_copies * size)::BIGINT AS taken FROM drawn
+SELECT doc_id, size, source_size, target, (taken_copies * size)::BIGINT AS taken, taken_copies AS copies FROM drawn
 """
 
 # The given pages hold no canonical link and no refresh (a test says so), so decisions come from rules
@@ -76,7 +76,7 @@ fitting AS (
            row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rule_host || rule_path) DESC NULLS LAST, verdict) AS nth
     FROM split LEFT JOIN rules
       ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
-SELECT page_id, host, path, rule, NULL::VARCHAR AS component, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE nth = 1
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict, NULL::VARCHAR AS component FROM fitting WHERE nth = 1
 """.format(lower=LOWER)
 
 OP4_CHAT = r"""

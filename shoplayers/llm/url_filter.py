@@ -147,7 +147,7 @@ def judge(
     url_col: str = "url",
     html_col: str = "html",
 ) -> DataFrame:
-    """One row per input row: id, host, path, rule, component (root address or NULL) and verdict.
+    """One row per input row: id, host, path, rule, verdict and component (root address or NULL).
 
     `redirects` has the columns from_url and to_url.
     """
@@ -180,6 +180,6 @@ def judge(
         "host",
         "path",
         F.col("winner.rule").alias("rule"),
-        F.col("root").alias("component"),
         F.coalesce("winner.verdict", "passed", F.lit(ALLOW)).alias("verdict"),
+        F.col("root").alias("component"),
     )
