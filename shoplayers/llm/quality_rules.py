@@ -7,14 +7,16 @@ agree compare the words themselves, so hashing costs no exactness.
 The ratio follows importance resampling with hashed n-grams (Xie et al., "Data Selection for Language Models
 via Importance Resampling", 2023): tokens are runs of letters and digits or runs of other signs, lower-cased;
 unigrams and bigrams are hashed into `2^BUCKET_BITS` buckets; one multinomial is counted over the trusted
-documents, one over all documents, both with add-`SMOOTHING`. A document's score is the mean over its n-grams of
+documents, one over all documents, both with add-`SMOOTHING`. In a table larger than the corpus smoothing would
+outweigh the counts, so a small corpus takes fewer buckets: as many as leave `GRAMS_A_BUCKET` n-grams each, but
+2^LEAST_BITS at least. A document's score is the mean over its n-grams of
 
     ln P(bucket | trusted) - ln P(bucket | raw)
 
 and the document is kept if the score reaches `MIN_SCORE`. (The paper draws documents by chance; here every
 document gets the same verdict every time.) Ratios are rounded to multiples of 2^-20 and summed as whole
-numbers, so no order of summing can change a verdict. The table of ratios has 2^BUCKET_BITS numbers whatever
-the corpus; it is all that is sent to every task.
+numbers, so no order of summing can change a verdict. The table of ratios has 2^BUCKET_BITS numbers (8 MB)
+at most, whatever the corpus; it is all that is sent to every task.
 
 Defined results: a NULL text has no words, fails the base rules and has no score. Repeated rows get the same
 verdict. Without trusted documents the ratio says nothing and every document passes it. An empty table gives
@@ -36,7 +38,9 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-BUCKET_BITS = 14
+BUCKET_BITS = 20
+LEAST_BITS = 14
+GRAMS_A_BUCKET = 8
 SMOOTHING = 1.0
 MIN_SCORE = -0.5
 UNIT = 1 << 20
@@ -133,10 +137,10 @@ def _gram_buckets(text: Column, bits: int) -> Column:
     return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.zip_with(h, _after(h, 1), packed))
 
 
-def likelihood_ratios(
+def gram_counts(
     docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS
 ) -> DataFrame:
-    """(bucket, ratio) for all 2^bits buckets; `ratio` counts units of 2^-20. `trusted` holds ids."""
+    """(bucket, raw, trusted) for all 2^bits buckets. `trusted` holds ids."""
     marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("marked", F.lit(1))
     # Placed by id at every size: marks may be many, so they are never assumed to fit a broadcast.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks.hint("shuffle_hash"), "id", "left")
@@ -145,7 +149,23 @@ def likelihood_ratios(
     grams = packed.select("marked", F.explode(buckets).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted"))
     every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
-    counts = durable(every.join(counted, "bucket", "left").na.fill(0, ["raw", "trusted"]))
+    return every.join(counted, "bucket", "left").na.fill(0, ["raw", "trusted"])
+
+
+def fitting_bits(counts: DataFrame) -> int:
+    """The bits that leave GRAMS_A_BUCKET n-grams a bucket, between LEAST_BITS and BUCKET_BITS."""
+    grams = counts.agg(F.sum("raw")).first()[0] or 0
+    return min(max((grams // GRAMS_A_BUCKET).bit_length() - 1, LEAST_BITS), BUCKET_BITS)
+
+
+def folded(counts: DataFrame, bits: int) -> DataFrame:
+    """The counts of 2^bits buckets from those of more: a bucket is the low bits of a hash."""
+    bucket = F.col("bucket").bitwiseAND(F.lit((1 << bits) - 1)).alias("bucket")
+    return counts.groupBy(bucket).agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+
+
+def likelihood_ratios(counts: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
+    """(bucket, ratio) for all 2^bits buckets; `ratio` counts units of 2^-20."""
     total = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))).scalar()
 
     def log_share(name: str) -> Column:
@@ -156,27 +176,38 @@ def likelihood_ratios(
     return counts.withColumn("total", total).select("bucket", ratio.alias("ratio"))
 
 
-def score_sums(text: Column, ratios: DataFrame, bits: int = BUCKET_BITS) -> Column:
+def _ratio_table(ratios: DataFrame, bits: int) -> Column:
+    """The 2^bits ratios in order of bucket, and 0 for no bigram: one array, as a scalar subquery.
+
+    Stretches of 2^(bits / 2) buckets are put together first, so the last task gets few rows.
+    """
+    pairs = F.sort_array(F.collect_list(F.struct("bucket", "ratio")))
+    stretches = ratios.groupBy(F.shiftright("bucket", bits // 2).alias("stretch")).agg(pairs.alias("pairs"))
+    numbered = F.struct("stretch", F.transform("pairs", lambda pair: pair["ratio"]).alias("ratios"))
+    whole = stretches.agg(F.sort_array(F.collect_list(numbered)).alias("all"))
+    numbers = F.flatten(F.transform("all", lambda stretch: stretch["ratios"]))
+    return whole.select(F.concat(numbers, F.array(F.lit(0).cast("long")))).scalar()
+
+
+def score_sums(text: Column, table: Column, bits: int = BUCKET_BITS) -> Column:
     """n_grams and ratio_sum (in units of 2^-20) of a text, as a struct.
 
-    The table of 2^bits whole numbers, and 0 for no bigram, becomes a constant of the plan.
+    `table` is named once: so the optimizer moves the subquery behind it to this place, and the array
+    is never copied into rows.
     """
-    by_bucket = dict(ratios.select("bucket", "ratio").toLocalIterator())
-    numbers = ",".join(str(by_bucket.get(bucket, 0)) for bucket in range((1 << bits) + 1))
-    table = F.split(F.lit(numbers), ",").cast("array<bigint>")
     low = F.lit((1 << 32) - 1)
 
-    def add(total: Column, packed: Column) -> Column:
-        unigram = F.get(table, F.shiftright(packed, 32).cast("int"))
-        return total + unigram + F.get(table, packed.bitwiseAND(low).cast("int"))
+    def summed(numbers: Column, packed: Column) -> Column:
+        def add(total: Column, both: Column) -> Column:
+            unigram = F.get(numbers, F.shiftright(both, 32).cast("int"))
+            return total + unigram + F.get(numbers, both.bitwiseAND(low).cast("int"))
 
-    return _let(
-        _gram_buckets(text, bits),
-        lambda packed: F.struct(
+        return F.struct(
             F.greatest(2 * F.size(packed) - 1, F.lit(0)).cast("long").alias("n_grams"),
             F.aggregate(packed, F.lit(0).cast("long"), add).alias("ratio_sum"),
-        ),
-    )
+        )
+
+    return _let(table, lambda bound: _let(_gram_buckets(text, bits), lambda packed: summed(bound, packed)))
 
 
 def judge(
@@ -185,14 +216,20 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_score: float = MIN_SCORE,
-    bits: int = BUCKET_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
-    """One row per input row: id, the counts, base_failed, kept, n_grams and score."""
-    ratios = durable(likelihood_ratios(docs, trusted, id_col, text_col, bits))
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        base_counts(F.col(text_col)).alias("base"),
-        score_sums(F.col(text_col), ratios, bits).alias("score"),
+    """One row per input row: id, the counts, base_failed, kept, n_grams and score.
+
+    Without `bits` the number of buckets follows the corpus, up to 2^BUCKET_BITS.
+    """
+    counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
+    bits = bits or fitting_bits(counts)
+    ratios = durable(likelihood_ratios(folded(counts, bits) if bits < BUCKET_BITS else counts, bits))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _ratio_table(ratios, bits).alias("table"))
+    rows = rows.select(
+        "id",
+        base_counts(F.col("text")).alias("base"),
+        score_sums(F.col("text"), F.col("table"), bits).alias("score"),
     ).select("id", "base.*", "score.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     reaches = F.col("ratio_sum") >= F.col("n_grams") * F.lit(round(min_score * UNIT))

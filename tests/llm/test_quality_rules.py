@@ -75,6 +75,27 @@ def test_ratio_equals_brute_force(spark):
     assert not any(r["kept"] for r in found if r["doc_id"] % 5 == 0)
 
 
+def test_stuttered_ordinary_words_are_rejected(spark):
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(3000)]
+    follows = {w: draw.sample(words, 8) for w in words}
+
+    def prose():
+        out = [draw.choice(words)]
+        while len(out) < 300:
+            out.append(draw.choice(follows[out[-1]]))
+        return out
+
+    def stutter():
+        return [w for w in draw.sample(words, 60) for _ in range(5)]
+
+    rows = [(i, " ".join(stutter() if i % 10 == 0 else prose())) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = qr.judge(docs, docs.select("doc_id").filter("doc_id % 10 > 0 AND doc_id % 3 > 0")).collect()
+    assert not any(r["base_failed"] for r in found)
+    assert {r["doc_id"] for r in found if not r["kept"]} == set(range(0, 1000, 10))
+
+
 def test_defined_cases(documents, clashing, nothing):
     none = documents.select("doc_id").limit(0)
     judged = qr.judge(documents, none).collect()
