@@ -25,9 +25,10 @@ an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplayers.llm.common import WORD
 from shoplayers.session import durable
@@ -137,6 +138,19 @@ def _gram_buckets(text: Column, bits: int) -> Column:
     return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.zip_with(h, _after(h, 1), packed))
 
 
+@contextmanager
+def _whole_partitions(spark: SparkSession) -> Iterator[None]:
+    """Shuffled partitions of Spark's advisory size, also where more and smaller ones would keep all cores
+    busy: a task ships up to 2^BUCKET_BITS counts however little text it got."""
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def gram_counts(
     docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS
 ) -> DataFrame:
@@ -222,7 +236,8 @@ def judge(
 
     Without `bits` the number of buckets follows the corpus, up to 2^BUCKET_BITS.
     """
-    counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
+    with _whole_partitions(docs.sparkSession):
+        counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
     bits = bits or fitting_bits(counts)
     ratios = durable(likelihood_ratios(folded(counts, bits) if bits < BUCKET_BITS else counts, bits))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _ratio_table(ratios, bits).alias("table"))
