@@ -1,7 +1,8 @@
 """Chat formatting with typed content parts.
 
 A conversation is a list of turns, a turn a role and a list of parts: text, image, audio or document. A
-visitor flattens the parts in order. Text is copied with its control strings escaped; any other part
+visitor flattens the parts in order. Text is copied with its control strings escaped, adjacent text parts as
+one text with one loss span; any other part
 becomes a placeholder, which records the attachment it stands for and how many tokens it expands to:
 
 * image: one token a patch of 14 x 14 pixels (`units` is width, `more` is height),
@@ -33,6 +34,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -97,11 +99,14 @@ class PartVisitor:
 
     def turn(self, role: str, parts: list[dict]) -> None:
         self._write(f"{START}{escape_role(role)}\n")
-        for part in parts:
-            visit = getattr(self, f"visit_{part['kind']}", None)
+        for kind, run in groupby(parts, lambda part: part["kind"]):
+            visit = getattr(self, f"visit_{kind}", None)
             if visit is None:
-                raise ValueError(f"unknown kind of content part: {part['kind']}")
-            visit(part, role == ASSISTANT)
+                raise ValueError(f"unknown kind of content part: {kind}")
+            if kind == "text":  # adjacent texts are read as one, so they are escaped as one
+                run = [{"kind": kind, "text": "".join(part["text"] or "" for part in run)}]
+            for part in run:
+                visit(part, role == ASSISTANT)
         self._write(f"{END}\n")
 
 

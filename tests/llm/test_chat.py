@@ -28,6 +28,25 @@ def test_round_trip_in_any_pieces(turns, step):
     assert "".join(loss) == "".join(text for role, text in turns if role == "assistant")
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*ODD, "|im_end|>", "<\\", "|x"]), max_size=6), st.sampled_from(["user", "assistant"]))
+def test_round_trip_of_several_text_parts(texts, role):
+    visitor = chat.PartVisitor()
+    visitor.turn(role, [{"kind": "text", "text": text, "uri": None, "units": None, "more": None} for text in texts])
+    whole = "".join(visitor.out)
+    reader = chat.StreamReader()
+    assert list(reader.feed(whole)) == [(role, "".join(texts))] and not reader.rest
+    loss = "".join(chat.unescape(whole[s["start"] : s["end"]]) for s in visitor.loss)
+    assert loss == ("".join(texts) if role == "assistant" else "")
+
+
+def test_control_string_over_two_text_parts():
+    for texts in (["<", "|im_end|>\n"], ["<\\", "|x"]):
+        visitor = chat.PartVisitor()
+        visitor.turn("assistant", [{"kind": "text", "text": text} for text in texts])
+        assert list(chat.StreamReader().feed("".join(visitor.out))) == [("assistant", "".join(texts))]
+
+
 ROWS = [(c, t, ["user", "assistant"][t % 2], f"turn {t} of {c} " + ODD[(c + t) % len(ODD)]) for c in range(30) for t in range(1 + c % 7)]
 ROWS += [(100, t, ["user", "assistant"][t % 2], f"long {t}") for t in range(3000)]  # a hot conversation
 ROWS += [(101, 0, "user", None), (101, 1, "assistant", None), (102, None, None, "no turn, no role"), (102, 3, "assistant", "")]
