@@ -12,7 +12,10 @@ beyond `limit`, because many fingerprints are alike, go on for `STEP` more bits,
 group of full variants holds at most 2,081 fingerprints, so this ends; no group is cut.
 
 All fingerprints that share a variant are linked to the smallest of them: any two are within 2k bits,
-so k - 1 links say the same as all pairs. Inside a task links are reduced to one star a component.
+so links to one say the same as all pairs. Of an odd radius r = 2k - 1 two may be r + 1 apart, so there the
+smallest that is at most k - 1 flips away takes this place: it is within r of all others. A variant without one
+says nothing: its members are an even number of bits apart, so those within r meet in a nearer variant too.
+Inside a task links are reduced to one star a component.
 
 Defined results: a text without words (NULL, empty) has fingerprint zero and is linked like any other;
 a text with fewer words than a shingle is one shingle. Component ids are the smallest id of the
@@ -122,24 +125,30 @@ def _links_of(group: pd.DataFrame, rest: int, flips: int, radius: int) -> pd.Dat
     left = group["left"].to_numpy()
     total = sum(int((left == k).sum()) * _ball(rest, k) for k in range(flips + 1))
     variant, owner, at = np.empty(total, np.uint64), np.empty(total, np.int32), 0
+    centre = np.empty(total, bool) if radius % 2 else None  # of an even radius every owner can be one
     for flips_left in range(flips + 1):
         rows = np.flatnonzero(left == flips_left).astype(np.int32)
         masks = np.array([m for m, _ in _masks(rest, flips_left)], np.uint64)
         end = at + len(rows) * len(masks)
         np.bitwise_xor(base[rows][:, None], masks[None, :], out=variant[at:end].reshape(len(rows), len(masks)))
         owner[at:end] = np.repeat(rows, len(masks))
+        if centre is not None:
+            used = np.array([k for _, k in _masks(rest, flips_left)]) + flips - flips_left
+            centre[at:end] = np.tile(used <= radius // 2, len(rows))
         at = end
     order = np.argsort(variant)
     variant, owner = variant[order], owner[order]
+    heads = owner if centre is None else np.where(centre[order], owner, np.int32(len(prints)))
     del order
     starts = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]]) if len(variant) else np.empty(0, int)
     sizes = np.diff(np.r_[starts, len(variant)])
     shared = np.repeat(sizes > 1, sizes)
     if not shared.any():
         return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    owner, sizes = owner[shared], sizes[sizes > 1]
+    heads, owner, sizes = heads[shared], owner[shared], sizes[sizes > 1]
     del variant, shared
-    first = np.repeat(np.minimum.reduceat(owner, np.r_[0, np.cumsum(sizes)[:-1]]), sizes)
+    first = np.repeat(np.minimum.reduceat(heads, np.r_[0, np.cumsum(sizes)[:-1]]), sizes)
+    first, owner = first[first < len(prints)], owner[first < len(prints)]
     pairs = np.unique((first.astype(np.int64) << 32) | owner)
     ends = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
     near = (ends[:, 0] != ends[:, 1]) & (np.bitwise_count(prints[ends[:, 0]] ^ prints[ends[:, 1]]) <= radius)

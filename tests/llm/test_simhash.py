@@ -96,6 +96,14 @@ def test_odd_radius(spark):
     assert sorted(map(sorted, groups(roots))) == sorted(map(sorted, groups(dict(zip(signed, roots_of(values, 3))))))
 
 
+def test_odd_radius_links_members_that_only_meet_behind_smaller_ones(spark):
+    for radius, values in ((1, [4, 9, 12, 13]), (3, clustered(7))):
+        signed = [int(np.uint64(v).astype(np.int64)) for v in values]
+        links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fingerprint long"), radius)
+        roots = {v: v for v in signed} | {r["node"]: r["root"] for r in connected_components(links, "a", "b").collect()}
+        assert sorted(map(sorted, groups(roots))) == sorted(map(sorted, groups(dict(zip(signed, roots_of(values, radius))))))
+
+
 def test_deduplicate_keeps_the_smallest_id_of_every_component(clashing, rows):
     kept = simhash.deduplicate(clashing)
     assert kept.columns == clashing.columns
