@@ -25,10 +25,9 @@ an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers.llm.common import WORD
 from shoplayers.session import durable
@@ -42,6 +41,7 @@ MAX_REPEAT_PERCENT = 30
 BUCKET_BITS = 20
 LEAST_BITS = 14
 GRAMS_A_BUCKET = 8
+TEXT_A_TASK = 1 << 27
 SMOOTHING = 1.0
 MIN_SCORE = -0.5
 UNIT = 1 << 20
@@ -138,19 +138,6 @@ def _gram_buckets(text: Column, bits: int) -> Column:
     return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.zip_with(h, _after(h, 1), packed))
 
 
-@contextmanager
-def _whole_partitions(spark: SparkSession) -> Iterator[None]:
-    """Shuffled partitions of Spark's advisory size, also where more and smaller ones would keep all cores
-    busy: a task ships up to 2^BUCKET_BITS counts however little text it got."""
-    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def gram_counts(
     docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS
 ) -> DataFrame:
@@ -158,6 +145,9 @@ def gram_counts(
     marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("marked", F.lit(1))
     # Placed by id at every size: marks may be many, so they are never assumed to fit a broadcast.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks.hint("shuffle_hash"), "id", "left")
+    # A task ships up to 2^bits counts however little text it got, so tasks get 128 MB of text each.
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    texts = texts.coalesce(size // TEXT_A_TASK + 1)
     packed = texts.select("marked", F.explode(_gram_buckets(F.col("text"), bits)).alias("packed"))
     buckets = F.array(F.shiftright("packed", 32).cast("int"), F.col("packed").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
     grams = packed.select("marked", F.explode(buckets).alias("bucket"))
@@ -236,8 +226,7 @@ def judge(
 
     Without `bits` the number of buckets follows the corpus, up to 2^BUCKET_BITS.
     """
-    with _whole_partitions(docs.sparkSession):
-        counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
+    counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
     bits = bits or fitting_bits(counts)
     ratios = durable(likelihood_ratios(folded(counts, bits) if bits < BUCKET_BITS else counts, bits))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _ratio_table(ratios, bits).alias("table"))
