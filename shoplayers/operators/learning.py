@@ -169,7 +169,7 @@ def fold_metrics(predicted: DataFrame) -> DataFrame:
 
 def out_of_fold(scaled: DataFrame, folds: int = 5, key: str = "id", max_iter: int = 1000) -> DataFrame:
     """Prediction for every row from the model that did not see its fold."""
-    numbered = fold_ids(scaled, key=key, folds=folds)  # a stored table from here on
+    numbered = durable(fold_ids(scaled, key=key, folds=folds))
     parts = []
     for fold in range(folds):
         model = fit_logistic(numbered.filter(F.col("fold") != fold), max_iter=max_iter)
@@ -288,7 +288,7 @@ def text_top_features(model: TextModel, reviews: DataFrame, k: int = 20, min_df:
 
 def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 1000) -> DataFrame:
     """Gold rows with the class predicted by a model that did not see them."""
-    numbered = fold_ids(gold, label=label, key="ingest_id", folds=folds)
+    numbered = durable(fold_ids(gold, label=label, key="ingest_id", folds=folds))
     parts = []
     for fold in range(folds):
         model = fit_text_classifier(numbered.filter(F.col("fold") != fold), label, max_iter=max_iter)

@@ -6,13 +6,16 @@ partitioning, the engine or a retried task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import shuffle_key
-from shoplayers.functions.ordered import with_stratum_position
+from shoplayers.functions.ordered import Order, cuts, levels, with_hashed_position, with_stratum_position
+from shoplayers.session import durable
 
 
 def sample_per_band(
@@ -82,23 +85,41 @@ def stratified_split(
     """Mark every row as train or test with the same share in each label, and mark a train subsample.
 
     `max_fit_rows` bounds the subsample: it takes the same share of the training rows of every label,
-    all of them as long as they are no more than that.
+    all of them as long as they are no more than that. No row is ranked: the draws at the shares' ends are found by
+    counting (over a stored table of draws), one row per label reaches the driver, and rows stay where they are.
     """
-    placed = with_stratum_position(df.withColumn("_draw", shuffle_key(seed, key)), label, ["_draw", key])
-    train_size = F.round(F.col("stratum_size") * F.lit(train_share)).cast("long")
-    total_train = df.agg(F.round(F.count(F.lit(1)) * F.lit(train_share))).scalar()
-    fit_share = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(float(max_fit_rows)), total_train), F.lit(1.0)))
-    return placed.withColumns(
-        {
-            "is_train": (F.col("position") <= train_size).cast("int"),
-            "in_subsample": (F.col("position") <= F.floor(train_size * fit_share)).cast("int"),
-        }
-    ).drop("_draw", "position", "stratum_size")
+    draw = shuffle_key(seed, key)
+    drawn = durable(df.select(F.col(label).alias("label"), F.col(key).alias("key"), draw.alias("draw")))
+    sizes = {row["label"]: row["n"] for row in drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    train = {value: _half_up(n * train_share) for value, n in sizes.items()}
+    total_train = _half_up(sum(sizes.values()) * train_share)
+    fit_share = min(1.0, max_fit_rows / total_train) if total_train else 1.0
+    wanted = {value: (train[value], math.floor(train[value] * fit_share)) for value in sizes}
+    values = list(sizes)
+
+    def order(of: DataFrame, column: Column, draws: str, keys: str, value: object) -> Order:
+        return Order([*levels(of, draws), *levels(of, keys)], column.eqNullSafe(F.lit(value)))
+
+    orders = {str(i): order(drawn, F.col("label"), "draw", "key", value) for i, value in enumerate(values)}
+    _, found = cuts(drawn, orders, lambda name, _: [rows - 1 for rows in wanted[values[int(name)]]])
+    result = df.withColumn("_draw", draw)
+    for at, name in enumerate(("is_train", "in_subsample")):
+        taken = F.lit(False)
+        for i, value in enumerate(values):
+            cut = found.get((str(i), wanted[value][at] - 1))
+            if cut:
+                own = order(result, F.col(label), "_draw", key, value)
+                taken = taken | (own.inside() & own.reaches(cut))
+        result = result.withColumn(name, taken.cast("int"))
+    return result.drop("_draw")
+
+
+def _half_up(value: float) -> int:
+    """Rounded as SQL rounds."""
+    return int(Decimal(repr(value)).quantize(Decimal(1), ROUND_HALF_UP))
 
 
 def fold_ids(df: DataFrame, label: str = "label", key: str = "id", folds: int = 5, seed: int = K.SEED) -> DataFrame:
     """Fold number per row; every label is spread evenly over the folds."""
-    placed = with_stratum_position(df.withColumn("_draw", shuffle_key(seed, key)), label, ["_draw", key])
-    return placed.withColumn("fold", ((F.col("position") - 1) % folds).cast("int")).drop(
-        "_draw", "position", "stratum_size"
-    )
+    placed = with_hashed_position(df.withColumn("_draw", shuffle_key(seed, key)), label, "_draw", key, "_place")
+    return placed.withColumn("fold", ((F.col("_place") - 1) % folds).cast("int")).drop("_draw", "_place")

@@ -150,7 +150,7 @@ def hot_goods_conversion(dwd: DataFrame, quantile: float = K.HOT_GOODS_QUANTILE)
     The quantile is over rows, so each product counts with its own number of rows. Everything is
     computed from one row per product; the detail rows are aggregated once and never joined back.
     """
-    goods = dwd.groupBy("goods_id").agg(F.count("behavior").alias("hot_score"), F.sum(is_purchase()).alias("buys"))
+    goods = durable(dwd.groupBy("goods_id").agg(F.count("behavior").alias("hot_score"), F.sum(is_purchase()).alias("buys")))
     threshold = exact_quantile(goods, "hot_score", quantile, F.col("hot_score"))
     hot = F.col("hot_score") > F.col("threshold")
     return (

@@ -10,9 +10,10 @@ from shoplayers import constants as K
 from shoplayers.functions.columns import (
     epoch_seconds, epoch_to_timestamp, segment_label, strip, tolerant_seconds,
 )
-from shoplayers.functions.ordered import tile, with_stratum_position
+from shoplayers.functions.ordered import Order, levels, tiles_of
 from shoplayers.operators.quality import not_null_violations, require, require_unique
 from shoplayers.plans.reports import totals_reconciliation
+from shoplayers.session import durable
 from shoplayers.sources.files import LayerTables, Source
 from shoplayers.sources.schemas import KEYS, MONEY_SUM, NOT_NULL
 
@@ -100,42 +101,33 @@ def build_rfm_raw(user_day: DataFrame, reference_date: dt.date | str) -> DataFra
 def build_rfm_scores(raw: DataFrame, tiles: int = K.TILES) -> DataFrame:
     """Tile score per dimension, 4 = best; ties are ordered by user.
 
-    The three dimensions are stacked into one column and ranked by one range-partitioned sort,
-    then folded back into one row per user.
+    A tile score needs no user's rank, only the users at the tiles' ends: those are found by counting, and every
+    row compares itself with them. The users' table is stored once, because the counting reads it.
     """
-    common = "decimal(20,2)"
-    stacked = raw.select(
+    raw = durable(raw)
+    user = levels(raw, "user_id")
+    tile = tiles_of(
+        raw,
+        {
+            "r_score": Order([-F.col("r_days").cast("double"), *user]),
+            "f_score": Order([*levels(raw, "f_freq"), *user]),
+            "m_score": Order([*levels(raw, "m_amount"), *user]),
+        },
+        tiles,
+    )
+    return raw.select(
         "user_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("r").alias("dimension"), (-F.col("r_days")).cast(common).alias("value")),
-                F.struct(F.lit("f").alias("dimension"), F.col("f_freq").cast(common).alias("value")),
-                F.struct(F.lit("m").alias("dimension"), F.col("m_amount").cast(common).alias("value")),
-            )
-        ).alias("measure"),
-    ).select("user_id", "measure.*")
-    ranked = with_stratum_position(stacked, "dimension", ["value", "user_id"])
-    scored = ranked.withColumn("score", tile(F.col("position"), F.col("stratum_size"), tiles))
-
-    def of(dimension: str, column: str) -> Column:
-        return F.max(F.when(F.col("dimension") == dimension, F.col(column)))
-
-    return scored.groupBy("user_id").agg(
-        (-of("r", "value")).cast("int").alias("r_days"),
-        of("f", "value").cast("bigint").alias("f_freq"),
-        of("m", "value").cast(MONEY_SUM).alias("m_amount"),
-        of("r", "score").alias("r_score"),
-        of("f", "score").alias("f_score"),
-        of("m", "score").alias("m_score"),
+        F.col("r_days").cast("int").alias("r_days"),
+        F.col("f_freq").cast("bigint").alias("f_freq"),
+        F.col("m_amount").cast(MONEY_SUM).alias("m_amount"),
+        *[score.alias(name) for name, score in tile.items()],
     )
 
 
 def tile_scores(df: DataFrame, value: str, key: str, tiles: int = K.TILES, name: str = "tile") -> DataFrame:
-    """NTILE over a whole table in ascending order of `value`, ties by `key`."""
-    ranked = with_stratum_position(df.withColumn("_all", F.lit(0)), "_all", [value, key])
-    return ranked.withColumn(name, tile(F.col("position"), F.col("stratum_size"), tiles)).drop(
-        "_all", "position", "stratum_size"
-    )
+    """NTILE over a whole table in ascending order of `value`, ties by `key`; the rows stay where they are."""
+    order = Order([*levels(df, value), *levels(df, key)])
+    return df.withColumn(name, tiles_of(df, {name: order}, tiles)[name])
 
 
 def build_rfm_segments(scores: DataFrame) -> DataFrame:

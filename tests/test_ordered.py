@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import Window as W, functions as F
 
+from shoplayers.functions import ordered
+from shoplayers.functions.columns import shuffle_key
 from shoplayers.functions.ordered import (
-    with_running_number,
-    exact_quantile, exact_quantiles, tile, with_running_totals, with_stratum_position,
+    Order, Statistic, exact_quantile, exact_quantiles, levels, order_statistics, tile, tiles_of,
+    with_hashed_position, with_running_number, with_running_totals, with_stratum_position,
 )
 from shoplayers.functions.skew import join_counted_lookup
 
@@ -143,3 +145,61 @@ def test_quantiles_of_extreme_and_dense_values(spark):
         low, high = ordered[int(exact)], ordered[min(int(exact) + 1, len(ordered) - 1)]
         assert found[f"q{i}"] == pytest.approx(low + (high - low) * (exact - int(exact)))
     assert exact_quantiles(df.limit(0), ["v"], [0.5]).count() == 0
+
+
+def test_places_of_an_order_are_found_by_counting(spark):
+    rng = random.Random(2)
+    values = [rng.choice([7.0, rng.random(), -1e300, 5e-324]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(6)
+    places = [0, 1, 749, 1500, 2250, 2999]
+    counts, found = order_statistics(df, {"v": F.col("v")}, lambda _, n: [*places, n, -1])
+    ordered = sorted(values)
+    assert counts == {"v": 3000} and sorted(found) == [("v", p) for p in places]
+    for place in places:
+        value = ordered[place]
+        assert found["v", place] == Statistic(value, ordered.index(value), ordered.count(value))
+
+
+def test_a_wrong_estimate_and_dense_bins_are_searched_again(spark, monkeypatch):
+    values = [float(i * i % 4001) for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    monkeypatch.setattr(ordered, "LAST_VALUES", 1)  # never few enough to list
+    monkeypatch.setattr(ordered, "BINS", 4)
+    monkeypatch.setattr(ordered, "SKETCH_MARGIN", -0.2)  # brackets beside their places
+    _, found = order_statistics(df, {"v": F.col("v")}, lambda _, n: [5, 2000, 3999])
+    assert [found["v", p].value for p in (5, 2000, 3999)] == [sorted(values)[p] for p in (5, 2000, 3999)]
+
+
+@pytest.mark.parametrize("tiles", [1, 3, 4])
+@pytest.mark.parametrize("size", [0, 1, 3, 700])
+def test_tiles_without_ranks_equal_ntile(spark, size, tiles):
+    big = 2**62
+    df = spark.range(size).select((F.col("id") * 37 % 11).alias("v"), (F.lit(big) + F.col("id") * 7919 % 1009).alias("k")).repartition(4)
+    df = df.withColumn("v", F.when(F.col("v") > 0, F.col("v"))).withColumn("d", F.expr("cast(v as decimal(20,2)) / 3"))
+    orders = {"a": Order([*levels(df, "v"), *levels(df, "k")]), "b": Order([*levels(df, "d"), *levels(df, "k")], F.col("k") % 2 == 0)}
+    got = tiles_of(df, orders, tiles)
+    rows = df.select("k", got["a"].alias("a"), got["b"].alias("b"))
+    expected = df.select("k", F.ntile(tiles).over(W.orderBy("v", "k")).alias("a"))
+    half = df.filter("k % 2 = 0").select("k", F.ntile(tiles).over(W.orderBy("d", "k")).alias("b"))
+    assert sorted(map(tuple, rows.select("k", "a").collect())) == sorted(map(tuple, expected.collect()))
+    assert sorted(map(tuple, rows.filter("b IS NOT NULL").select("k", "b").collect())) == sorted(map(tuple, half.collect()))
+
+
+def test_tiles_move_no_rows(spark):
+    df = spark.range(5000).withColumn("v", F.col("id") % 13)
+    tiles = tiles_of(df, {"t": Order([*levels(df, "v"), *levels(df, "id")])}, 4)
+    plan = df.select(tiles["t"].alias("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_position_in_the_order_of_a_hash(spark):
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, F.lit("x")).alias("g"), shuffle_key(1, "id").alias("draw"))
+    got = with_hashed_position(df.repartition(4), "g", "draw", "id", bin_bits=5)
+    expected = df.withColumn("position", F.row_number().over(W.partitionBy("g").orderBy("draw", "id")))
+    assert sorted(map(str, got.select("id", "position").collect())) == sorted(map(str, expected.select("id", "position").collect()))
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_numbers_have_levels(spark):
+    with pytest.raises(TypeError):
+        levels(spark.createDataFrame([("a",)], "s string"), "s")
