@@ -29,9 +29,10 @@ _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 # Bins that a bracket of values is cut into by one counting pass.
 BINS = 4096
-# Values per level of a quantile sketch, and the share of rows that a bracket reaches to both sides of a sketch's
-# estimate, some four times its error. A bracket that misses its place is replaced by the whole range.
+# Values per level of a quantile sketch, the steps its estimates are taken at, and the share of rows that a bracket
+# reaches beyond them, some four times the sketch's error. A bracket that misses its place is replaced by the whole range.
 SKETCH_SIZE = 4096
+STEPS = 100
 SKETCH_MARGIN = 0.003
 # Different values that the driver takes to finish a search.
 LAST_VALUES = 20_000
@@ -298,8 +299,8 @@ def order_statistics(
         for c in columns
     ]
     first = values.agg(*basics)
-    if weight is None:  # estimates at 1,001 equal steps of every column
-        steps = F.array(*[F.lit(i / 1000) for i in range(1001)])
+    if weight is None:  # estimates at equal steps of every column
+        steps = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
         estimates = [F.when(F.col(c)["n"] > 0, F.kll_sketch_get_quantile_double(F.col(c)["sketch"], steps)).alias(f"_{c}") for c in columns]
         first = first.select(*[F.col(c).dropFields("sketch").alias(c) for c in columns], *estimates)
     row = first.first()
@@ -314,9 +315,9 @@ def order_statistics(
                 search.found = Statistic(low, 0, n)
             elif weight is None:
                 share = place / n
-                lower, upper = math.floor((share - SKETCH_MARGIN) * 1000), math.ceil((share + SKETCH_MARGIN) * 1000)
-                search.low = row[f"_{c}"][min(lower, 1000)] if lower >= 0 else low
-                search.high = row[f"_{c}"][max(upper, 0)] if upper <= 1000 else high
+                lower, upper = math.floor((share - SKETCH_MARGIN) * STEPS), math.ceil((share + SKETCH_MARGIN) * STEPS)
+                search.low = row[f"_{c}"][min(lower, STEPS)] if lower >= 0 else low
+                search.high = row[f"_{c}"][max(upper, 0)] if upper <= STEPS else high
                 if search.low == search.high:  # a bracket needs a width; one value may hold many rows
                     search.high = math.nextafter(search.high, math.inf)
     while open_ := [s for s in searches if not s.found]:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplayers.llm import (
+    byte_bpe,
     chat,
     exact_dedup,
+    filter_audit,
+    importance,
     mixing,
     packing,
     quality_classifier,
@@ -91,6 +95,25 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents weighed towards the benchmark texts; 5% of those with 20 words or more are drawn."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, folder, "benchmark").select("text"))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded, and decoded again from its ids."""
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary, offsets=False)
+    return byte_bpe.digests(encoded, vocabulary)
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters in all orders, per source."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(table(spark, folder, "documents").select("doc_id", "text", "source"), labels)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,5 +127,8 @@ QUERIES = {
         op8_quality_classifier,
         op9_exact_dedup,
         op10_packing,
+        op11_importance_resampling,
+        op12_byte_bpe,
+        op13_filter_audit,
     )
 }
