@@ -5,32 +5,44 @@ of eight words that occur twice are first looked for by 64-bit hashes; only docu
 agree compare the words themselves, so hashing costs no exactness.
 
 The ratio follows importance resampling with hashed n-grams (Xie et al., "Data Selection for Language Models
-via Importance Resampling", 2023): tokens are runs of letters and digits or runs of other signs, lower-cased;
-unigrams and bigrams are hashed into `2^BUCKET_BITS` buckets; one multinomial is counted over the trusted
-documents, one over all documents, both with add-`SMOOTHING`. In a table larger than the corpus smoothing would
-outweigh the counts, so a small corpus takes fewer buckets: as many as leave `GRAMS_A_BUCKET` n-grams each, but
-2^LEAST_BITS at least. A document's score is the mean over its n-grams of
+via Importance Resampling", 2023): a document's words and its pairs of neighbouring words are hashed into 2^BUCKET_BITS
+buckets, whatever the size of the table; one multinomial is counted over all documents, one over the trusted ones.
+The trusted one is smoothed towards the raw one by SMOOTHING n-grams,
+
+    P(bucket | trusted) = (trusted count + SMOOTHING * P(bucket | raw)) / (trusted n-grams + SMOOTHING)
+
+so that few trusted documents say little. A document's score is the mean over its n-grams of
 
     ln P(bucket | trusted) - ln P(bucket | raw)
 
 and the document is kept if the score reaches `MIN_SCORE`. (The paper draws documents by chance; here every
 document gets the same verdict every time.) Ratios are rounded to multiples of 2^-20 and summed as whole
-numbers, so no order of summing can change a verdict. The table of ratios has 2^BUCKET_BITS numbers (8 MB)
-at most, whatever the corpus; it is all that is sent to every task.
+numbers, so no order of summing can change a verdict. The table of ratios has 2^BUCKET_BITS numbers (8 MB),
+whatever the corpus; it is all that is sent to every task, beside a bitmap of the trusted ids (1 MB).
+
+Texts are counted where they are read. Only those whose id may be a trusted one, by the bitmap, are moved to find out;
+an id that many of them share is cut into pieces.
+
+Texts beyond `LONG_TEXT` bytes would need arrays of millions of words in one row. They are cut into pieces between
+words, the words become rows, and the same numbers come from aggregates and windows over rows, which spill. The rows of
+one text are sorted in one task; there a run of eight words is known by two 64-bit hashes together.
 
-Defined results: a NULL text has no words, fails the base rules and has no score. Repeated rows get the same
-verdict. Without trusted documents the ratio says nothing and every document passes it. An empty table gives
-an empty result.
+Defined results: a NULL text has no words, fails the base rules and has no score (0). Repeated rows get the same
+verdict; ties do not occur. Very long texts give the same results as others. Without trusted documents the ratio says
+nothing and every document passes it. An empty table gives an empty result. Extra columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from shoplayers.functions.membership import bitmap_of, may_be_member
+from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.llm.common import WORD
-from shoplayers.session import durable
+from shoplayers.session import durable, stored
 
 # --- Fixed values: the base rules -------------------------------------------------------------------
 SYMBOLS = "[#*$%&|<>]"
@@ -39,13 +51,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 BUCKET_BITS = 20
-LEAST_BITS = 14
-GRAMS_A_BUCKET = 8
-TEXT_A_TASK = 1 << 27
-SMOOTHING = 1.0
+SMOOTHING = 16384.0
 MIN_SCORE = -0.5
 UNIT = 1 << 20
-TOKEN = r"[a-z0-9_\p{L}\p{N}]+|[^\s_\p{L}\p{N}]+"
+LONG_TEXT = 1 << 21
+PIECE_CHARS = 1 << 16
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,17 +68,6 @@ def _after(values: Column, places: int) -> Column:
     return F.slice(values, places + 1, F.greatest(F.size(values), F.lit(1)))
 
 
-def _windows(values: Column, join: Callable[[Column, Column], Column], then: Callable[[Column], Column]) -> Column:
-    """`then` of all runs of eight elements, built by doubling into pairs, fours and eights."""
-
-    def doubled(runs: Column, places: int) -> Column:
-        if places == WINDOW:
-            return then(F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0))))
-        return _let(F.zip_with(runs, _after(runs, places), join), lambda longer: doubled(longer, 2 * places))
-
-    return _let(values, lambda single: doubled(single, 1))
-
-
 def _shifted(values: Column, first: Column) -> Column:
     """The array moved on by one place, with `first` in front."""
     return F.slice(F.concat(F.array(first), values), 1, F.size(values))
@@ -97,121 +96,197 @@ def _repeated_words(words: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(runs) - 1)
         return _let(F.sort_array(F.zip_with(runs, places, lambda w, i: F.struct(w.alias("run"), i.alias("place")))), compared)
 
-    return _windows(words, lambda a, b: F.concat(a, F.lit(" "), b), placed)
+    def doubled(runs: Column, places: int) -> Column:
+        """Runs of eight words, by doubling into pairs, fours and eights."""
+        if places == WINDOW:
+            return placed(F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0))))
+        longer = F.zip_with(runs, _after(runs, places), lambda a, b: F.concat(a, F.lit(" "), b))
+        return _let(longer, lambda joined: doubled(joined, 2 * places))
+
+    return _let(words, lambda single: doubled(single, 1))
 
 
-def base_counts(text: Column) -> Column:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text, as a struct.
+def _hashed(text: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
+    """`body` of a text's words, their hashes, and the hashes of each word with the next.
 
-    Equal runs of words have equal hashes, so only where two hashes agree are the words compared.
+    The last pair has no next word; whoever counts pairs leaves it out.
     """
-    content = F.coalesce(text, F.lit(""))
+
+    def paired(words: Column, single: Column) -> Column:
+        pairs = F.zip_with(single, _after(single, 1), lambda a, b: F.xxhash64(a, b))
+        return _let(pairs, lambda pair: body(words, single, pair))
+
+    def hashed(words: Column) -> Column:
+        return _let(F.transform(words, lambda w: F.xxhash64(w)), lambda single: paired(words, single))
+
+    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)), hashed)
+
+
+def _real_pairs(pairs: Column) -> Column:
+    return F.slice(pairs, 1, F.greatest(F.size(pairs) - 1, F.lit(0)))
+
+
+def _line_and_sign_counts(content: Column) -> list[Column]:
     lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(WORD))
+    return [
+        F.regexp_count(content, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        _let(lines, lambda all_: (F.size(all_) - F.size(F.array_distinct(all_))).cast("long")).alias("n_dup_lines"),
+    ]
 
-    def counts(words: Column) -> Column:
-        suspect = _windows(
-            F.transform(words, lambda w: F.xxhash64(w)),
-            lambda a, b: F.xxhash64(a, b),
-            lambda hashes: F.size(F.array_distinct(hashes)) < F.size(hashes),
-        )
+
+def _measures(text: Column, table: Column, bits: int) -> Column:
+    """The base counts, n_grams and ratio_sum of a text, as a struct.
+
+    `table` holds the ratios by bucket. It is named once: so the optimizer moves the subquery behind it to this
+    place, and the array is never copied into rows.
+    """
+    content = F.coalesce(text, F.lit(""))
+    mask = F.lit((1 << bits) - 1).cast("long")
+
+    def suspect(pairs: Column) -> Column:
+        def eights(fours: Column) -> Column:
+            runs = F.zip_with(fours, _after(fours, 4), lambda a, b: F.xxhash64(a, b))
+            runs = F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0)))
+            return _let(runs, lambda all_: F.size(F.array_distinct(all_)) < F.size(all_))
+
+        return _let(F.zip_with(pairs, _after(pairs, 2), lambda a, b: F.xxhash64(a, b)), eights)
+
+    def summed(ratios: Column, hashes: Column) -> Column:
+        def add(total: Column, h: Column) -> Column:
+            return total + F.get(ratios, h.bitwiseAND(mask).cast("int"))
+
+        return F.aggregate(hashes, F.lit(0).cast("long"), add)
+
+    def counted(words: Column, single: Column, pairs: Column) -> Column:
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.regexp_count(content, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-            _let(lines, lambda all_: (F.size(all_) - F.size(F.array_distinct(all_))).cast("long")).alias("n_dup_lines"),
-            F.when(suspect, _repeated_words(words)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
+            *_line_and_sign_counts(content),
+            F.when(suspect(pairs), _repeated_words(words)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
+            F.greatest(2 * F.size(words) - 1, F.lit(0)).cast("long").alias("n_grams"),
+            _let(table, lambda ratios: summed(ratios, single) + summed(ratios, _real_pairs(pairs))).alias("ratio_sum"),
         )
 
-    return _let(F.regexp_extract_all(content, F.lit(WORD), F.lit(0)), counts)
+    return _hashed(text, counted)
 
 
-def _gram_buckets(text: Column, bits: int) -> Column:
-    """Per token, the bucket of its unigram and of the bigram it begins, as one number:
-    unigram * 2^32 + bigram. The last token begins none, which is bucket 2^bits."""
-    mask = F.lit((1 << bits) - 1).cast("long")
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+# --- long texts ------------------------------------------------------------------------------------
+
+
+def _is_long(text: Column, long_text: int) -> Column:
+    return F.coalesce(F.octet_length(text) > long_text, F.lit(False))
+
+
+def _word_rows(long: DataFrame) -> DataFrame:
+    """(key, place, single, pair, run_a, run_b) per word: its place in the text, the hashes of the word, of it with
+    the next one (NULL for the last word), and two hashes of the eight words from here (NULL where fewer follow)."""
+    pattern = F.lit(rf"(?s).{{1,{PIECE_CHARS}}}[^\x20\x09-\x0D]*")  # a piece ends where a word does
+    pieces = long.select("key", F.posexplode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("piece", "part"))
+    words = pieces.select("key", "piece", F.posexplode(F.regexp_extract_all("part", F.lit(WORD), F.lit(0))).alias("at", "word"))
+    hashed = words.select("key", "piece", "at", F.xxhash64("word").alias("single"), F.xxhash64(F.reverse("word")).alias("other"))
+    order = W.partitionBy("key").orderBy("piece", "at")
+    following = [F.lead("single", i).over(order) for i in range(1, WINDOW)]
+    others = [F.lead("other", i).over(order) for i in range(1, WINDOW)]
+    complete = following[-1].isNotNull()
+    return hashed.select(
+        "key",
+        F.row_number().over(order).alias("place"),
+        "single",
+        F.when(following[0].isNotNull(), F.xxhash64("single", following[0])).alias("pair"),
+        F.when(complete, F.xxhash64("single", *following)).alias("run_a"),
+        F.when(complete, F.xxhash64("other", *others)).alias("run_b"),
+    )
+
+
+def _long_measures(long: DataFrame, words: DataFrame, ratios: DataFrame, bits: int) -> DataFrame:
+    """What `_measures` says of short texts, one row per key."""
+    grams = _gram_rows(words).select("key", _bucket(F.col("hash"), bits).alias("bucket"))
+    sums = grams.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("n")).join(ratios, "bucket")
+    sums = sums.groupBy("key").agg(F.sum("n").alias("n_grams"), F.sum(F.col("n") * F.col("ratio")).alias("ratio_sum"))
+    runs = words.filter("run_a IS NOT NULL").select("key", "place", "run_a", "run_b")
+    twice = runs.groupBy("key", "run_a", "run_b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    places = runs.join(twice, ["key", "run_a", "run_b"], "left_semi")
+    gap = F.lead("place").over(W.partitionBy("key").orderBy("place")) - F.col("place")
+    covered = places.select("key", F.least(F.lit(WINDOW), F.coalesce(gap, F.lit(WINDOW))).alias("n"))
+    covered = covered.groupBy("key").agg(F.sum("n").alias("n_repeat_words"))
+    counts = words.groupBy("key").agg(F.count(F.lit(1)).alias("n_words"))
+    lines = long.select("key", F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.col("line").rlike(WORD))
+    lines = lines.groupBy("key", F.sha2("line", 256).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    lines = lines.groupBy("key").agg(F.sum(F.col("n") - 1).alias("n_dup_lines"))
+    of_text = long.select(
+        "key",
+        "id",
+        F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+    )
+    for part in (counts, lines, covered, sums):
+        of_text = of_text.join(part, "key", "left")
+    return of_text.na.fill(0, [name for name in MEASURES if name != "word_chars"]).select("id", *MEASURES)
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "ratio_sum")
+
+
+# --- the ratio -------------------------------------------------------------------------------------
+
 
-    def packed(token: Column, following: Column) -> Column:
-        bigram = F.when(following.isNotNull(), F.xxhash64(token, following).bitwiseAND(mask)).otherwise(mask + 1)
-        return F.shiftleft(token.bitwiseAND(mask), 32).bitwiseOR(bigram)
+def _bucket(hash_: Column, bits: int) -> Column:
+    return hash_.bitwiseAND(F.lit((1 << bits) - 1).cast("long")).cast("int")
 
-    return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.zip_with(h, _after(h, 1), packed))
+
+def _gram_rows(words: DataFrame) -> DataFrame:
+    """A row per n-gram of word rows: the words and the pairs that exist."""
+    kept = [c for c in words.columns if c in ("key", "marked")]
+    return words.select(*kept, F.explode(F.array("single", "pair")).alias("hash")).filter("hash IS NOT NULL")
+
+
+def _marked(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Add `marked`, 1 where the id is a trusted one, to rows with an id. Rows that cannot be trusted stay in place."""
+    bitmap = bitmap_of(trusted, F.xxhash64("id"))
+    known = F.col("id").isNotNull() & may_be_member(bitmap, F.xxhash64("id"))
+    no = F.lit(None).cast("int")
+    counts = rows.filter(known).groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    marks = counts.join(trusted, "id").withColumn("marked", F.lit(1))
+    moved = join_counted_lookup(rows.filter(known).withColumn("spread", F.xxhash64("text")), marks, "id", "rows", "spread")
+    return rows.filter(~known).select("id", "text", no.alias("marked")).unionByName(moved.select("id", "text", "marked"))
 
 
 def gram_counts(
-    docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS
+    docs: DataFrame, trusted: DataFrame, long: DataFrame | None, bits: int = BUCKET_BITS, long_text: int = LONG_TEXT
 ) -> DataFrame:
-    """(bucket, raw, trusted) for all 2^bits buckets. `trusted` holds ids."""
-    marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("marked", F.lit(1))
-    # Placed by id at every size: marks may be many, so they are never assumed to fit a broadcast.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks.hint("shuffle_hash"), "id", "left")
-    # A task ships up to 2^bits counts however little text it got, so tasks get 128 MB of text each.
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    texts = texts.coalesce(size // TEXT_A_TASK + 1)
-    packed = texts.select("marked", F.explode(_gram_buckets(F.col("text"), bits)).alias("packed"))
-    buckets = F.array(F.shiftright("packed", 32).cast("int"), F.col("packed").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
-    grams = packed.select("marked", F.explode(buckets).alias("bucket"))
-    counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted"))
-    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
-    return every.join(counted, "bucket", "left").na.fill(0, ["raw", "trusted"])
-
-
-def fitting_bits(counts: DataFrame) -> int:
-    """The bits that leave GRAMS_A_BUCKET n-grams a bucket, between LEAST_BITS and BUCKET_BITS."""
-    grams = counts.agg(F.sum("raw")).first()[0] or 0
-    return min(max((grams // GRAMS_A_BUCKET).bit_length() - 1, LEAST_BITS), BUCKET_BITS)
-
-
-def folded(counts: DataFrame, bits: int) -> DataFrame:
-    """The counts of 2^bits buckets from those of more: a bucket is the low bits of a hash."""
-    bucket = F.col("bucket").bitwiseAND(F.lit((1 << bits) - 1)).alias("bucket")
-    return counts.groupBy(bucket).agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
-
-
-def likelihood_ratios(counts: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
-    """(bucket, ratio) for all 2^bits buckets; `ratio` counts units of 2^-20."""
+    """(bucket, raw, trusted) of the buckets that occur. `docs` has id and text, `trusted` ids, and `long` the word
+    rows of the texts beyond `long_text` with their mark."""
+    marked = _marked(docs.filter(~_is_long(F.col("text"), long_text)), trusted)
+    hashes = _hashed(F.col("text"), lambda words, single, pairs: F.concat(single, _real_pairs(pairs)))
+    grams = marked.select("marked", F.explode(hashes).alias("hash"))
+    if long is not None:
+        grams = grams.unionByName(_gram_rows(long).select("marked", "hash"))
+    buckets = grams.select("marked", _bucket(F.col("hash"), bits).alias("bucket"))
+    return buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted"))
+
+
+def likelihood_ratios(counts: DataFrame) -> DataFrame:
+    """(bucket, ratio) of the buckets that occur; `ratio` counts units of 2^-20."""
     total = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))).scalar()
-
-    def log_share(name: str) -> Column:
-        return F.ln((F.col(name) + F.lit(SMOOTHING)) / (F.col(f"total.{name}") + F.lit(SMOOTHING * (1 << bits))))
-
-    ratio = F.round((log_share("trusted") - log_share("raw")) * UNIT).cast("long")
+    share = F.col("raw") / F.col("total.raw")
+    ratio = F.ln((F.col("trusted") + SMOOTHING * share) / (F.col("total.trusted") + F.lit(SMOOTHING))) - F.ln(share)
+    ratio = F.round(ratio * UNIT).cast("long")
     ratio = F.when(F.col("total.trusted") > 0, ratio).otherwise(F.lit(0).cast("long"))
     return counts.withColumn("total", total).select("bucket", ratio.alias("ratio"))
 
 
 def _ratio_table(ratios: DataFrame, bits: int) -> Column:
-    """The 2^bits ratios in order of bucket, and 0 for no bigram: one array, as a scalar subquery.
+    """The 2^bits ratios in order of bucket, 0 where none occurs: one array, as a scalar subquery.
 
     Stretches of 2^(bits / 2) buckets are put together first, so the last task gets few rows.
     """
+    every = ratios.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
+    every = every.join(ratios, "bucket", "left").na.fill(0, ["ratio"])
     pairs = F.sort_array(F.collect_list(F.struct("bucket", "ratio")))
-    stretches = ratios.groupBy(F.shiftright("bucket", bits // 2).alias("stretch")).agg(pairs.alias("pairs"))
+    stretches = every.groupBy(F.shiftright("bucket", bits // 2).alias("stretch")).agg(pairs.alias("pairs"))
     numbered = F.struct("stretch", F.transform("pairs", lambda pair: pair["ratio"]).alias("ratios"))
     whole = stretches.agg(F.sort_array(F.collect_list(numbered)).alias("all"))
-    numbers = F.flatten(F.transform("all", lambda stretch: stretch["ratios"]))
-    return whole.select(F.concat(numbers, F.array(F.lit(0).cast("long")))).scalar()
-
-
-def score_sums(text: Column, table: Column, bits: int = BUCKET_BITS) -> Column:
-    """n_grams and ratio_sum (in units of 2^-20) of a text, as a struct.
-
-    `table` is named once: so the optimizer moves the subquery behind it to this place, and the array
-    is never copied into rows.
-    """
-    low = F.lit((1 << 32) - 1)
-
-    def summed(numbers: Column, packed: Column) -> Column:
-        def add(total: Column, both: Column) -> Column:
-            unigram = F.get(numbers, F.shiftright(both, 32).cast("int"))
-            return total + unigram + F.get(numbers, both.bitwiseAND(low).cast("int"))
-
-        return F.struct(
-            F.greatest(2 * F.size(packed) - 1, F.lit(0)).cast("long").alias("n_grams"),
-            F.aggregate(packed, F.lit(0).cast("long"), add).alias("ratio_sum"),
-        )
-
-    return _let(table, lambda bound: _let(_gram_buckets(text, bits), lambda packed: summed(bound, packed)))
+    return whole.select(F.flatten(F.transform("all", lambda stretch: stretch["ratios"]))).scalar()
 
 
 def judge(
@@ -220,24 +295,28 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_score: float = MIN_SCORE,
-    bits: int | None = None,
+    bits: int = BUCKET_BITS,
+    long_text: int = LONG_TEXT,
 ) -> DataFrame:
-    """One row per input row: id, the counts, base_failed, kept, n_grams and score.
+    """One row per input row: id, the counts, base_failed, kept, n_grams and score. `trusted` holds ids.
 
-    Without `bits` the number of buckets follows the corpus, up to 2^BUCKET_BITS.
+    `long_text` decides which way a text is measured, not what comes out.
     """
-    counts = durable(gram_counts(docs, trusted, id_col, text_col, bits or BUCKET_BITS))
-    bits = bits or fitting_bits(counts)
-    ratios = durable(likelihood_ratios(folded(counts, bits) if bits < BUCKET_BITS else counts, bits))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _ratio_table(ratios, bits).alias("table"))
-    rows = rows.select(
-        "id",
-        base_counts(F.col("text")).alias("base"),
-        score_sums(F.col("text"), F.col("table"), bits).alias("score"),
-    ).select("id", "base.*", "score.*")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    trusted = durable(trusted.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct())
+    long = stored(rows.filter(_is_long(F.col("text"), long_text)).withColumn("key", F.monotonically_increasing_id()))
+    words = None
+    if not long.isEmpty():
+        marks = long.select("key", "id").join(trusted.withColumn("marked", F.lit(1)), "id", "left").select("key", "marked")
+        words = durable(_word_rows(long).join(marks, "key"))
+    ratios = durable(likelihood_ratios(durable(gram_counts(rows, trusted, words, bits, long_text))))
+    short = rows.filter(~_is_long(F.col("text"), long_text)).withColumn("table", _ratio_table(ratios, bits))
+    measured = short.select("id", _measures(F.col("text"), F.col("table"), bits).alias("m")).select("id", "m.*")
+    if words is not None:
+        measured = measured.unionByName(_long_measures(long, words, ratios, bits))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     reaches = F.col("ratio_sum") >= F.col("n_grams") * F.lit(round(min_score * UNIT))
-    return rows.select(
+    return measured.select(
         F.col("id").alias(id_col),
         "n_words",
         "word_chars",

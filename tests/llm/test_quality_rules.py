@@ -30,12 +30,13 @@ def test_base_counts(documents, rows):
     texts += ["same line\nsame line\n\n\n \n \nother", "#a*b$c%d&e|f<g>h#", "w " * 5000]
     docs = documents.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    judged = qr.judge(docs, docs.select("doc_id").limit(0))
-    found = {r["doc_id"]: tuple(r[n] for n in names) for r in judged.collect()}
-    assert found == {i: base(t) for i, t in enumerate(texts)}
+    for long_text in (qr.LONG_TEXT, 40, 0):  # words in arrays, some or nearly all as rows
+        judged = qr.judge(docs, docs.select("doc_id").limit(0), long_text=long_text)
+        found = {r["doc_id"]: tuple(r[n] for n in names) for r in judged.collect()}
+        assert found == {i: base(t) for i, t in enumerate(texts)}
 
 
-TOKEN = re.compile(r"[^\W]+|[^\w\s]+")
+TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def bytes_of(number):
@@ -44,11 +45,14 @@ def bytes_of(number):
 
 def grams(text, bits):
     """Spark's xxhash64 has seed 42; of several values, each hash seeds the next."""
-    hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in TOKEN.findall((text or "").lower())]
+    hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in TOKEN.findall(text or "")]
     pairs = [xxhash.xxh64_intdigest(bytes_of(b), xxhash.xxh64_intdigest(bytes_of(a), 42)) for a, b in zip(hashes, hashes[1:])]
     return [h % (1 << bits) for h in hashes + pairs]
 
 
+LIMIT = -0.01  # so few words stay close to the raw corpus
+
+
 def test_ratio_equals_brute_force(spark):
     draw, words = random.Random(4), "the of and a river house 42 go".split()
     rows = [(i, " ".join(draw.choice(words) + ("&&&" if i % 5 == 0 else "") for _ in range(draw.randint(0, 90)))) for i in range(80)]
@@ -61,17 +65,20 @@ def test_ratio_equals_brute_force(spark):
         raw.update(grams(text, bits))
         if i in trusted:
             good.update(grams(text, bits))
-    sizes = sum(raw.values()) + smooth * 2**bits, sum(good.values()) + smooth * 2**bits
-    ratio = {b: round((math.log((good[b] + smooth) / sizes[1]) - math.log((raw[b] + smooth) / sizes[0])) * qr.UNIT) for b in range(2**bits)}
+    share = {b: raw[b] / sum(raw.values()) for b in raw}
+    trust = {b: (good[b] + smooth * share[b]) / (sum(good.values()) + smooth) for b in raw}
+    ratio = {b: round((math.log(trust[b]) - math.log(share[b])) * qr.UNIT) for b in raw}
     marks = spark.createDataFrame([(i,) for i in trusted * 2] + [(None,)], "doc_id long")
-    found = qr.judge(docs, marks, bits=bits).collect()
+    found = qr.judge(docs, marks, bits=bits, min_score=LIMIT).collect()
     assert len(found) == len(rows)
+    rowwise = qr.judge(docs, marks, bits=bits, min_score=LIMIT, long_text=60).collect()
+    assert sorted(map(repr, rowwise)) == sorted(map(repr, found))
     by_id = dict(rows)
     for row in found:
         own = grams(by_id[row["doc_id"]], bits)
         mean = sum(ratio[b] for b in own) / max(len(own), 1) / qr.UNIT
         assert row["n_grams"] == len(own) and row["score"] == pytest.approx(mean, abs=2e-6)
-        assert row["kept"] == (not row["base_failed"] and sum(ratio[b] for b in own) >= qr.MIN_SCORE * qr.UNIT * len(own))
+        assert row["kept"] == (not row["base_failed"] and sum(ratio[b] for b in own) >= round(LIMIT * qr.UNIT) * len(own))
     assert not any(r["kept"] for r in found if r["doc_id"] % 5 == 0)
 
 
@@ -109,3 +116,21 @@ def test_defined_cases(documents, clashing, nothing):
 def test_no_python_in_the_plan(documents):
     plan = qr.judge(documents, documents.select("doc_id"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_score_does_not_depend_on_rows_that_repeat_the_corpus(spark):
+    draw = random.Random(8)
+    rows = [(i, " ".join(f"w{draw.randint(0, 50)}" for _ in range(60))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    often = docs.crossJoin(spark.range(4).withColumnRenamed("id", "copy"))
+    none = spark.createDataFrame([], "doc_id long")
+    assert {r["score"] for r in qr.judge(often, none).collect()} == {0.0}
+
+
+def test_a_long_text_with_one_id_beside_others(spark):
+    text = " ".join(f"w{i % 4000}" for i in range(500_000))  # 2.9 MB
+    rows = [(1, text), (1, "short one"), (None, text), (2, " " * 3_000_000), (3, "x" * 3_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r["doc_id"], r["n_words"], r["n_repeat_words"], r["n_grams"]) for r in qr.judge(docs, docs.select("doc_id").limit(1)).collect()), key=repr)
+    expected = [(1, 500_000, 500_000, 999_999), (1, 2, 0, 3), (None, 500_000, 500_000, 999_999), (2, 0, 0, 0), (3, 1, 0, 1)]
+    assert found == sorted(expected, key=repr)
