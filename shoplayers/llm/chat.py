@@ -7,7 +7,11 @@ becomes a placeholder, which records the attachment it stands for and how many t
 
 * image: one token a patch of 14 x 14 pixels (`units` is width, `more` is height),
 * audio: 25 tokens a second (`units` is milliseconds),
-* document: 800 tokens a page (`units` is pages).
+* document: 800 tokens a page (`units` is pages),
+* any other kind: nothing is known of it, so it is an attachment `other` of 0 tokens.
+
+Kinds are read without regard to case and white space around them; a part without a kind is text. Units that are
+missing or negative count as 0.
 
 A formatted turn is
 
@@ -24,7 +28,9 @@ passes through a task in pieces and is never held whole. (SHA-256 of a conversat
 definition, so one conversation stays in one task.)
 
 Defined results: NULL texts and roles are empty; a NULL part list has no parts. Turns are ordered by turn
-number (NULL first), then role and formatted text; repeated turns stay. NULL is a conversation id of its own.
+number (NULL first), then role and formatted text; repeated turns stay. NULL is a conversation id of its own. Very long
+texts pass whole through the task that formats them, in pieces through reading. An empty table gives an empty result.
+Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -63,6 +69,19 @@ def escape_role(role: str) -> str:
     return role.replace("%", "%25").replace("<", "%3C").replace("\n", "%0A")
 
 
+KINDS = ("text", "image", "audio", "document")
+
+
+def kind_of(part: dict) -> str:
+    kind = (part["kind"] or "text").strip().lower() or "text"
+    return kind if kind in KINDS else "other"
+
+
+def _units(part: dict, side: str) -> int:
+    """At most 2^31, so that what it expands to stays a long."""
+    return min(max(part[side] or 0, 0), 1 << 31)
+
+
 @dataclass
 class PartVisitor:
     """Flattens the parts of one turn; attachments are numbered within the turn."""
@@ -88,21 +107,22 @@ class PartVisitor:
         self._write(text)
 
     def visit_image(self, part: dict, masked_in: bool) -> None:
-        across, down = (math.ceil((part[side] or 0) / PATCH) for side in ("units", "more"))
+        across, down = (math.ceil(_units(part, side) / PATCH) for side in ("units", "more"))
         self._attach("image", part["uri"], across * down)
 
     def visit_audio(self, part: dict, masked_in: bool) -> None:
-        self._attach("audio", part["uri"], math.ceil((part["units"] or 0) * AUDIO_TOKENS_PER_SECOND / 1000))
+        self._attach("audio", part["uri"], math.ceil(_units(part, "units") * AUDIO_TOKENS_PER_SECOND / 1000))
 
     def visit_document(self, part: dict, masked_in: bool) -> None:
-        self._attach("document", part["uri"], (part["units"] or 0) * TOKENS_PER_PAGE)
+        self._attach("document", part["uri"], _units(part, "units") * TOKENS_PER_PAGE)
+
+    def visit_other(self, part: dict, masked_in: bool) -> None:
+        self._attach("other", part["uri"], 0)
 
     def turn(self, role: str, parts: list[dict]) -> None:
         self._write(f"{START}{escape_role(role)}\n")
-        for kind, run in groupby(parts, lambda part: part["kind"]):
-            visit = getattr(self, f"visit_{kind}", None)
-            if visit is None:
-                raise ValueError(f"unknown kind of content part: {kind}")
+        for kind, run in groupby(parts, kind_of):
+            visit = getattr(self, f"visit_{kind}")
             if kind == "text":  # adjacent texts are read as one, so they are escaped as one
                 run = [{"kind": kind, "text": "".join(part["text"] or "" for part in run)}]
             for part in run:

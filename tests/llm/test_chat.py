@@ -94,6 +94,21 @@ def test_typed_parts(spark):
     assert rows[1]["formatted"] == "<|im_start|>user\n<|im_end|>\n" and not rows[1]["loss"]
 
 
+def test_odd_kinds_and_units(spark):
+    parts = [
+        (None, "a<", "u", None, None), (" Text", "|b", None, None, None), ("", "c", None, 5, 5), ("VIDEO", "lost", "clip", 9, 9),
+        ("turn", None, None, None, None), ("Image ", None, None, -14, 14), ("audio", None, None, -1, None), ("document", None, None, None, None),
+        ("image", None, None, 2**62, 2**62), ("document", None, None, 2**63 - 1, None),
+    ]
+    turns = spark.createDataFrame([(1, 0, "assistant", parts)], f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    row = chat.format_turns(turns).first()
+    kinds = [(a["kind"], a["uri"]) for a in row["attachments"]]
+    assert kinds == [("other", "clip"), ("other", None), ("image", None), ("audio", None), ("document", None), ("image", None), ("document", None)]
+    assert [a["tokens"] for a in row["attachments"]][:5] == [0] * 5 and all(a["tokens"] > 0 for a in row["attachments"][5:])
+    assert row["formatted"].startswith("<|im_start|>assistant\na<\\|bc<|other:0:0|><|other:1:0|><|image:2:0|>")
+    assert "".join(chat.unescape(row["formatted"][s["start"] : s["end"]]) for s in row["loss"]) == "a<|bc"
+
+
 def test_empty(spark):
     turns = spark.createDataFrame([], SCHEMA).withColumn("parts", chat.text_part(F.col("text")))
     assert chat.read_back(chat.format_turns(turns)).count() == 0

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -67,3 +68,43 @@ def test_locate(position, node):
     tree = tc.SegmentTree("aaaaa bbbb cccc", len, 1)
     assert tree.segments == ["aaaaa", " bbbb", " cccc"]
     assert tree.locate(position) == (node, 5 * node)
+
+
+@pytest.mark.parametrize("sign", [" ", "\t", "\n", "\u3000"])
+def test_white_space_of_any_length(sign):
+    for before, size, after in (("word", 2_000_000, "end"), ("", 2_000_000, ""), ("x ", 1500, " y"), ("", 999, "z"), ("a", 1000, "")):
+        text = before + sign * size + after
+        if size < 5000:
+            plain = tiktoken.Encoding("plain", pat_str=tc.PATTERN, mergeable_ranks=tc.ranks_of(tc.read_vocabulary()), special_tokens={})
+            assert COUNT(text) == len(plain.encode_ordinary(text))
+        else:
+            tree = tc.SegmentTree(text, COUNT)
+            assert tree.tokens == COUNT(text) and 0 < COUNT(text) <= len(text.encode())
+
+
+def test_two_rounds_of_edits_encode_only_what_they_touch(spark, documents, rows):
+    draw = random.Random(3)
+
+    def drawn():
+        edits = [(draw.randint(0, 300), draw.randint(0, 60), draw.choice(PIECES)) for _ in range(3)]
+        return edits, F.array(*[F.struct(F.lit(p).alias("position"), F.lit(d).alias("deleted"), F.lit(i).alias("inserted")) for p, d, i in edits])
+
+    (first, first_column), (second, second_column) = drawn(), drawn()
+    vocabulary = tc.read_vocabulary()
+    kept = tc.count_edited(documents, first_column, vocabulary, keep=True).withColumnRenamed("text_after", "text")
+    again = tc.count_edited(kept, second_column, vocabulary, leaves=F.col("leaves"), keep=True).collect()
+    expected = []
+    for r in rows:
+        text = applied(applied(r[1] or "", first), second)
+        expected.append((r[0], text, COUNT(text)))
+    assert sorted(((r["doc_id"], r["text_after"], r["tokens_after"]) for r in again), key=repr) == sorted(expected, key=repr)
+    assert all(r["encoded_chars"] == r["reencoded_chars"] for r in again)
+    long = next(r for r in again if r["doc_id"] == 502)
+    assert long["chars_after"] > 100_000 and long["encoded_chars"] < 20 * tc.SEGMENT_CHARS
+    assert all(sum(leaf["tokens"] for leaf in r["leaves"]) == r["tokens_after"] for r in again)
+
+
+def test_leaves_of_another_text_are_made_anew(spark):
+    docs = spark.createDataFrame([(1, "some words", [(3, 9)]), (2, "more words", [(10, 2)]), (3, "x", None)], f"doc_id long, text string, leaves {tc.LEAVES}")
+    found = {r["doc_id"]: r for r in tc.count_edited(docs, F.lit(None), tc.read_vocabulary(), leaves=F.col("leaves")).collect()}
+    assert [(found[i]["tokens_after"], found[i]["encoded_chars"]) for i in (1, 2, 3)] == [(2, 10), (2, 0), (1, 1)]

@@ -73,6 +73,14 @@ PAGES = [
     (13, "http://alias.net/a", None),  # the same address again
     (14, "http://amp.net/", head('<link rel="canonical" href="http://bad.com/de/1?a=1&amp;b=2">')),
     (15, "http://crawl.net/", ""),
+    (16, "https://x.bad.com/it/2", head("<link rel=canonical href='../de/1'>")),  # x.bad.com/de/1
+    (17, "https://port.net:443/a/b", head("<link rel=canonical href='./../c/.'>")),
+    (18, "http://port.net/a/x", head("<link rel=canonical href='https://port.net/c/'>", "<base href='http://port.net:80/'>")),
+    (19, "http://based.net/q/", head("<base href='http://bad.com/de/sub/'>", "<link rel=canonical href='../1'>")),
+    (20, "http://quiet.net/", head("<!-- <link rel='canonical' href='http://bad.com/de/1'> -->")),
+    (21, "http://quiet.net/2", head("<!-- never closed <link rel='canonical' href='http://bad.com/de/1'>")),
+    (22, "https://port.net/c/", head("<meta http-equiv=refresh content='1;url=http://bad.com/../de/./1'>")),
+    (23, "https://port.net:444/c/", head()),
 ]
 
 
@@ -80,11 +88,29 @@ def test_decisions_follow_links(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     redirects = spark.createDataFrame([("http://crawl.net/", "http://bad.com/de/1"), (None, "http://x.net/")], "from_url string, to_url string")
     found = {r["page_id"]: r["verdict"] for r in uf.judge(pages, redirects=redirects).collect()}
-    blocked = {0, 1, 2, 3, 4, 8, 10, 13, 14, 15}
+    blocked = {0, 1, 2, 3, 4, 8, 10, 13, 14, 15, 16, 17, 18, 19, 22}
     assert {i for i, v in found.items() if v == "block"} == blocked
     assert len(found) == len(PAGES)
 
 
+def test_dot_segments(spark):
+    cases = {
+        "http://a.b/x/../y": "a.b/y", "http://a.b/../../y/": "a.b/y/", "http://a.b/x/.": "a.b/x/", "http://a.b/x/..": "a.b/",
+        "http://a.b": "a.b/", "http://a.b?q=../1#f": "a.b/?q=../1", "HTTP://A.b:80/.well": "a.b/.well", "https://a.b:80/": "a.b:80/",
+        "ftp://a.b:443/..": "a.b:443/", "nothing": None, "http:///x": None,
+    }
+    rows = spark.createDataFrame([(u,) for u in cases], "url string").select("url", uf.address_of(F.col("url")).alias("node"))
+    assert {r["url"]: r["node"] for r in rows.collect()} == cases
+
+
+def test_many_rules_as_a_table(spark):
+    rules = [("block", f"h{i % 50}.com/p{i}/") for i in range(3000)] + [("allow", "h3.com/p3/ok"), ("block", "com")]
+    urls = [f"http://s.h{i % 60}.com/p{i}/{'ok' if i % 2 else ''}" for i in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls * 2)), "page_id long, url string").withColumn("html", F.lit(""))
+    found = {r["page_id"]: (r["verdict"], r["rule"]) for r in uf.judge(pages, uf.rules_table(spark, rules)).collect()}
+    assert found == {i: rule_of(u, rules) for i, u in enumerate(urls * 2)}
+
+
 def test_hub_with_many_aliases(spark):
     rows = [(i, f"http://s{i}.net/p", head('<link rel="canonical" href="http://hub.net/">')) for i in range(400)]
     rows += [(1000, "http://hub.net/", head('<link rel="canonical" href="http://bad.com/de/1">'))]
