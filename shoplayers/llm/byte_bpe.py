@@ -44,9 +44,9 @@ from shoplayers.llm.common import type_of
 
 BLOCK = 1 << 20
 GROUP_CHARS = 1 << 18
-SLICES = 1 << 18
+SLICES = 1 << 17
 BETWEEN = 0xD800  # no text holds a lone surrogate: it stands between texts
-CACHE = 1 << 18
+CACHE = 1 << 17
 ROW_WIDTHS = (8, 16, 32)  # bytes; longer slices are merged one by one
 # --- Fixed values: lower-case letters that follow an apostrophe in a contraction -------------------
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -537,7 +537,7 @@ def decoded(ids: Column, vocabulary: bytes, spark: SparkSession) -> Column:
             edges = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             numbers = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             at = 0
-            for group in _runs(edges, BLOCK):  # so that a batch of long lists needs no more memory than its longest
+            for group in _runs(edges, SLICES):  # so that a batch of long lists needs no more memory than its longest
                 size = int(group.sum())
                 data, ends = decoder.decode(numbers[at : at + size])
                 at += size

@@ -27,3 +27,9 @@ def ascii_lower(text: Column) -> Column:
 
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+def row_digest(df: DataFrame) -> Column:
+    """32 bytes that tell rows with different contents apart, whatever their columns."""
+    whole = F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return F.unhex(F.sha2(whole, 256))

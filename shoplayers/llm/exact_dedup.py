@@ -15,7 +15,8 @@ itself instead (`content_key`).
 
 Defined results: a NULL text equals an empty one. Of equal texts the largest id stays; NULL is smaller
 than any id. Rows with equal text and equal id are one document delivered again: each is reported,
-one is kept. An empty table gives an empty result.
+one is kept. Very long texts are compared whole. An empty table gives an empty result. Extra columns are not read
+(`deduplicate` keeps them), whatever their names.
 """
 
 from __future__ import annotations

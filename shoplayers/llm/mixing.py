@@ -20,7 +20,8 @@ per source, the bin on the edge is counted again in `BINS` bins, and only the do
 
 Defined results: a NULL text has size 0; documents of size 0 are never taken and take nothing. NULL
 sources are a source of their own, last in order. Repeated rows are documents of their own that share u.
-An empty table gives an empty result.
+Very long texts are counted whole. An empty table gives an empty result. Extra columns are not read (`mixed_rows` keeps
+them), whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shoplayers.functions.ordered import with_running_totals
 from shoplayers.functions.skew import join_counted_lookup
-from shoplayers.llm.common import word_count
+from shoplayers.llm.common import row_digest, word_count
 from shoplayers.session import durable
 
 WEIGHTS = (3, 1, 2)
@@ -198,7 +199,8 @@ def mix(
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mix itself: every row as often as it is taken, with all its columns.
 
-    Rows are matched by id and size, and numbered among the rows that share both.
+    Rows are matched by id and size, and numbered among the rows that share both by a digest of their columns, so
+    the same rows get the same copies every time.
     """
 
     def named(id_: Column) -> Column:
@@ -207,9 +209,9 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     shares = mix(docs, id_col, **options).groupBy(named(F.col(id_col)), "size")
     shares = shares.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0")
     size = word_count(F.col(options.get("text_col", "text"))).alias("size")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), named(F.col(id_col)), size)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), named(F.col(id_col)), size, row_digest(docs).alias("digest"))
     joined = rows.join(shares, ["name", "size"])
-    nth = F.row_number().over(W.partitionBy("name", "size").orderBy(F.lit(0)))
+    nth = F.row_number().over(W.partitionBy("name", "size").orderBy("digest"))
     own = F.floor(F.col("copies") / F.col("rows")) + (F.col("nth") <= F.col("copies") % F.col("rows")).cast("long")
     own = joined.withColumn("nth", nth).select("row", own.cast("int").alias("own")).filter("own > 0")
     return own.select("row", F.explode(F.sequence(F.lit(1), F.col("own")))).select("row.*")

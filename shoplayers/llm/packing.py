@@ -6,16 +6,21 @@ of pieces a group fills its sequences as well as the whole table would, and no t
 
 Inside a group pieces go in from the longest to the shortest. A piece goes into the open bin it fills
 best, whatever that bin's length. If none has room, a bin opens with the length that costs least per
-token it can still receive,
+unit it can still receive,
 
     cost(length) = overhead + length * (1 + length / attention_length),
 
 a fixed part per sequence, a linear part and attention's quadratic part. At the end every bin shrinks to
 the shortest permitted length that holds its contents.
 
-Defined results: the length of a document is its number of words plus one for the end mark, so a NULL or
-empty text has length 1. Repeated rows are packed as often as they come. Ties are broken by id and piece.
-An empty table gives an empty result.
+The unit of lengths is whatever `length` counts: words and an end mark unless it says otherwise. A model's
+context is counted in tokens, which are more than words: pass a column of token counts (`token_counts` or `byte_bpe`
+make them) to fill contexts of that many tokens.
+
+Defined results: without `length`, a document has its number of words plus one for the end mark, so a NULL or
+empty text has length 1. Repeated rows are packed as often as they come. Ties are broken by id and piece. Very long
+texts are counted whole and cut into pieces. An empty table gives an empty result. Extra columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -79,7 +84,7 @@ def pack(pieces: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[
     return bins, offsets, [lengths[bisect_left(lengths, n)] for n in used]
 
 
-def token_length(text: Column) -> Column:
+def word_length(text: Column) -> Column:
     """Words and an end mark."""
     return word_count(text) + 1
 
@@ -95,7 +100,7 @@ def pack_documents(
     """One row per piece: id, copy (number under repeated rows), piece, start and length in the document,
     bin_id, bin_offset and bin_length."""
     longest = max(lengths)
-    length = token_length(F.col("text")) if length is None else length
+    length = word_length(F.col("text")) if length is None else length
     # Repeated rows travel as one row with a count and are numbered when they are unfolded.
     measured = docs.select(F.col(id_col).alias("id"), length.cast("long").alias("total"))
     counted = durable(measured.groupBy("id", "total").agg(F.count(F.lit(1)).cast("int").alias("rows")))

@@ -1,24 +1,29 @@
 """Quality classifier with supervised subword embeddings.
 
-A document is the mean of learned vectors of its features: every word and every run of 3 to 5 characters
-of a word with its edges marked (the white space around it), hashed into 2^BUCKET_BITS buckets. A word
-equal to the one before adds a shared feature as well. A softmax layer turns the mean into class probabilities. Vectors and layer are trained together
+A document is the mean of learned vectors of its features: every word, every run of two and of three words, and every
+run of 3 to 5 characters of a word with its edges marked (the white space around it), hashed into 2^BUCKET_BITS
+buckets. Words are also read without their spelling, as how many words ago the same word stood (in powers of two, below
+REACH words; otherwise new): such signs and pairs of them are hashed as words and their pairs are, so that an order of
+words can be learned from other words than those it is met with. A softmax layer turns the mean into class probabilities. Vectors and layer are trained together
 by stochastic gradient descent in numpy, one document a step, with a falling learning rate.
 
 Fitting uses at most `max_rows` labelled documents, drawn by a hash of their id: a documented bound on
 the labelled sample. Their features are counted on the executors; one task then trains, on at most
-max_rows x 2^BUCKET_BITS counts. The model is one number a bucket, a quarter of a megabyte, and is what
+max_rows x 2^BUCKET_BITS counts. The model is one number a bucket, two megabytes, and is what
 gets broadcast. Scoring reads every whole text. Because the softmax of a mean is linear before the softmax, a
 trained feature is one number when scoring: the difference it makes to the two classes.
 
 Defined results: a NULL or empty text has no features; its score is what the layer's bias says. Without
 labelled rows, or with one class only, every score is the smoothed share of label 1. Labels other than 0
-and 1 and rows without label are ignored; a document with several labels counts with each.
+and 1 and rows without label are ignored; a document with several labels counts with each. Repeated rows score alike.
+Very long texts are read whole, in pieces of about PIECE_CHARS characters that end between words, so memory is that of
+a piece. An empty table gives an empty result. Extra columns are not read (`accepted` keeps them), whatever their names.
 """
 
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,15 +34,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplayers.session import durable
 
-BUCKET_BITS = 15
+BUCKET_BITS = 18
 DIMENSIONS = 8
 SIZES = (3, 4, 5)
+LONGEST_RUN = 3  # words
+REACH = 64  # words
+PIECE_CHARS = 1 << 18
 EPOCHS = 8
-LEARNING_RATE = 30.0
+LEARNING_RATE = 20.0
 MAX_ROWS = 4000
 THRESHOLD = 0.3
 FOLDS = 5
 SEED = 42
+_SPACE = re.compile("[ \t-\r]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 / golden ratio, odd: multiplying by it spreads the bits
 _BASE = np.uint64(0x100000001B3)
 _INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
@@ -52,35 +61,70 @@ def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def features(text: str | None, bits: int = BUCKET_BITS) -> np.ndarray:
-    """Buckets of all words and character runs of a text."""
-    if not text:
-        return np.empty(0, np.int64)
-    chars = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    space = (chars == 32) | ((chars >= 9) & (chars <= 13))
-    chars[space] = 32
-    found = []
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1  # word begins and ends in turn
-    starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return np.empty(0, np.int64)
-    # A word's hash is a difference of running sums of char * base^position, moved to position 0.
-    sums = np.r_[np.uint64(0), np.cumsum(chars * _powers(_BASE, len(chars)), dtype=np.uint64)]
-    words = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(chars))[starts] + np.uint64(1)
-    found.append(words)
-    found.append(np.zeros(int((words[1:] == words[:-1]).sum()), np.uint64))  # one for every word said again at once
-    for size in SIZES:
-        last = len(chars) - size + 1
-        if last <= 0:
+def _pieces(text: str, size: int) -> Iterator[str]:
+    """`text` in pieces of about `size` characters that end before white space."""
+    begin = 0
+    while len(text) - begin > size and (found := _SPACE.search(text, begin + size)):
+        yield text[begin : found.start()]
+        begin = found.start()
+    yield text[begin:]
+
+
+def _recurrences(words: np.ndarray) -> np.ndarray:
+    """Per word 1 + log2 of the distance to the same word before it, 0 where there is none within REACH."""
+    order = np.argsort(words, kind="stable")
+    same = words[order[1:]] == words[order[:-1]]
+    gap = np.zeros(len(words), np.int64)
+    gap[order[1:][same]] = (order[1:] - order[:-1])[same]
+    gap[gap >= REACH] = 0
+    return np.frexp(gap.astype(float))[1].astype(np.uint64)  # the number of binary digits
+
+
+def feature_pieces(text: str | None, bits: int = BUCKET_BITS, size: int = PIECE_CHARS) -> Iterator[np.ndarray]:
+    """Buckets of all words, runs of words and character runs of a text, piece by piece."""
+    before = np.empty(0, np.uint64)  # the last words of the pieces so far
+    for piece in _pieces(text or "", size):
+        chars = np.frombuffer(f" {piece} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        space = (chars == 32) | ((chars >= 9) & (chars <= 13))
+        chars[space] = 32
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1  # word begins and ends in turn
+        starts, ends = edge[::2], edge[1::2]
+        if not len(starts):
             continue
-        hashes = np.full(last, size, np.uint64)
-        inner = np.zeros(last, bool)
-        for k in range(size):
-            hashes = hashes * _BASE + chars[k : last + k]
-            if 0 < k < size - 1:
-                inner |= space[k : last + k]
-        found.append(hashes[~inner])
-    return _bucket(np.concatenate(found), bits)
+        # A word's hash is a difference of running sums of char * base^position, moved to position 0.
+        sums = np.r_[np.uint64(0), np.cumsum(chars * _powers(_BASE, len(chars)), dtype=np.uint64)]
+        words = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(chars))[starts] + np.uint64(1)
+        found = [words]
+        known, words = len(before), np.r_[before, words]
+        run = words
+        for longer in range(1, LONGEST_RUN):
+            run = (run[:-1] ^ (run[:-1] >> np.uint64(29))) * _MIX + words[longer:]
+            found.append(run[max(known - longer, 0) :])  # runs that end in this piece
+        again = _recurrences(words)
+        found.append(again[known:])
+        found.append((again[:-1] * np.uint64(REACH) + again[1:] + np.uint64(REACH))[max(known - 1, 0) :])
+        before = words[-2 * REACH :]
+        for count in SIZES:
+            last = len(chars) - count + 1
+            if last <= 0:
+                continue
+            hashes = np.full(last, count, np.uint64)
+            inner = np.zeros(last, bool)
+            for k in range(count):
+                hashes = hashes * _BASE + chars[k : last + k]
+                if 0 < k < count - 1:
+                    inner |= space[k : last + k]
+            found.append(hashes[~inner])
+        yield _bucket(np.concatenate(found), bits)
+
+
+def features(text: str | None, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that occur in a text, and how often."""
+    buckets, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for piece in feature_pieces(text, bits):
+        buckets, place = np.unique(np.r_[buckets, piece], return_inverse=True)
+        counts = np.bincount(place, np.r_[counts, np.ones(len(piece), np.int64)], len(buckets)).astype(np.int64)
+    return buckets, counts
 
 
 @dataclass(frozen=True)
@@ -91,8 +135,11 @@ class Model:
     bias: float
 
     def score(self, text: str | None) -> float:
-        found = features(text, int(np.log2(len(self.effect))))
-        mean = float(self.effect[found].mean()) if len(found) else 0.0
+        total, count = 0.0, 0
+        for piece in feature_pieces(text, len(self.effect).bit_length() - 1):
+            total += float(self.effect[piece].sum())
+            count += len(piece)
+        mean = total / max(count, 1)
         return 1.0 / (1.0 + float(np.exp(-np.clip(mean + self.bias, -700, 700))))
 
     def to_bytes(self) -> bytes:
@@ -130,7 +177,7 @@ def train(
             pace = rate * (1 - done / steps)
             done += 1
             buckets, counts = bags[i]
-            shares = counts / max(counts.sum(), 1)
+            shares = counts / max(counts.sum(dtype=float), 1)
             hidden = shares @ vectors[buckets]
             logits = layer @ hidden + offset
             odds = np.exp(logits - logits.max())
@@ -171,7 +218,7 @@ def fit(
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counted = [np.unique(features(text.as_py(), bits), return_counts=True) for text in batch.column(3)]
+            counted = [features(text.as_py(), bits) for text in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -184,7 +231,7 @@ def fit(
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(size=group["buckets"].map(len)).sort_values(["draw", "label", "size"], kind="stable")
-        pairs = [(np.asarray(b, np.int64), np.asarray(c, float)) for b, c in zip(group["buckets"], group["counts"])]
+        pairs = list(zip(group["buckets"], group["counts"]))
         return pd.DataFrame({"model": [train(pairs, group["label"].to_numpy(), bits).to_bytes()]})
 
     counted = sample.mapInArrow(bags, "draw long, label int, buckets array<int>, counts array<float>")

@@ -91,7 +91,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents packed into sequences of 512 to 4,096 tokens."""
+    """All documents packed into sequences of 512 to 4,096 words, end marks included."""
     return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
 
 

@@ -19,7 +19,9 @@ Inside a task links are reduced to one star a component.
 
 Defined results: a text without words (NULL, empty) has fingerprint zero and is linked like any other;
 a text with fewer words than a shingle is one shingle. Component ids are the smallest id of the
-component, NULL only if all its ids are NULL. Repeated rows come out as often as they came in.
+component, NULL only if all its ids are NULL. Repeated rows come out as often as they came in. Very long texts are hashed
+whole, with about 20 bytes of memory a word beside the text. An empty table gives an empty result. Extra columns are not
+read (`deduplicate` keeps them), whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers.functions.skew import join_counted_lookup
-from shoplayers.llm.common import type_of
+from shoplayers.llm.common import row_digest, type_of
 from shoplayers.llm.components import connected_components
 from shoplayers.session import durable
 
@@ -233,12 +235,19 @@ def as_hex(fingerprint: Column) -> Column:
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4
 ) -> DataFrame:
-    """The rows that stay, with all their columns: the smallest id of every component, once.
+    """The rows that stay, with all their columns: of every component the row with the smallest id, once.
 
-    A row without id can't be named as a member and stays.
+    Rows may share an id: a row is known by a digest of all its columns, so each component keeps a row of its own, the
+    one with the smallest digest among those of its smallest id. Rows without id come after all others. Digests,
+    ids and fingerprints decide; then each text is moved once, to the digests that stay.
     """
-    found = near_components(docs, id_col, text_col, width, radius)
-    keepers = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("keep")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"))
-    kept = rows.filter("id IS NOT NULL").join(keepers, F.col("id") == F.col("keep")).dropDuplicates(["id"])
-    return kept.select("row.*").unionByName(rows.filter("id IS NULL").select("row.*"))
+    marked = docs.withColumn("_digest", row_digest(docs))
+    rows = marked.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "_digest").alias("own"), text_col)
+    prints = durable(fingerprints(rows, "own", text_col, width))
+    distinct = durable(prints.groupBy("fingerprint").agg(F.min("id").alias("first")))
+    links = durable(near_links(distinct.select("fingerprint"), radius).distinct())
+    roots = connected_components(links, "a", "b").withColumnRenamed("node", "fingerprint")
+    rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    keepers = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first._digest").alias("_digest"))
+    # Equal rows are merged where they are read before any is moved.
+    return marked.dropDuplicates(["_digest"]).join(keepers, "_digest", "left_semi").select(*docs.columns)

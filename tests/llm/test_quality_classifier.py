@@ -1,5 +1,8 @@
+import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -73,29 +76,55 @@ def test_bound_on_rows_holds(data):
     assert qc.fit(docs, labels, max_rows=50).effect.any()
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_features(text, bits):
+    found, mix, base = [], int(qc._MIX), int(qc._BASE)
+    words = [w for w in re.split("[ \t-\r]+", text) if w]
+    single = [(sum(ord(c) * pow(base, i, 1 << 64) for i, c in enumerate(w)) + 1) & MASK for w in words]
+    pair = [((a ^ (a >> 29)) * mix + b) & MASK for a, b in zip(single, single[1:])]
+    triple = [((ab ^ (ab >> 29)) * mix + c) & MASK for ab, c in zip(pair, single[2:])]
+    again = []
+    for i, word in enumerate(words):
+        gaps = [g for g in range(1, qc.REACH) if g <= i and words[i - g] == word]
+        again.append(min(gaps).bit_length() if gaps else 0)
+    found = single + pair + triple + again + [a * qc.REACH + b + qc.REACH for a, b in zip(again, again[1:])]
+    padded = " " + re.sub("[ \t-\r]", " ", text) + " "
+    for size in qc.SIZES:
+        for i in range(len(padded) - size + 1):
+            run = padded[i : i + size]
+            if " " not in run[1:-1]:
+                h = size
+                for c in run:
+                    h = (h * base + ord(c)) & MASK
+                found.append(h)
+    return Counter((((h ^ (h >> 31)) * mix) & MASK) >> (64 - bits) for h in found)
+
+
 def test_features_by_hand():
-    def plain(text, bits):
-        found, words = [], text.replace("\n", " ").split(" ")
-        words = [w for w in words if w]
-        mask = (1 << 64) - 1
-        for w in words:
-            h = sum(ord(c) * pow(int(qc._BASE), i, 1 << 64) for i, c in enumerate(w)) & mask
-            found.append((h + 1) & mask)
-        found += [0 for a, b in zip(words, words[1:]) if a == b]
-        padded = " " + text.replace("\n", " ") + " "
-        for size in qc.SIZES:
-            for i in range(len(padded) - size + 1):
-                run = padded[i : i + size]
-                if " " not in run[1:-1]:
-                    h = size
-                    for c in run:
-                        h = (h * int(qc._BASE) + ord(c)) & mask
-                    found.append(h)
-        return sorted((((h ^ (h >> 31)) * int(qc._MIX)) & mask) >> (64 - bits) for h in found)
-
-    for text in ("a", "ab cd", "x  yy\nzzz zzz élan", "one two three four"):
-        assert sorted(qc.features(text, 12).tolist()) == plain(text, 12)
-    assert len(qc.features("")) == len(qc.features(None)) == len(qc.features("  ")) == 0
+    draw = random.Random(2)
+    texts = ["a", "ab cd", "x  yy\nzzz zzz élan", "one two three four", " ".join(draw.choice(CLEAN) for _ in range(400))]
+    for text in texts:
+        for size in (qc.PIECE_CHARS, 300, 7):
+            found = np.concatenate(list(qc.feature_pieces(text, 12, size)))
+            assert Counter(found.tolist()) == plain_features(text, 12)
+        buckets, counts = qc.features(text, 12)
+        assert dict(zip(buckets.tolist(), counts.tolist())) == plain_features(text, 12)
+    assert len(qc.features("")[0]) == len(qc.features(None)[0]) == len(qc.features("  ")[0]) == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
+def test_orders_of_words_are_learned(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    model = qc.fit(docs, labels)
+    phrases = ["a b c " * 60, "house river " * 60, "die der das " * 60]  # orders and words it was not shown
+    assert max(model.score(text) for text in phrases) < qc.THRESHOLD
+
+
+def test_a_text_of_many_megabytes():
+    model = qc.Model(np.ones(1 << 10), 0.0)
+    assert model.score("many words " * 1_000_000) == pytest.approx(1 / (1 + np.exp(-1)))
 
 
 def test_score_is_the_softmax_of_the_mean_vector():
