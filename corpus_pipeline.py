@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoplayers.llm import exact_dedup, mixing, packing, quality_classifier, simhash
 from shoplayers.llm.common import table
-from shoplayers.session import ensure_checkpoint_dir
+from shoplayers.session import discard, ensure_checkpoint_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in sequences of 512 to 4,096 tokens."""
+    """The mix in sequences of 512 to 4,096 words, end marks included."""
     return packing.pack_documents(docs)
 
 
@@ -53,10 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`. Results of stages are kept in the shared folder."""
+    """All stages over `documents`. A stage's result stays in the shared folder until the next one is written."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        discard(spark, f"{folder}/{number - 1}")
     return docs
