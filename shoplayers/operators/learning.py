@@ -6,16 +6,22 @@ moments, coefficients and cluster centres; for text a fixed number of hashed buc
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from typing import TypeVar
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import order_rank
@@ -74,6 +80,59 @@ def with_class_weights(df: DataFrame, label: str = "label") -> tuple[DataFrame,
     return df.withColumn("weight", weight), sum(row["cnt"] for row in classes)
 
 
+# --- fitting -----------------------------------------------------------------------------------
+
+T = TypeVar("T")
+# How exactly a solver is asked to work, one after the other, until the gradient is small enough.
+TOLERANCES = (1e-3, 1e-5, 1e-7, 1e-9)
+GRADIENT = 1e-4
+
+
+def concurrently(jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of independent fits that share the cluster instead of waiting for each other."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return [found.result() for found in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
+def largest_gradient(model: LogisticRegressionModel, data: DataFrame, penalty: float) -> float:
+    """The largest entry of the gradient of the penalised, weighted mean loss at the fitted coefficients.
+
+    `data` has features, label and weight. Per class the weighted features are summed once by probability and once
+    by label, in one pass; a few vectors as wide as the model come back. Near 0, the model is the optimum.
+    """
+    coefficients = model.coefficientMatrix.toArray()
+    classes = [1] if len(coefficients) == 1 else list(range(len(coefficients)))
+    scored = model.transform(data).withColumn("_p", vector_to_array("probability"))
+    sums = [F.sum("weight").alias("weight")]
+    for c in classes:
+        belongs = (F.col("label") == c).cast("double")
+        for name, share in (("expected", F.get("_p", F.lit(c))), ("found", belongs)):
+            value = F.col("weight") * share + F.lit(1e-300)  # a class without rows has a sum as well
+            sums += [Summarizer.metrics("sum").summary(F.col("features"), value).alias(f"{name}{c}"), F.sum(value).alias(f"{name}_offset{c}")]
+    row = scored.agg(*sums).first()
+    largest = 0.0
+    for at, c in enumerate(classes):
+        total = row[f"expected{c}"]["sum"].toArray() - row[f"found{c}"]["sum"].toArray()
+        entries = np.abs(total / row["weight"] + penalty * coefficients[at])
+        offset = abs(row[f"expected_offset{c}"] - row[f"found_offset{c}"]) / row["weight"]
+        largest = max(largest, float(entries.max(initial=0.0)), offset)
+    return largest
+
+
+def fit_until_flat(estimator: LogisticRegression, data: DataFrame, gradient: float = GRADIENT) -> LogisticRegressionModel:
+    """Fit, more exactly each time, until the gradient says that the optimum is reached.
+
+    A solver's own tolerance is about the loss and says little about a wide model: too strict a one costs hundreds of
+    rounds, too loose a one stops short.
+    """
+    penalty = estimator.getRegParam()
+    for tolerance in TOLERANCES:
+        model = estimator.copy({estimator.tol: tolerance}).fit(data)
+        if largest_gradient(model, data, penalty) <= gradient:
+            break
+    return model
+
+
 # --- purchase models ---------------------------------------------------------------------------
 
 
@@ -85,6 +144,13 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
     ).fit(weighted)
 
 
+def logistic_certificate(model: LogisticRegressionModel, train: DataFrame, c: float = 1.0) -> DataFrame:
+    """Rows and features that `fit_logistic` saw, and whether its coefficients are the optimum."""
+    weighted, rows = with_class_weights(train)
+    flat = largest_gradient(model, weighted, 1.0 / (c * rows)) <= GRADIENT
+    return train.sparkSession.createDataFrame([(rows, model.numFeatures, int(flat))], "rows_cnt long, features int, at_optimum int")
+
+
 def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 5000, tol: float = 1e-6) -> LinearSVCModel:
     """Linear support vector machine with balanced classes; its raw score ranks, it gives no probability."""
     weighted, rows = with_class_weights(train)
@@ -93,6 +159,62 @@ def fit_linear_svm(train: DataFrame, c: float = 1.0, max_iter: int = 5000, tol:
     ).fit(weighted)
 
 
+@dataclass(frozen=True)
+class CalibratedMargin:
+    """A margin model with a sigmoid that turns margins into probabilities."""
+
+    model: LinearSVCModel
+    slope: float
+    offset: float
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Predictions with the margin as ranking score and the probability of class 1."""
+        logit = F.lit(self.slope) * F.col("ranking_score") + F.lit(self.offset)
+        return predict(self.model, df).withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)))
+
+
+def calibration_rows(margins: DataFrame) -> DataFrame:
+    """(features, label, weight): every margin once per class, weighed by smoothed targets.
+
+    A class of n rows gets the target (n + 1) / (n + 2) instead of 1, so that separable margins don't make a step.
+    """
+    sizes = margins.agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros")).first()
+    high, low = (sizes["ones"] + 1) / (sizes["ones"] + 2), 1 / (sizes["zeros"] + 2)
+    target = F.when(F.col("label") == 1, F.lit(high)).otherwise(F.lit(low))
+    both = F.inline(F.array(F.struct(F.lit(1).alias("label"), target.alias("weight")), F.struct(F.lit(0), F.lit(1.0) - target)))
+    return VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins.select("margin", both)).drop("margin")
+
+
+def fit_calibrated_svm(train: DataFrame, folds: int = 5, key: str = "id", c: float = 1.0) -> CalibratedMargin:
+    """A margin model, and a sigmoid fitted to the margins of rows by models that did not see them."""
+    numbered = durable(fold_ids(train, key=key, folds=folds))
+
+    def margins(fold: int) -> DataFrame:
+        model = fit_linear_svm(numbered.filter(F.col("fold") != fold), c)
+        held = model.transform(numbered.filter(F.col("fold") == fold))
+        return held.select("label", positive_margin(held).alias("margin"))
+
+    parts = concurrently([lambda: fit_linear_svm(train, c), *[lambda fold=fold: margins(fold) for fold in range(folds)]])
+    rows = durable(calibration_rows(durable(reduce(DataFrame.unionByName, parts[1:]))))
+    sigmoid = LogisticRegression(weightCol="weight", regParam=0.0, tol=1e-9).fit(rows)
+    return CalibratedMargin(parts[0], float(sigmoid.coefficients[0]), float(sigmoid.intercept))
+
+
+def calibration_certificate(predicted: DataFrame) -> DataFrame:
+    """Rows, and how many have no probability between 0 and 1 or one that contradicts the order of their margins.
+
+    Two rows contradict each other only if neighbours in the order of margins do; order statistics of 1,000 equal parts
+    of the margins stand for the rows between them.
+    """
+    parts = predicted.groupBy(F.round("ranking_score", 3).alias("at")).agg(
+        F.min("probability").alias("low"), F.max("probability").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.coalesce(F.col("probability").between(0, 1), F.lit(False))).alias("outside"),
+    )
+    before = F.max("high").over(W.orderBy("at").rowsBetween(W.unboundedPreceding, -1))
+    tested = parts.withColumn("falls", (F.col("low") < before).cast("int"))
+    return tested.agg(F.sum("n").alias("rows_cnt"), (F.sum("outside") + F.coalesce(F.sum("falls"), F.lit(0))).alias("violations"))
+
+
 def positive_probability(df: DataFrame) -> Column:
     return vector_to_array("probability")[1]
 
@@ -122,10 +244,34 @@ def feature_importance(model: LogisticRegressionModel, spark: SparkSession, feat
     return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def fit_clusters(scaled: DataFrame, k: int = 3, seed: int = K.SEED) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-9).fit(scaled)
+
+
+def cluster_certificate(model: KMeansModel, scaled: DataFrame, slack: float = 1e-6) -> DataFrame:
+    """Rows, clusters, rows that are nearer to another centre than to their own, and whether every centre is the mean
+    of its rows: both together are what k-means looks for."""
+    clustered = model.transform(scaled)
+    point = vector_to_array("features")
+
+    def distance(centre: np.ndarray) -> Column:
+        gaps = F.zip_with(point, F.lit(centre.tolist()), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+    distances = F.array(*[distance(centre) for centre in model.clusterCenters()])
+    wrong = F.get(distances, F.col("cluster")) > F.array_min(distances) + F.lit(slack)
+    means = clustered.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("wrong"), Summarizer.mean(F.col("features")).alias("mean")
+    ).collect()  # one row a cluster
+    centres = model.clusterCenters()
+    central = all(np.abs(row["mean"].toArray() - centres[row["cluster"]]).max() <= math.sqrt(slack) for row in means)
+    counts = (sum(r["n"] for r in means), len(centres), sum(r["wrong"] for r in means), int(central))
+    return scaled.sparkSession.createDataFrame([counts], "rows_cnt long, clusters int, misplaced long, centred int")
+
+
 def cluster_rows(scaled: DataFrame, k: int = 3, seed: int = K.SEED, label: str = "label") -> DataFrame:
     """K-means cluster per row; clusters are numbered by their label rate, highest first."""
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(scaled)
-    clustered = model.transform(scaled)
+    clustered = fit_clusters(scaled, k, seed).transform(scaled)
     rates = clustered.groupBy("cluster").agg(F.avg(F.col(label).cast("double")).alias("rate"))
     order = [row["cluster"] for row in rates.orderBy(F.desc("rate"), "cluster").collect()]  # k rows at most
     return clustered.withColumn("cluster", F.array_position(F.array(*[F.lit(c) for c in order]), F.col("cluster")).cast("int") - 1)
@@ -170,14 +316,12 @@ def fold_metrics(predicted: DataFrame) -> DataFrame:
 def out_of_fold(scaled: DataFrame, folds: int = 5, key: str = "id", max_iter: int = 1000) -> DataFrame:
     """Prediction for every row from the model that did not see its fold."""
     numbered = durable(fold_ids(scaled, key=key, folds=folds))
-    parts = []
-    for fold in range(folds):
+
+    def held_out(fold: int) -> DataFrame:
         model = fit_logistic(numbered.filter(F.col("fold") != fold), max_iter=max_iter)
-        parts.append(predict(model, numbered.filter(F.col("fold") == fold)))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        return predict(model, numbered.filter(F.col("fold") == fold))
+
+    return reduce(DataFrame.unionByName, concurrently([lambda fold=fold: held_out(fold) for fold in range(folds)]))
 
 
 def model_report(logistic: DataFrame, svm: DataFrame, validation: DataFrame) -> DataFrame:
@@ -193,21 +337,31 @@ def model_report(logistic: DataFrame, svm: DataFrame, validation: DataFrame) ->
 # --- text models -------------------------------------------------------------------------------
 
 
-# Buckets that terms are hashed into. A model has one coefficient per bucket and class whatever the
-# vocabulary: three times 2^16 numbers, 1.5 MB. Terms that share a bucket share its weight.
+# Buckets that terms are hashed into, whatever the vocabulary. A model has one coefficient per class and bucket that
+# passes `min_df`, in a dense index of those: three times 2^16 numbers at most, 1.5 MB.
 TEXT_FEATURES = 1 << 16
+CELLS_PER_TASK = 500_000
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(term), F.lit(buckets))
+
+
+def _buckets(reviews: DataFrame, buckets: int) -> Column:
+    return F.transform(terms(F.col("comment")), lambda term: term_bucket(term, buckets).cast("string"))
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """Fitted text classifier: hashed terms, bucket weights, classifier."""
+    """Fitted text classifier: buckets of terms, the places of those that count, their weights, classifier."""
 
-    hasher: HashingTF
+    buckets: int
+    index: CountVectorizerModel
     scaling: ElementwiseProduct
     classifier: LogisticRegressionModel
 
     def features(self, df: DataFrame) -> DataFrame:
-        counted = self.hasher.transform(df.withColumn("terms", terms(F.col("comment"))))
+        counted = self.index.transform(df.withColumn("terms", _buckets(df, self.buckets)))
         weighted = self.scaling.transform(counted)
         return Normalizer(p=2.0, inputCol="weighted", outputCol="features").transform(weighted).drop(
             "terms", "counts", "weighted"
@@ -224,42 +378,64 @@ class TextModel:
             .drop("features", "rawPrediction", "probability", "prediction")
         )
 
+    def coefficients(self, spark: SparkSession, label: str = K.NEGATIVE) -> DataFrame:
+        """(bucket, coefficient) of one class, one row per bucket that counts."""
+        values = self.classifier.coefficientMatrix.toArray()[K.CLASSES.index(label)]
+        rows = [(int(bucket), float(value)) for bucket, value in zip(self.index.vocabulary, values)]
+        return spark.createDataFrame(rows, "bucket int, coefficient double")
+
 
 def _class_index(label: str) -> Column:
     return (order_rank(F.col(label), K.CLASSES) - 1).cast("double")
 
 
+def _training_vectors(model: TextModel, train: DataFrame, label: str) -> DataFrame:
+    marked = train.filter(F.col(label).isNotNull()).select("comment", _class_index(label).alias("label"))
+    return model.features(marked).select("features", "label")
+
+
 def fit_text_classifier(
     train: DataFrame,
     label: str,
     min_df: int = 2,
     max_iter: int = 1000,
-    tol: float = 1e-4,
+    tol: float = GRADIENT,
     num_features: int = TEXT_FEATURES,
 ) -> TextModel:
     """Three-class logistic regression on weighted terms, classes balanced.
 
     Terms are hashed into `num_features` buckets; no vocabulary is kept anywhere, so the model's size
-    does not depend on the texts. A bucket's weight is count * (ln((n + 1) / (df + 1)) + 1), 0 below
-    `min_df` reviews; each review is scaled to length 1. The solver stops by tolerance.
+    does not depend on the texts. Buckets in fewer than `min_df` reviews are left out, and the others numbered without
+    gaps, so the solver's vectors are as long as what the reviews hold. A bucket's weight is count *
+    (ln((n + 1) / (df + 1)) + 1); each review is scaled to length 1. Rows are spread over as many tasks as their cells
+    need. The solver stops when no entry of the gradient is beyond `tol`.
     """
-    marked = train.filter(F.col(label).isNotNull()).withColumn("terms", terms(F.col("comment")))
-    marked = marked.select("terms", _class_index(label).alias("label"))
-    hasher = HashingTF(inputCol="terms", outputCol="counts", numFeatures=num_features)
-    counted = durable(hasher.transform(marked).select("counts", "label"))
-    fitted = IDF(inputCol="counts", outputCol="unused").fit(counted)
-    frequent = np.asarray(fitted.docFreq) >= min_df
-    scaling = ElementwiseProduct(
-        scalingVec=Vectors.dense(np.where(frequent, fitted.idf.toArray() + 1.0, 0.0)), inputCol="counts", outputCol="weighted"
-    )
+    marked = train.filter(F.col(label).isNotNull())
+    marked = durable(marked.select(_buckets(marked, num_features).alias("terms"), _class_index(label).alias("label")))
+    rows = marked.count()
+    seen = marked.select(F.explode(F.array_distinct("terms")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    # At most one row a bucket.
+    frequent = sorted((int(r["bucket"]), r["df"]) for r in seen.filter(F.col("df") >= min_df).collect())
+    index = CountVectorizerModel.from_vocabulary([str(b) for b, _ in frequent] or ["none"], inputCol="terms", outputCol="counts")
+    weights = [math.log((rows + 1) / (df + 1)) + 1.0 for _, df in frequent] or [0.0]
+    scaling = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="counts", outputCol="weighted")
     normal = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-    vectors = normal.transform(scaling.transform(counted)).select("features", "label")
-    weighted, rows = with_class_weights(vectors)
-    classifier = LogisticRegression(
-        family="multinomial", weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=tol,
-    ).fit(weighted)
-    return TextModel(hasher, scaling, classifier)
+    vectors = normal.transform(scaling.transform(index.transform(marked))).select("features", "label")
+    tasks = max(1, math.ceil(sum(df for _, df in frequent) / CELLS_PER_TASK))
+    weighted, total = with_class_weights(vectors)
+    weighted = durable(weighted.coalesce(tasks))
+    estimator = LogisticRegression(
+        family="multinomial", weightCol="weight", regParam=1.0 / max(total, 1), elasticNetParam=0.0,
+        standardization=False, maxIter=max_iter,
+    )
+    return TextModel(num_features, index, scaling, fit_until_flat(estimator, weighted, tol))
+
+
+def text_certificate(model: TextModel, train: DataFrame, label: str = "label") -> DataFrame:
+    """Rows that a text model was fitted to, and whether its coefficients are the optimum."""
+    weighted, rows = with_class_weights(_training_vectors(model, train, label))
+    flat = largest_gradient(model.classifier, weighted, 1.0 / max(rows, 1)) <= GRADIENT * 1.01
+    return train.sparkSession.createDataFrame([(rows, int(flat))], "rows_cnt long, at_optimum int")
 
 
 def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 1000) -> TextModel:
@@ -267,20 +443,27 @@ def fit_on_bands(scored: DataFrame, gold: DataFrame, max_iter: int = 1000) -> Te
     return fit_text_classifier(exclude_gold(scored, gold), "label", max_iter=max_iter)
 
 
+def term_dictionary(reviews: DataFrame, buckets: int = TEXT_FEATURES, min_df: int = 2) -> DataFrame:
+    """(term, bucket, df, bucket_terms, bucket_df): every term in `min_df` reviews or more, the bucket it is hashed into, and
+    how many such terms, and reviews of them, share that bucket. The dictionary stays distributed."""
+    each = reviews.select(F.explode(F.array_distinct(terms(F.col("comment")))).alias("term"))
+    distinct = each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    placed = distinct.withColumn("bucket", term_bucket(F.col("term"), buckets))
+    shared = W.partitionBy("bucket")  # some terms of the vocabulary, not rows
+    return placed.select(
+        "term", "bucket", "df", F.count(F.lit(1)).over(shared).alias("bucket_terms"), F.sum("df").over(shared).alias("bucket_df")
+    )
+
+
 def text_top_features(model: TextModel, reviews: DataFrame, k: int = 20, min_df: int = 2) -> DataFrame:
     """The terms of `reviews` that point most and least to the negative class.
 
-    Every distinct term goes through the classifier as a text of its own, where the raw score is its
-    bucket's coefficient plus the intercept. Terms in fewer than `min_df` reviews are left out; terms
-    that share a bucket share its coefficient.
+    A bucket's coefficient belongs to all terms in it; each gets the share that its reviews have. `bucket_terms` tells
+    where that happened. Terms in fewer than `min_df` reviews are left out.
     """
-    each = reviews.select(F.explode(F.array_distinct(terms(F.col("comment")))).alias("term"))
-    distinct = each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
-    hashed = model.hasher.transform(distinct.select("term", F.array("term").alias("terms")))
-    scored = model.classifier.transform(hashed.withColumnRenamed("counts", "features"))
-    place = K.CLASSES.index(K.NEGATIVE)
-    raw = vector_to_array("rawPrediction")[place] - F.lit(float(model.classifier.interceptVector[place]))
-    named = scored.select("term", raw.alias("coefficient"))
+    own = model.coefficients(reviews.sparkSession)  # as many rows as the model has coefficients
+    share = F.col("coefficient") * F.col("df") / F.col("bucket_df")
+    named = term_dictionary(reviews, model.buckets, min_df).join(own, "bucket").select("term", share.alias("coefficient"), "bucket_terms")
     most = named.orderBy(F.desc("coefficient"), "term").limit(k).withColumn("side", F.lit("negative"))
     least = named.orderBy("coefficient", "term").limit(k).withColumn("side", F.lit("not negative"))
     return most.unionByName(least)
@@ -289,14 +472,12 @@ def text_top_features(model: TextModel, reviews: DataFrame, k: int = 20, min_df:
 def text_out_of_fold(gold: DataFrame, folds: int = 5, label: str = "gold_std", max_iter: int = 1000) -> DataFrame:
     """Gold rows with the class predicted by a model that did not see them."""
     numbered = durable(fold_ids(gold, label=label, key="ingest_id", folds=folds))
-    parts = []
-    for fold in range(folds):
+
+    def held_out(fold: int) -> DataFrame:
         model = fit_text_classifier(numbered.filter(F.col("fold") != fold), label, max_iter=max_iter)
-        parts.append(model.predict(numbered.filter(F.col("fold") == fold), "cv_label").drop("cv_label_negative"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        return model.predict(numbered.filter(F.col("fold") == fold), "cv_label").drop("cv_label_negative")
+
+    return reduce(DataFrame.unionByName, concurrently([lambda fold=fold: held_out(fold) for fold in range(folds)]))
 
 
 def fold_f1(predicted: DataFrame, label: str = "gold_std", pred: str = "cv_label") -> DataFrame:

@@ -16,7 +16,7 @@ from shoplayers.sources.files import (
     BOM, LayerTables, Source, cache_scores, malformed_records, read_csv, read_gold_csv, write_report,
 )
 
-FILES = 4
+ROWS_PER_FILE = 20_000
 # A cell with a line break, quotes and Chinese text, and the text NA, which is no missing value.
 COMMENT = """CASE WHEN ingest_id % 7 = 0 THEN concat('第一行', chr(10), 'says "', ingest_id, '"') WHEN ingest_id % 7 = 1 THEN 'NA' END"""
 
@@ -26,11 +26,11 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def _write(df: DataFrame, path: str, encoding: str = "UTF-8", order: str | None = None) -> str:
-    """CSV with a header in several files; with `order`, names and places follow that column."""
+    """CSV with a header in as many files as the rows need; with `order`, names and places follow that column."""
     df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
-    spread = df.repartitionByRange(FILES, order).sortWithinPartitions(order) if order else df.repartition(FILES)
+    spread = df.repartitionByRange(order).sortWithinPartitions(order) if order else df
     (spread.drop(order) if order else spread).write.options(
-        header=True, encoding=encoding, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        maxRecordsPerFile=ROWS_PER_FILE, header=True, encoding=encoding, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     return path
 

@@ -10,26 +10,28 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from shoplayers.functions.columns import clean_label
+from shoplayers.functions.sizes import small
 from shoplayers.operators.cleaning import keep_first
 from shoplayers.sources import schemas
+from shoplayers.sources.quoted import SELF_SYNCHRONISING, read_quoted_csv
 
 BOM = "\ufeff"
 CORRUPT = "_corrupt_record"
 
 
-def _csv(spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str, multi_line: bool) -> DataFrame:
+CSV_OPTIONS = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _allow(spark: SparkSession, encoding: str) -> None:
+    """Encodings outside Spark's short list need a setting, which is made where it is missing."""
     if encoding.upper() not in {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+
+
+def _csv(spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str, multi_line: bool) -> DataFrame:
+    _allow(spark, encoding)
+    options = CSV_OPTIONS | {"header": True, "encoding": encoding, "multiLine": multi_line}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_csv(
@@ -42,11 +44,14 @@ def read_csv(
     """CSV files with a header, declared types and a declared text encoding, plus `ingest_id`.
 
     `ingest_id` numbers the rows by file name, place of the split in its file and place in the split,
-    whatever order Spark reads splits in. Only the number of rows per split is needed for that, one row
-    a split. `multi_line` keeps quoted line breaks but reads each file in one task; it is for files of
-    free texts. Encodings outside Spark's short list need `spark.sql.legacy.javaCharsets=true`, which is
-    set here when it is missing.
+    whatever order Spark reads splits in. Only the number of rows per split is needed for that: one row a split, which
+    is broadcast behind a check of its size, so the rows themselves never move. `multi_line` keeps quoted line breaks; such
+    files are cut at the ends of records and read by many tasks (`quoted`), except in encodings of two bytes or more
+    a character, where each file is one task's.
     """
+    if multi_line and encoding.upper() in SELF_SYNCHRONISING:
+        _allow(spark, encoding)
+        return read_quoted_csv(spark, path, schema, encoding, CSV_OPTIONS)
     rows = _csv(spark, path, schema, encoding, multi_line).select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
@@ -56,7 +61,7 @@ def read_csv(
     splits = rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
     begins = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
-    placed = rows.join(begins, ["_file", "_block"])
+    placed = rows.join(small(begins), ["_file", "_block"])
     return placed.select((F.col("_begin") + F.col("_at") - F.col("_first")).alias("ingest_id"), *schema.names)
 
 
@@ -89,8 +94,8 @@ class Source:
 def standard_sources(behaviour: str, comments: str, categories: str, profiles: str) -> list[Source]:
     """The four sources of the warehouse: a GB18030 behaviour log and three UTF-8 files.
 
-    The log is read line by line, so a large file is split over many tasks; a log whose comments hold
-    line breaks needs `dataclasses.replace(source, multi_line=True)`. Comments are read with them.
+    The log is read line by line; a log whose comments hold line breaks needs `dataclasses.replace(source,
+    multi_line=True)`. Comments are read with them. Either way a large file is split over many tasks.
     """
     return [
         Source("ods_user_behavior", behaviour, schemas.BEHAVIOUR_FILE, "GB18030"),

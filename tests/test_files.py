@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from dataclasses import replace
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplayers.functions.columns import clean_label
 from shoplayers.plans import warehouse
-from shoplayers.sources import schemas
+from shoplayers.sources import quoted, schemas
 from shoplayers.sources.files import (
     LayerTables, Source, cache_scores, malformed_records, read_csv, read_gold_csv, standard_sources, write_report,
 )
@@ -192,3 +193,66 @@ def test_all_reports_are_written(spark, folder, tmp_path):
     for name in names:
         files = [f for f in (out / name).iterdir() if f.suffix == ".csv"]
         assert files and all(f.read_bytes().startswith(b"\xef\xbb\xbf") for f in files), name
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def odd_rows(n, seed):
+    """Cells with line breaks, quotes and Chinese text; some longer than a block."""
+    rng = random.Random(seed)
+    parts = ["第一行", "\n", '"', ",", "\r\n", " x ", "é", "\n\n", "''", '"\n"']
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(n)]
+    texts[n // 3] = "长\n" * 4000
+    return [(i, i * 7, 100 + i % 3, text) for i, text in enumerate(texts)]
+
+
+def write_rows(path, rows, encoding, end="\n"):
+    quoted = lambda text: '"' + text.replace('"', '""') + '"' if any(c in text for c in '",\r\n') else text
+    lines = ["user_id,goods_id,category_id,comment"] + [f"{a},{b},{c},{quoted(text)}" for a, b, c, text in rows]
+    path.write_bytes((end.join(lines) + end).encode(encoding))
+
+
+@pytest.mark.parametrize("encoding, end", [("GB18030", "\n"), ("UTF-8", "\r\n")])
+def test_a_multi_line_file_is_read_by_many_tasks(spark, tmp_path, small_blocks, encoding, end):
+    rows = odd_rows(1500, 3)
+    write_rows(tmp_path / "comments.csv", rows, encoding, end)
+    assert (tmp_path / "comments.csv").stat().st_size > 4 * 4096
+    found = read_csv(spark, str(tmp_path / "comments.csv"), schemas.COMMENT_FILE, encoding, multi_line=True).collect()
+    expected = [(i, *row[:3], row[3] or None) for i, row in enumerate(rows)]
+    assert sorted(tuple(r) for r in found) == expected
+    records = quoted.read_records(spark, str(tmp_path / "comments.csv"))
+    blocks = records.select("block").distinct().count()
+    assert blocks >= 4
+    shuffled = quoted.read_records(spark, str(tmp_path / "comments.csv"), broadcast_bytes=0)
+    key = ["block", "nth", "record"]
+    assert sorted(map(tuple, shuffled.select(key).collect())) == sorted(map(tuple, records.select(key).collect()))
+
+
+def test_several_multi_line_files_are_numbered_in_order(spark, tmp_path, small_blocks):
+    rows = odd_rows(600, 5)
+    for name, part in (("a", rows[:100]), ("b", rows[100:101]), ("c", []), ("d", rows[101:])):
+        write_rows(tmp_path / f"{name}.csv", part, "UTF-8")
+    found = read_csv(spark, str(tmp_path), schemas.COMMENT_FILE, multi_line=True).collect()
+    assert sorted(tuple(r) for r in found) == [(i, *row[:3], row[3] or None) for i, row in enumerate(rows)]
+
+
+def test_an_empty_multi_line_file(spark, tmp_path):
+    (tmp_path / "none.csv").write_bytes(b"")
+    assert read_csv(spark, str(tmp_path / "none.csv"), schemas.COMMENT_FILE, multi_line=True).count() == 0
+
+
+def test_numbering_moves_no_rows(spark, tmp_path, small_blocks):
+    write_rows(tmp_path / "plain.csv", [(i, i, i, f"row {i}") for i in range(3000)], "UTF-8")
+    rows = read_csv(spark, str(tmp_path / "plain.csv"), schemas.COMMENT_FILE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert [r["user_id"] for r in rows.orderBy("ingest_id").collect()] == list(range(3000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
