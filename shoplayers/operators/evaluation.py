@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import mapped
+from shoplayers.functions.membership import bitmap_of, may_be_member
 from shoplayers.functions.numbers import f_score, ratio
 from shoplayers.functions.ordered import with_running_totals
 from shoplayers.operators.quality import require, require_rows, require_unique
@@ -29,14 +30,17 @@ def _hashed(df: DataFrame, *, prefix: str = "") -> DataFrame:
 def join_gold(gold: DataFrame, scored: DataFrame, check: bool = True) -> DataFrame:
     """Attach scores to gold rows one to one, map the labels, drop ambiguous rows.
 
-    Rows meet by a digest of the key; the columns of the key are compared as well. The joined rows, no
-    more than people labelled, are stored once: every metric reads them again. With `check` the jobs raise
+    Rows meet by a digest of the key; the columns of the key are compared as well. A bitmap of the sheet's
+    digests comes first: scored rows whose bit is not set are left where they are, so only candidates move. The joined
+    rows, no more than people labelled, are stored once: every metric reads them again. With `check` the jobs raise
     on repeated keys, lost rows, missing scores and labels outside the whitelist.
     """
-    sheet = _hashed(gold.filter(F.col("user_id").isNotNull() & F.col("goods_id").isNotNull() & F.col("comment").isNotNull()))
+    sheet = durable(_hashed(gold.filter(F.col("user_id").isNotNull() & F.col("goods_id").isNotNull() & F.col("comment").isNotNull())))
     rest = [c for c in scored.columns if c not in GOLD_KEY]
     wanted = sheet.select("_key").distinct()
-    matches = _hashed(scored).join(wanted, "_key", "left_semi")
+    bitmap = bitmap_of(sheet, F.xxhash64("_key"))
+    candidates = _hashed(scored).filter(may_be_member(bitmap, F.xxhash64("_key")))
+    matches = candidates.join(wanted, "_key", "left_semi")
     other = matches.select("_key", *[F.col(k).alias(f"_{k}") for k in GOLD_KEY], *rest)
     same = (F.col("g._key") == F.col("s._key")) & (F.col("g.user_id") == F.col("s._user_id"))
     same &= (F.col("g.goods_id") == F.col("s._goods_id")) & (F.col("g.comment") == F.col("s._comment"))
@@ -65,11 +69,14 @@ def ambiguous_share(gold: DataFrame) -> DataFrame:
 def exclude_gold(scored: DataFrame, gold: DataFrame) -> DataFrame:
     """Training rows: everything that is not a gold row. NULL keys match NULL keys.
 
-    Rows meet by a 256-bit digest of the key; texts stay where they are unless Spark has to place the
-    rows, and are never compared or sorted.
+    Rows meet by a 256-bit digest of the key. Rows whose bit in a bitmap of the gold digests is not set are no gold
+    rows and stay where they are; only the others are moved to find out.
     """
-    keys = _hashed(gold.select(*GOLD_KEY)).select("_key").distinct()
-    return _hashed(scored).join(keys, "_key", "left_anti").drop("_key")
+    keys = durable(_hashed(gold.select(*GOLD_KEY)).select("_key").distinct())
+    hashed, bitmap = _hashed(scored), bitmap_of(keys, F.xxhash64("_key"))
+    maybe = may_be_member(bitmap, F.xxhash64("_key"))
+    others = hashed.filter(maybe).join(keys, "_key", "left_anti")
+    return hashed.filter(~maybe).unionByName(others).drop("_key")
 
 
 def confusion_matrix(df: DataFrame, gold: str = "gold_std", pred: str = "label") -> DataFrame:

@@ -28,6 +28,7 @@ from shoplayers.functions.columns import order_rank
 from shoplayers.functions.numbers import ratio
 from shoplayers.operators.evaluation import binary_metrics, exclude_gold, roc_auc
 from shoplayers.operators.sampling import fold_ids
+from shoplayers.operators.softmax import SoftmaxModel, fit_softmax, sparse_rows
 from shoplayers.operators.text import terms
 from shoplayers.session import durable
 
@@ -83,26 +84,24 @@ def with_class_weights(df: DataFrame, label: str = "label") -> tuple[DataFrame,
 # --- fitting -----------------------------------------------------------------------------------
 
 T = TypeVar("T")
-# How exactly a solver is asked to work, one after the other, until the gradient is small enough.
-TOLERANCES = (1e-3, 1e-5, 1e-7, 1e-9)
 GRADIENT = 1e-4
 
 
 def concurrently(jobs: Sequence[Callable[[], T]]) -> list[T]:
     """Results of independent fits that share the cluster instead of waiting for each other."""
+    inherited = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:
-        return [found.result() for found in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+        return [found.result() for found in [pool.submit(inherited(job)) for job in jobs]]
 
 
-def largest_gradient(model: LogisticRegressionModel, data: DataFrame, penalty: float) -> float:
-    """The largest entry of the gradient of the penalised, weighted mean loss at the fitted coefficients.
+def largest_gradient(scored: DataFrame, coefficients: np.ndarray, penalty: float) -> float:
+    """The largest entry of the gradient of the penalised, weighted mean log loss. Near 0, a model is the optimum.
 
-    `data` has features, label and weight. Per class the weighted features are summed once by probability and once
-    by label, in one pass; a few vectors as wide as the model come back. Near 0, the model is the optimum.
+    `scored` has features, label, weight and the class probabilities `_p`; `coefficients` has a row per class, or one
+    for class 1 of two. Per class the weighted features are summed once by probability and once by label, in one
+    pass; a few vectors as wide as the model come back.
     """
-    coefficients = model.coefficientMatrix.toArray()
     classes = [1] if len(coefficients) == 1 else list(range(len(coefficients)))
-    scored = model.transform(data).withColumn("_p", vector_to_array("probability"))
     sums = [F.sum("weight").alias("weight")]
     for c in classes:
         belongs = (F.col("label") == c).cast("double")
@@ -119,20 +118,6 @@ def largest_gradient(model: LogisticRegressionModel, data: DataFrame, penalty: f
     return largest
 
 
-def fit_until_flat(estimator: LogisticRegression, data: DataFrame, gradient: float = GRADIENT) -> LogisticRegressionModel:
-    """Fit, more exactly each time, until the gradient says that the optimum is reached.
-
-    A solver's own tolerance is about the loss and says little about a wide model: too strict a one costs hundreds of
-    rounds, too loose a one stops short.
-    """
-    penalty = estimator.getRegParam()
-    for tolerance in TOLERANCES:
-        model = estimator.copy({estimator.tol: tolerance}).fit(data)
-        if largest_gradient(model, data, penalty) <= gradient:
-            break
-    return model
-
-
 # --- purchase models ---------------------------------------------------------------------------
 
 
@@ -147,7 +132,8 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
 def logistic_certificate(model: LogisticRegressionModel, train: DataFrame, c: float = 1.0) -> DataFrame:
     """Rows and features that `fit_logistic` saw, and whether its coefficients are the optimum."""
     weighted, rows = with_class_weights(train)
-    flat = largest_gradient(model, weighted, 1.0 / (c * rows)) <= GRADIENT
+    scored = model.transform(weighted).withColumn("_p", vector_to_array("probability"))
+    flat = largest_gradient(scored, model.coefficientMatrix.toArray(), 1.0 / (c * rows)) <= GRADIENT
     return train.sparkSession.createDataFrame([(rows, model.numFeatures, int(flat))], "rows_cnt long, features int, at_optimum int")
 
 
@@ -181,7 +167,8 @@ def calibration_rows(margins: DataFrame) -> DataFrame:
     sizes = margins.agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros")).first()
     high, low = (sizes["ones"] + 1) / (sizes["ones"] + 2), 1 / (sizes["zeros"] + 2)
     target = F.when(F.col("label") == 1, F.lit(high)).otherwise(F.lit(low))
-    both = F.inline(F.array(F.struct(F.lit(1).alias("label"), target.alias("weight")), F.struct(F.lit(0), F.lit(1.0) - target)))
+    rest = (F.lit(1.0) - target).alias("weight")
+    both = F.inline(F.array(F.struct(F.lit(1).alias("label"), target.alias("weight")), F.struct(F.lit(0).alias("label"), rest)))
     return VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins.select("margin", both)).drop("margin")
 
 
@@ -358,7 +345,7 @@ class TextModel:
     buckets: int
     index: CountVectorizerModel
     scaling: ElementwiseProduct
-    classifier: LogisticRegressionModel
+    classifier: SoftmaxModel
 
     def features(self, df: DataFrame) -> DataFrame:
         counted = self.index.transform(df.withColumn("terms", _buckets(df, self.buckets)))
@@ -369,13 +356,14 @@ class TextModel:
 
     def predict(self, df: DataFrame, name: str) -> DataFrame:
         """Attach the predicted class and the probability of the negative class."""
-        predicted = self.classifier.transform(self.features(df))
+        shares = self.classifier.probabilities(F.col("features"), df.sparkSession)
+        predicted = self.features(df).withColumn("_p", shares)
         classes = F.array(*[F.lit(c) for c in K.CLASSES])
-        negative = vector_to_array("probability")[K.CLASSES.index(K.NEGATIVE)]
+        best = F.array_position("_p", F.array_max("_p")).cast("int")
         return (
-            predicted.withColumn(name, F.element_at(classes, F.col("prediction").cast("int") + 1))
-            .withColumn(f"{name}_negative", negative)
-            .drop("features", "rawPrediction", "probability", "prediction")
+            predicted.withColumn(name, F.element_at(classes, best))
+            .withColumn(f"{name}_negative", F.get("_p", F.lit(K.CLASSES.index(K.NEGATIVE))))
+            .drop("features", "_p")
         )
 
     def coefficients(self, spark: SparkSession, label: str = K.NEGATIVE) -> DataFrame:
@@ -423,18 +411,16 @@ def fit_text_classifier(
     vectors = normal.transform(scaling.transform(index.transform(marked))).select("features", "label")
     tasks = max(1, math.ceil(sum(df for _, df in frequent) / CELLS_PER_TASK))
     weighted, total = with_class_weights(vectors)
-    weighted = durable(weighted.coalesce(tasks))
-    estimator = LogisticRegression(
-        family="multinomial", weightCol="weight", regParam=1.0 / max(total, 1), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter,
-    )
-    return TextModel(num_features, index, scaling, fit_until_flat(estimator, weighted, tol))
+    table = durable(sparse_rows(weighted).coalesce(tasks))
+    fitted = fit_softmax(table, len(K.CLASSES), len(weights), 1.0 / max(total, 1), tol, max_iter)
+    return TextModel(num_features, index, scaling, fitted)
 
 
 def text_certificate(model: TextModel, train: DataFrame, label: str = "label") -> DataFrame:
     """Rows that a text model was fitted to, and whether its coefficients are the optimum."""
     weighted, rows = with_class_weights(_training_vectors(model, train, label))
-    flat = largest_gradient(model.classifier, weighted, 1.0 / max(rows, 1)) <= GRADIENT * 1.01
+    scored = weighted.withColumn("_p", model.classifier.probabilities(F.col("features"), train.sparkSession))
+    flat = largest_gradient(scored, model.classifier.coefficientMatrix.toArray(), 1.0 / max(rows, 1)) <= GRADIENT * 1.01
     return train.sparkSession.createDataFrame([(rows, int(flat))], "rows_cnt long, at_optimum int")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from shoplayers import constants as K
 from shoplayers.functions.columns import clean_label
@@ -1547,3 +1547,106 @@ def text_pr_curve(spark, folder):
     sheet = views.gold_sheet(scored, views.labels(spark, folder))
     judged = learning.fit_on_bands(scored, sheet).predict(evaluation.join_gold(sheet, scored, check=False), "model_label")
     return evaluation.precision_recall_curve(judged, _is_negative(), F.col("model_label_negative"))
+
+
+# --- stored layers and fitted models, checked ----------------------------------------------------
+
+ONE_DAY = "2024-01-05"
+
+
+@_query(
+    "layer_one_day",
+    sql(
+        f"""SELECT COUNT(*) AS rows_cnt, COUNT(DISTINCT user_id) AS users, CAST(MIN(event_date) AS VARCHAR) AS first_day_read,
+        CAST(MAX(event_date) AS VARCHAR) AS last_day_read, (SELECT COUNT(DISTINCT event_date) FROM dwd) AS days_stored
+        FROM dwd WHERE event_date = DATE '{ONE_DAY}'""",
+        "dwd",
+    ),
+)
+def layer_one_day(spark, folder):
+    """The detail layer written by day; one day is read from that day's files alone."""
+    return roundtrips.one_day_of_detail(spark, folder, ONE_DAY)
+
+
+_SPLIT = f"SELECT *, k <= round(size * CAST(0.7 AS DOUBLE)) AS is_train FROM ({_PLACED})"
+
+
+@_query(
+    "lr_certificate",
+    sql(
+        f"""SELECT COUNT(*) AS rows_cnt, CAST({len(K.FEATURES)} AS INTEGER) AS features, CAST(1 AS INTEGER) AS at_optimum
+        FROM ({_SPLIT}) WHERE is_train""",
+        "features",
+    ),
+)
+def lr_certificate(spark, folder):
+    """The logistic purchase model, and with it its feature importance, is the optimum of its loss."""
+    train = _prepared(spark, folder).filter("is_train = 1")
+    return learning.logistic_certificate(learning.fit_logistic(train), train)
+
+
+@_query(
+    "importance_order",
+    f"""SELECT CAST({len(K.FEATURES)} AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS out_of_order,
+    CAST(0 AS BIGINT) AS differing""",
+)
+def importance_order(spark, folder):
+    """Feature importance is the absolute coefficient, largest first, every feature once."""
+    model = _logistic(_prepared(spark, folder))
+    importance = learning.feature_importance(model, spark).withColumn("_at", F.monotonically_increasing_id())
+    own = spark.createDataFrame([(n, float(v)) for n, v in zip(K.FEATURES, model.coefficients)], "feature string, coefficient double")
+    both = importance.join(own, "feature", "full").withColumn("before", F.lag("importance").over(W.orderBy("_at")))
+    return both.agg(
+        F.count_distinct("feature").alias("features"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+        F.count_if(F.col("importance") > F.col("before")).alias("out_of_order"),
+        F.count_if(~F.coalesce(F.abs("coefficient") == F.col("importance"), F.lit(False))).alias("differing"),
+    )
+
+
+@_query(
+    "kmeans_certificate",
+    sql(
+        """SELECT COUNT(*) AS rows_cnt, CAST(3 AS INTEGER) AS clusters, CAST(0 AS BIGINT) AS misplaced, CAST(1 AS INTEGER) AS centred
+        FROM features""",
+        "features",
+    ),
+)
+def kmeans_certificate(spark, folder):
+    """Every row is in its nearest cluster, and every centre is the mean of its rows."""
+    prepared = _prepared(spark, folder)
+    return learning.cluster_certificate(learning.fit_clusters(prepared), prepared)
+
+
+@_query(
+    "text_certificate",
+    sql(
+        """SELECT COUNT(*) AS rows_cnt, CAST(1 AS INTEGER) AS at_optimum FROM scored f WHERE label IS NOT NULL AND NOT EXISTS
+        (SELECT 1 FROM gold_sheet g WHERE g.user_id = f.user_id AND g.goods_id = f.goods_id AND g.comment = f.comment)""",
+        "scored", "gold_sheet",
+    ),
+)
+def text_certificate(spark, folder):
+    """The text classifier saw no gold row and is the optimum of its loss."""
+    scored = _scored_table(spark, folder)
+    gold = views.gold_sheet(scored, views.labels(spark, folder))
+    train = durable(evaluation.exclude_gold(scored, gold))
+    return learning.text_certificate(learning.fit_text_classifier(train, "label"), train)
+
+
+@_query(
+    "svm_probability",
+    sql(f"SELECT COUNT(*) AS rows_cnt, CAST(0 AS BIGINT) AS violations FROM ({_SPLIT}) WHERE NOT is_train", "features"),
+)
+def svm_probability(spark, folder):
+    """Calibrated probabilities of the margin model on test rows: all within 0 and 1, in the order of the margins."""
+    prepared = _prepared(spark, folder)
+    model = learning.fit_calibrated_svm(prepared.filter("in_subsample = 1"))
+    return learning.calibration_certificate(model.predict(prepared.filter("is_train = 0")))
+
+
+@_query("term_collisions")
+def term_collisions(spark, folder):
+    """Terms that share a bucket of the text model with other terms, and how many reviews stand behind each."""
+    reviews = _stored_reviews(spark, folder)
+    return learning.term_dictionary(reviews).filter("bucket_terms > 1").select("term", "bucket", "df", "bucket_terms", "bucket_df")

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplayers.functions.columns import clean_label
+from shoplayers.plans import warehouse
 from shoplayers.session import ensure_checkpoint_dir
 from shoplayers.sources import schemas, views
 from shoplayers.sources.files import (
@@ -115,6 +116,22 @@ def malformed_cells(spark: SparkSession, folder: str) -> DataFrame:
     return malformed_records(spark, path, schemas.BEHAVIOUR_FILE).agg(F.count(F.lit(1)).alias("records"))
 
 
+def one_day_of_detail(spark: SparkSession, folder: str, day: str) -> DataFrame:
+    """The detail layer written by day, and one day read: rows, days in the files read, and days in the table."""
+    tables = LayerTables(spark, new_folder(spark))
+    tables.write(warehouse.build_dwd(views.behaviour(spark, folder)), "dwd_user_behavior", "event_date")
+    detail = tables.read("dwd_user_behavior")
+    in_path = F.regexp_extract(F.col("_metadata.file_path"), "event_date=([^/]+)", 1)
+    days = detail.select("event_date").distinct().agg(F.count(F.lit(1))).scalar()
+    read = detail.filter(F.col("event_date") == F.lit(day).cast("date")).select("user_id", in_path.alias("day"))
+    return read.agg(
+        F.count(F.lit(1)).alias("rows_cnt"),
+        F.count_distinct("user_id").alias("users"),
+        F.min("day").alias("first_day_read"),
+        F.max("day").alias("last_day_read"),
+    ).withColumn("days_stored", days)
+
+
 def report_file(spark: SparkSession, report: DataFrame) -> DataFrame:
     """Lines of a written report, and whether its file begins with the byte-order mark."""
     path = f"{new_folder(spark)}/report"

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from shoplayers.functions.columns import clean_label
 from shoplayers.functions.sizes import small
@@ -105,6 +105,11 @@ def standard_sources(behaviour: str, comments: str, categories: str, profiles: s
     ]
 
 
+def null_counts(table: str) -> dict[str, Column]:
+    """NULLs per column of a table that must have none, as measures of its writing job."""
+    return {f"null:{c}": F.count_if(F.col(c).isNull()) for c in schemas.NOT_NULL.get(table, ())}
+
+
 class LayerTables:
     """Parquet tables under one root, each fully replaced by a load.
 
@@ -118,6 +123,7 @@ class LayerTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_loads = max(1, keep_loads)
+        self.observed: dict[str, dict[str, object]] = {}
 
     def _folder(self, path: str):
         jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -136,22 +142,28 @@ class LayerTables:
                 done.append(name)
         return done
 
-    def write(self, df: DataFrame, table: str, partition_by: str | None = None) -> int:
-        """Replace a table; returns the rows found in the written files (read from their footers).
+    def write(
+        self, df: DataFrame, table: str, partition_by: str | None = None, measures: Mapping[str, Column] | None = None
+    ) -> int:
+        """Replace a table; returns the rows written.
 
-        Partitioned tables are rebalanced on the partition column first: small partitions share
-        a task, and one that holds many rows is split over several tasks and files.
+        Rows, and the aggregates of `measures`, are counted by the job that writes them: they are in
+        `observed[table]` afterwards, and nothing is read again for them. Partitioned tables are rebalanced on the
+        partition column first: small partitions share a task, and one that holds many rows is split over several
+        tasks and files.
         """
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         path = f"{self.root}/{table}/load-{stamp}-{uuid.uuid4().hex[:8]}"
-        if partition_by:
-            df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
-        else:
-            df.write.parquet(path)
+        watch = Observation()
+        rows = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+        values = [value.alias(name) for name, value in (measures or {}).items()]
+        writer = rows.observe(watch, F.count(F.lit(1)).alias("rows"), *values).write
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         for old in self.loads(table)[: -self.keep_loads]:
             fs, folder = self._folder(f"{self.root}/{table}/{old}")
             fs.delete(folder, True)
-        return self.spark.read.parquet(path).count()
+        self.observed[table] = {"rows": 0} | watch.get
+        return self.observed[table]["rows"]
 
     def read(self, table: str) -> DataFrame:
         loads = self.loads(table)
@@ -170,7 +182,7 @@ class LayerTables:
                 rows = rows.withColumn(column, cleaner(F.col(column)))
             if source.keys:
                 rows = keep_first(rows, source.keys).drop("ingest_id")
-            counts[source.table] = self.write(rows, source.table)
+            counts[source.table] = self.write(rows, source.table, measures=null_counts(source.table))
         return counts
 
     def row_counts(self, tables: Iterable[str]) -> DataFrame:

@@ -147,3 +147,20 @@ def test_decision_needs_gain_and_significance(spark):
     decided = E.model_decision(df, *sizes).first()
     assert decided["decision"] == "switch" and decided["gain_points"] > 5 and decided["p_value"] < 0.05
     assert E.model_decision(df, *sizes[::-1], "label_b", "label").first()["decision"] == "keep"
+
+
+def test_only_candidates_move_to_the_gold_join(spark):
+    """Rows that are no gold rows by the bitmap take no part in a shuffle of texts."""
+    scored = spark.range(4000).selectExpr("id AS ingest_id", "id AS user_id", "id % 7 AS goods_id", "concat('text ', id) AS comment", "0.5D AS score", "'中性' AS label")
+    gold = scored.filter("ingest_id % 400 = 0").selectExpr("user_id", "goods_id", "comment", "'真中性' AS gold")
+    kept = E.exclude_gold(scored, gold)
+    assert kept.count() == 3990 and kept.filter("ingest_id % 400 = 0").count() == 0
+    assert kept.columns == scored.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = E.join_gold(gold, scored)
+        assert joined.count() == 10 and {r["gold_std"] for r in joined.collect()} == {"中性"}
+        again = E.exclude_gold(scored, gold)
+        assert again.count() == 3990
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

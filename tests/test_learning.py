@@ -166,3 +166,57 @@ def test_comparison_of_two_models(spark):
     assert result.decision.first()["decision"] == "keep"
     check = cross_check(result.judged, folds=2)
     assert check.both_wrong.count() == 0 and check.folds.count() == 2
+
+
+def test_calibrated_probabilities(spark, prepared):
+    """Platt's loss has no better slope and offset, and probabilities rise with the margins."""
+    model = L.fit_calibrated_svm(prepared.filter("is_train = 1"))
+    predicted = model.predict(prepared.filter("is_train = 0"))
+    rows = sorted((r["ranking_score"], r["probability"]) for r in predicted.collect())
+    assert model.slope > 0 and all(a[1] <= b[1] for a, b in zip(rows, rows[1:])) and all(0 < p < 1 for _, p in rows)
+    assert tuple(L.calibration_certificate(predicted).first()) == (len(rows), 0)
+    turned = predicted.withColumn("probability", F.lit(1.5) - F.col("probability"))
+    assert L.calibration_certificate(turned).first()["violations"] > 0
+
+
+def test_calibration_is_at_the_optimum(spark):
+    rng = random.Random(3)
+    margins = [(int(rng.random() < 1 / (1 + np.exp(-2 * m))), float(m)) for m in np.linspace(-2, 2, 200)]
+    rows = L.calibration_rows(spark.createDataFrame(margins, "label int, margin double")).collect()
+    ones = sum(label for label, _ in margins)
+    assert len(rows) == 400 and sum(r["weight"] for r in rows) == pytest.approx(200)
+    expected = {1: (ones + 1) / (ones + 2), 0: 1 / (200 - ones + 2)}
+    found = sorted((float(r["features"][0]), r["weight"]) for r in rows if r["label"] == 1)
+    assert found == [(m, pytest.approx(expected[label])) for label, m in margins]
+
+
+def test_certificates_see_a_model_that_is_not_the_optimum(spark, prepared):
+    train = prepared.filter("is_train = 1")
+    assert L.logistic_certificate(L.fit_logistic(train), train).first()["at_optimum"] == 1
+    assert L.logistic_certificate(L.fit_logistic(train, max_iter=1), train).first()["at_optimum"] == 0
+    reviews = gold_reviews(spark)
+    assert L.text_certificate(L.fit_text_classifier(reviews, "label"), reviews).first()["at_optimum"] == 1
+    assert L.text_certificate(L.fit_text_classifier(reviews, "label", max_iter=1), reviews).first()["at_optimum"] == 0
+    good, early = L.fit_clusters(prepared), L.KMeans(k=3, seed=42, maxIter=1, predictionCol="cluster").fit(prepared)
+    assert tuple(L.cluster_certificate(good, prepared).first()) == (600, 3, 0, 1)
+    assert L.cluster_certificate(early, prepared).first()["centred"] == 0
+
+
+def test_terms_that_share_a_bucket_share_its_coefficient(spark):
+    reviews = gold_reviews(spark)
+    words = L.term_dictionary(reviews, buckets=8).collect()
+    for row in words:
+        own = [r for r in words if r["bucket"] == row["bucket"]]
+        assert row["bucket_terms"] == len(own) and row["bucket_df"] == sum(r["df"] for r in own)
+    assert any(r["bucket_terms"] > 1 for r in words)
+    model = L.fit_text_classifier(reviews, "label", num_features=8)
+    whole = {r["bucket"]: r["coefficient"] for r in model.coefficients(spark).collect()}
+    share = {r["term"]: r["coefficient"] for r in L.text_top_features(model, reviews, k=1000).collect()}
+    for row in words:
+        assert share[row["term"]] == pytest.approx(whole[row["bucket"]] * row["df"] / row["bucket_df"])
+
+
+def test_softmax_with_a_class_that_has_no_rows(spark):
+    reviews = gold_reviews(spark).filter(F.col("label") != K.NEUTRAL)
+    model = L.fit_text_classifier(reviews, "label")
+    assert model.predict(reviews, "p").filter("p = label").count() == reviews.count()

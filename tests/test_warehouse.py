@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shoplayers import constants as K
 from shoplayers.plans import exploration, reports, warehouse
+from shoplayers.sources.files import LayerTables
 
 ODS = (
     "ingest_id long, user_id long, goods_id long, category_id long, behavior string, timestamp string, sex int, "
@@ -170,3 +171,27 @@ def test_describe_matches_pandas(spark):
     for column in ("a", "b"):
         for ours, theirs in names.items():
             assert got[column][ours] == pytest.approx(expected[column][theirs], abs=0.011)
+
+
+def test_checks_read_no_layer_again(spark, tmp_path):
+    """Rows, NULLs and totals are known from the jobs that wrote the layers."""
+    tables = LayerTables(spark, str(tmp_path / "layers"))
+    rows = spark.createDataFrame([(1, None, 3), (None, "x", 4), (1, "y", 5)], "a int, b string, c int")
+    measures = {"null:a": F.count_if(F.col("a").isNull()), "total": F.sum("c")}
+    assert tables.write(rows, "t", measures=measures) == 3
+    assert tables.observed["t"] == {"rows": 3, "null:a": 1, "total": 12}
+    assert tables.write(rows.limit(0), "t", "a", measures) == 0
+    with pytest.raises(ValueError, match="NULLs in {'a': 1}"):
+        tables.observed["t"]["null:a"] = 1
+        warehouse.check_constraints(tables, {"t": 3})
+
+
+def test_lost_totals_are_reported(spark, tmp_path):
+    tables = LayerTables(spark, str(tmp_path / "layers"))
+    totals = {f"total:{b}": 1 for b in ("pv", "cart", "fav", "buy", "gmv")}
+    tables.observed = {"dwd_user_behavior": totals, "dws_user_day": totals | {"total:buy": 2}}
+    built = {"ods_user_behavior": 5, "dwd_user_behavior": 4, "dwd_quarantine": 1, "dws_user_day": 2}
+    with pytest.raises(ValueError, match="total:buy"):
+        warehouse.check_layers(tables, built)
+    with pytest.raises(ValueError, match="quarantine"):
+        warehouse.check_layers(tables, built | {"dwd_quarantine": 0})
