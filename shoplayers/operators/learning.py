@@ -132,7 +132,8 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
 def logistic_certificate(model: LogisticRegressionModel, train: DataFrame, c: float = 1.0) -> DataFrame:
     """Rows and features that `fit_logistic` saw, and whether its coefficients are the optimum."""
     weighted, rows = with_class_weights(train)
-    scored = model.transform(weighted).withColumn("_p", vector_to_array("probability"))
+    share = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin_of(model)))
+    scored = weighted.withColumn("_p", F.array(F.lit(1.0) - share, share))
     flat = largest_gradient(scored, model.coefficientMatrix.toArray(), 1.0 / (c * rows)) <= GRADIENT
     return train.sparkSession.createDataFrame([(rows, model.numFeatures, int(flat))], "rows_cnt long, features int, at_optimum int")
 
@@ -178,8 +179,7 @@ def fit_calibrated_svm(train: DataFrame, folds: int = 5, key: str = "id", c: flo
 
     def margins(fold: int) -> DataFrame:
         model = fit_linear_svm(numbered.filter(F.col("fold") != fold), c)
-        held = model.transform(numbered.filter(F.col("fold") == fold))
-        return held.select("label", positive_margin(held).alias("margin"))
+        return numbered.filter(F.col("fold") == fold).select("label", margin_of(model).alias("margin"))
 
     parts = concurrently([lambda: fit_linear_svm(train, c), *[lambda fold=fold: margins(fold) for fold in range(folds)]])
     rows = durable(calibration_rows(durable(reduce(DataFrame.unionByName, parts[1:]))))
@@ -202,20 +202,20 @@ def calibration_certificate(predicted: DataFrame) -> DataFrame:
     return tested.agg(F.sum("n").alias("rows_cnt"), (F.sum("outside") + F.coalesce(F.sum("falls"), F.lit(0))).alias("violations"))
 
 
-def positive_probability(df: DataFrame) -> Column:
-    return vector_to_array("probability")[1]
+def margin_of(model: LogisticRegressionModel | LinearSVCModel) -> Column:
+    """A linear model's score of the column `features`, as an expression: what a model carries along from fitting stays
+    on the driver."""
+    weights = F.lit([float(v) for v in model.coefficients])
+    products = F.zip_with(vector_to_array("features"), weights, lambda value, weight: value * weight)
+    return F.aggregate(products, F.lit(0.0), lambda total, product: total + product) + F.lit(float(model.intercept))
 
 
-def positive_margin(df: DataFrame) -> Column:
-    return vector_to_array("rawPrediction")[1]
-
-
-def predict(model, df: DataFrame) -> DataFrame:
-    """Predictions with the class and a ranking score, without the vectors."""
-    predicted = model.transform(df)
-    score = positive_probability(predicted) if "probability" in predicted.columns else positive_margin(predicted)
+def predict(model: LogisticRegressionModel | LinearSVCModel, df: DataFrame) -> DataFrame:
+    """Predictions with the class and a ranking score (probability, or margin where there is none), without the vectors."""
+    margin = margin_of(model)
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) if isinstance(model, LogisticRegressionModel) else margin
     kept = [c for c in df.columns if c not in ("features", "weight")]
-    return predicted.select(*kept, F.col("prediction").cast("int").alias("predicted"), score.alias("ranking_score"))
+    return df.select(*kept, (margin > 0).cast("int").alias("predicted"), score.alias("ranking_score"))
 
 
 def evaluate_binary(predicted: DataFrame, label: str = "label") -> DataFrame:
@@ -235,17 +235,20 @@ def fit_clusters(scaled: DataFrame, k: int = 3, seed: int = K.SEED) -> KMeansMod
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-9).fit(scaled)
 
 
-def cluster_certificate(model: KMeansModel, scaled: DataFrame, slack: float = 1e-6) -> DataFrame:
-    """Rows, clusters, rows that are nearer to another centre than to their own, and whether every centre is the mean
-    of its rows: both together are what k-means looks for."""
-    clustered = model.transform(scaled)
-    point = vector_to_array("features")
+def distances_to(centres: Sequence[np.ndarray]) -> Column:
+    """Squared distances of the column `features` to every centre."""
 
     def distance(centre: np.ndarray) -> Column:
-        gaps = F.zip_with(point, F.lit(centre.tolist()), lambda a, b: (a - b) * (a - b))
+        gaps = F.zip_with(vector_to_array("features"), F.lit(centre.tolist()), lambda a, b: (a - b) * (a - b))
         return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
 
-    distances = F.array(*[distance(centre) for centre in model.clusterCenters()])
+    return F.array(*[distance(centre) for centre in centres])
+
+
+def cluster_certificate(model: KMeansModel, scaled: DataFrame, slack: float = 1e-6) -> DataFrame:
+    """Rows, clusters, rows that are nearer to another centre than to their own, and whether every centre is the mean
+    of its rows: both together are what k-means looks for."""
+    clustered, distances = model.transform(scaled), distances_to(model.clusterCenters())
     wrong = F.get(distances, F.col("cluster")) > F.array_min(distances) + F.lit(slack)
     means = clustered.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("wrong"), Summarizer.mean(F.col("features")).alias("mean")

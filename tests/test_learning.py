@@ -220,3 +220,17 @@ def test_softmax_with_a_class_that_has_no_rows(spark):
     reviews = gold_reviews(spark).filter(F.col("label") != K.NEUTRAL)
     model = L.fit_text_classifier(reviews, "label")
     assert model.predict(reviews, "p").filter("p = label").count() == reviews.count()
+
+
+def test_predictions_after_a_job_was_observed(spark, prepared):
+    """An observed job leaves something in the session that no task can take along; predictions must not need it."""
+    from pyspark.sql import Observation
+
+    watch = Observation()
+    spark.range(3).observe(watch, F.count(F.lit(1)).alias("n")).collect()
+    assert watch.get == {"n": 3}
+    train = prepared.filter("is_train = 1")
+    model = L.fit_logistic(train)
+    raw = {r["id"]: r["prediction"] for r in model.setFeaturesCol("features").transform(prepared.limit(0)).collect()}
+    found = L.predict(model, prepared).collect()
+    assert raw == {} and len(found) == 600 and all(r["predicted"] == int(r["ranking_score"] > 0.5) for r in found)
