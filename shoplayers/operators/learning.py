@@ -330,7 +330,7 @@ def model_report(logistic: DataFrame, svm: DataFrame, validation: DataFrame) ->
 # Buckets that terms are hashed into, whatever the vocabulary. A model has one coefficient per class and bucket that
 # passes `min_df`, in a dense index of those: three times 2^16 numbers at most, 1.5 MB.
 TEXT_FEATURES = 1 << 16
-CELLS_PER_TASK = 500_000
+CELLS_PER_TASK = 200_000
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -403,7 +403,7 @@ def fit_text_classifier(
     """
     marked = train.filter(F.col(label).isNotNull())
     marked = durable(marked.select(_buckets(marked, num_features).alias("terms"), _class_index(label).alias("label")))
-    rows = marked.count()
+    weighted, rows = with_class_weights(marked)
     seen = marked.select(F.explode(F.array_distinct("terms")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
     # At most one row a bucket.
     frequent = sorted((int(r["bucket"]), r["df"]) for r in seen.filter(F.col("df") >= min_df).collect())
@@ -411,11 +411,10 @@ def fit_text_classifier(
     weights = [math.log((rows + 1) / (df + 1)) + 1.0 for _, df in frequent] or [0.0]
     scaling = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="counts", outputCol="weighted")
     normal = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-    vectors = normal.transform(scaling.transform(index.transform(marked))).select("features", "label")
+    vectors = normal.transform(scaling.transform(index.transform(weighted))).select("features", "label", "weight")
     tasks = max(1, math.ceil(sum(df for _, df in frequent) / CELLS_PER_TASK))
-    weighted, total = with_class_weights(vectors)
-    table = durable(sparse_rows(weighted).coalesce(tasks))
-    fitted = fit_softmax(table, len(K.CLASSES), len(weights), 1.0 / max(total, 1), tol, max_iter)
+    table = durable(sparse_rows(vectors).coalesce(tasks))
+    fitted = fit_softmax(table, len(K.CLASSES), len(weights), 1.0 / max(rows, 1), tol, max_iter)
     return TextModel(num_features, index, scaling, fitted)
 
 
