@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -17,6 +17,11 @@ WHITE_SPACE = (
 _SPACE = f"[{WHITE_SPACE}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove Unicode white space at both ends."""
     return F.btrim(text, F.lit(WHITE_SPACE))

@@ -39,6 +39,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from shoplayers.functions.columns import let as _let
 from shoplayers.functions.membership import bitmap_of, may_be_member
 from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.llm.common import WORD
@@ -58,11 +59,6 @@ LONG_TEXT = 1 << 21
 PIECE_CHARS = 1 << 16
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _after(values: Column, places: int) -> Column:
     """The array without its first `places` elements."""
     return F.slice(values, places + 1, F.greatest(F.size(values), F.lit(1)))

@@ -8,36 +8,41 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplayers import constants as K
-from shoplayers.functions.columns import sentiment_band, strip, word_characters
+from shoplayers.functions.columns import let, sentiment_band, strip, word_characters
 from shoplayers.functions.skew import join_counted_lookup
 from shoplayers.operators.cleaning import keep_first
 from shoplayers.session import durable, stored
 
 # A fitted token table of up to this many bytes may be broadcast.
 BROADCAST_BYTES = 64 << 20
-_SHOP_TERMS = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
-_BREAK = "\x01"
+_SHOP_TERMS = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))  # all of Han characters
+# Sets name ASCII first, so most characters are settled without a look at the tables of scripts.
+_OTHER = r"[[A-Za-z0-9_][\p{L}\p{N}&&\P{IsHan}]]"
+_HAN = r"[[^\x00-\x7F]&&\p{IsHan}]"
+# A run of digits alone is passed over: it leaves the group empty.
+_TOKEN = rf"\p{{Nd}}++(?!{_OTHER})|({_OTHER}{_OTHER}+|(?={_HAN})(?:{_SHOP_TERMS}|{_HAN}(?!{_SHOP_TERMS}){_HAN}))"
 
 
 def tokens(text: Column) -> Column:
     """Tokens of two or more characters that are neither stop words nor digits.
 
-    Shop terms are set apart first, the longest first, so nothing before a term can take part of it.
-    What remains gives pairs of Han characters and words of other characters.
+    Shop terms come first, the longest first, and nothing before a term can take part of it.
+    What remains gives pairs of Han characters and words of other characters. One pass over the text.
     """
-    apart = F.regexp_replace(text, f"({_SHOP_TERMS})", f"{_BREAK}$1{_BREAK}")
-    pattern = rf"{_SHOP_TERMS}|\p{{IsHan}}{{2}}|[\p{{L}}\p{{N}}_&&\P{{IsHan}}]{{2,}}"
-    found = F.regexp_extract_all(apart, F.lit(pattern), F.lit(0))
-    return F.filter(found, lambda w: ~w.isin(*K.STOP_WORDS) & ~w.rlike(r"^\p{Nd}+$"))
+    found = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1))
+    return F.filter(found, lambda w: ~w.isin("", *K.STOP_WORDS))
 
 
 def terms(text: Column) -> Column:
     """Lower-case tokens and pairs of neighbouring tokens."""
-    words = tokens(F.lower(text))
-    pairs = F.zip_with(
-        words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b)
-    )
-    return F.concat(words, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+
+    def with_pairs(words: Column) -> Column:
+        pairs = F.zip_with(
+            words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)
+        )
+        return F.concat(words, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+
+    return let(tokens(F.lower(text)), with_pairs)
 
 
 # --- cleaning ----------------------------------------------------------------------------------

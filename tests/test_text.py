@@ -193,3 +193,35 @@ def test_split_and_folds(spark):
     folds = sampling.fold_ids(df)
     sizes = [r["count"] for r in folds.groupBy("label", "fold").count().collect()]
     assert sorted(sizes) == [50] * 5 + [150] * 5
+
+
+# --- tokens in one pass ----------------------------------------------------------------------------
+
+
+def times_evaluated(expression, df) -> int:
+    return df.select(expression.alias("found"))._jdf.queryExecution().analyzed().toString().count("regexp_")
+
+
+def test_a_text_is_searched_for_tokens_once(spark):
+    df = spark.createDataFrame([("a b",)], "comment string")
+    assert times_evaluated(text.tokens(F.col("comment")), df) == 1
+    assert times_evaluated(text.terms(F.col("comment")), df) == 1
+
+
+def test_tokens_are_those_of_terms_set_apart_first(spark):
+    parts = ["aZ_9", "é", "ß3", "٣٤", "12", "½", "Ⅷ", "一", "好", "的", "𠀀", "カ", " ", "\n", "\x01", "，", "物流", "发货速度", "快递小哥", "快", "没有"]
+    texts = ["".join(parts[(i * 7 + k * (i % 11 + 1) + k * k) % len(parts)] for k in range(i % 9)) for i in range(600)]
+    df = spark.createDataFrame([(t,) for t in [None, *texts]], "comment string")
+    shop = "|".join(sorted(K.DOMAIN_TERMS, key=len, reverse=True))
+    apart = F.regexp_replace("comment", f"({shop})", "\x01$1\x01")
+    pattern = rf"{shop}|\p{{IsHan}}{{2}}|[\p{{L}}\p{{N}}_&&\P{{IsHan}}]{{2,}}"
+    found = F.filter(F.regexp_extract_all(apart, F.lit(pattern), F.lit(0)), lambda w: ~w.isin(*K.STOP_WORDS) & ~w.rlike(r"^\p{Nd}+$"))
+    both = df.select("comment", found.alias("expected"), text.tokens(F.col("comment")).alias("found"))
+    assert both.filter(F.size("expected") > 0).count() > 300
+    assert both.filter(~F.col("expected").eqNullSafe(F.col("found"))).collect() == []
+
+
+def test_pairs_follow_the_words(spark):
+    df = spark.createDataFrame([(1, "Ab 12 cd EF"), (2, "ab"), (3, ""), (4, None)], "id int, comment string")
+    found = {r["id"]: r["terms"] for r in df.select("id", text.terms(F.col("comment")).alias("terms")).collect()}
+    assert found == {1: ["ab", "cd", "ef", "ab cd", "cd ef"], 2: ["ab"], 3: [], 4: None}
