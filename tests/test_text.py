@@ -225,3 +225,13 @@ def test_pairs_follow_the_words(spark):
     df = spark.createDataFrame([(1, "Ab 12 cd EF"), (2, "ab"), (3, ""), (4, None)], "id int, comment string")
     found = {r["id"]: r["terms"] for r in df.select("id", text.terms(F.col("comment")).alias("terms")).collect()}
     assert found == {1: ["ab", "cd", "ef", "ab cd", "cd ef"], 2: ["ab"], 3: [], 4: None}
+
+
+def test_terms_are_counted_by_as_many_tasks_as_the_texts_need(spark):
+    rows = [(None if i % 7 == 0 else i, f"{'word' * 40} t{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "ingest_id long, comment string").coalesce(1)
+    spread = text.spread_texts(df, "ingest_id", "comment", bytes_per_task=1000)
+    assert spread.rdd.getNumPartitions() == math.ceil(sum(len(t) for _, t in rows) / 1000)
+    assert spread.rdd.glom().map(len).max() < 40
+    assert sorted(map(str, spread.collect())) == sorted(map(str, df.collect()))
+    assert text.spread_texts(df.filter("false"), "ingest_id").count() == 0
