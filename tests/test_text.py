@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -235,3 +236,19 @@ def test_terms_are_counted_by_as_many_tasks_as_the_texts_need(spark):
     assert spread.rdd.glom().map(len).max() < 40
     assert sorted(map(str, spread.collect())) == sorted(map(str, df.collect()))
     assert text.spread_texts(df.filter("false"), "ingest_id").count() == 0
+
+
+def test_ascii_words_need_no_ranges_and_no_tables_of_scripts(spark):
+    """A word of ASCII is found by the first branch alone; all branches together find what sets in the other order found."""
+    shop, han = text._SHOP_TERMS, text._HAN
+    other = r"[[A-Za-z0-9_][\p{L}\p{N}&&\P{IsHan}]]"
+    before = rf"\p{{Nd}}++(?!{other})|({other}{other}+|(?={han})(?:{shop}|{han}(?!{shop}){han}))"
+    assert "A-Z" not in text._TOKEN and r"\p{" not in text._ASCII_WORD
+    parts = ["a", "Z9", "_", "1", "12", "é", "٣", "½", "Ⅷ", "好", "的物流", "快递员", "々", "⺀", "𠀀", "一", " ", "-", "\x85", "１", "ab", "カ"]
+    texts = ["".join(parts[(i // len(parts) ** k) % len(parts)] for k in range(3)) for i in range(len(parts) ** 3)]
+    df = spark.createDataFrame([(t,) for t in texts], "comment string")
+    found = [F.filter(F.regexp_extract_all("comment", F.lit(p), F.lit(1)), lambda w: w != "") for p in (before, text._TOKEN)]
+    assert df.filter(found[0] != found[1]).collect() == [] and df.filter(F.size(found[1]) > 0).count() > 5000
+    ascii_only = df.filter(F.octet_length("comment") == F.length("comment"))
+    starts = F.filter(F.regexp_extract_all("comment", F.lit(rf"({text._ASCII_WORD})"), F.lit(1)), lambda w: w != "")
+    assert ascii_only.filter(F.col("comment").rlike("^[a-zA-Z_]{2,}$") & (starts != found[1])).collect() == []
