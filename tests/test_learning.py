@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import functions as F
 
 from shoplayers import constants as K
-from shoplayers.operators import learning as L, sampling
+from shoplayers.operators import learning as L, sampling, softmax
 
 FEATURES = K.FEATURES
 
@@ -234,3 +235,43 @@ def test_predictions_after_a_job_was_observed(spark, prepared):
     raw = {r["id"]: r["prediction"] for r in model.setFeaturesCol("features").transform(prepared.limit(0)).collect()}
     found = L.predict(model, prepared).collect()
     assert raw == {} and len(found) == 600 and all(r["predicted"] == int(r["ranking_score"] > 0.5) for r in found)
+
+
+def test_the_solver_takes_few_tasks_and_packed_rows(spark, monkeypatch):
+    assert [L.solver_tasks(cells, 12) for cells in (0, 200_001, 60_000_000, 400_000_000)] == [1, 2, 24, 100]
+    seen = []
+    monkeypatch.setattr(L, "fit_softmax", lambda rows, *rest: seen.append(rows) or softmax.fit_softmax(rows, *rest))
+    reviews = gold_reviews(spark).repartition(6)
+    L.fit_text_classifier(reviews, "label")
+    assert seen[0].rdd.getNumPartitions() == 1 and seen[0].count() < reviews.count()
+    packed = seen[0].collect()
+    assert sum(len(row["label"]) // 8 for row in packed) == 90
+    assert sum(len(row["places"]) for row in packed) == sum(sum(np.frombuffer(row["sizes"], np.int64)) for row in packed)
+
+
+def test_long_reviews_and_reviews_without_terms_are_blocks_too(spark, monkeypatch):
+    monkeypatch.setattr(softmax, "BLOCK", 10)
+    assert list(softmax._stretches(np.array([3, 7, 0, 11, 0, 25]))) == [(0, 3), (3, 4), (4, 5), (5, 6)]
+    rows = [([1, 5, 1, 7], 0, 1.0), ([], 1, 1.0), (None, 2, 1.0), ([5] * 300, 1, 2.0), ([9], 2, 1.0)]
+    df = spark.createDataFrame(rows, "buckets array<int>, label int, weight double").coalesce(1)
+    numbered = softmax.Scaling(np.array([-1, 0, -1, -1, -1, 1, -1, 2, -1, -1], np.int32), np.array([1.0, 2.0, 3.0]))
+    x = np.array([[2, 2, 3], [0, 0, 0], [0, 0, 0], [0, 600, 0], [0, 0, 0]], float)
+    x /= np.maximum(np.linalg.norm(x, axis=1), 1e-300)[:, None]
+    weights = np.arange(12.0).reshape(3, 4) / 10
+    odds = np.exp(x @ weights[:, :-1].T + weights[:, -1])
+    p, y, w = odds / odds.sum(axis=1, keepdims=True), np.eye(3)[[0, 1, 2, 1, 2]], np.array([1.0, 1, 1, 2, 1])
+    loss, slope = softmax._gradient(numbered.blocks(df), numbered.scale, weights)
+    assert loss == pytest.approx(-(w * np.log((p * y).sum(axis=1))).sum())
+    error = (p - y) * w[:, None]
+    assert slope == pytest.approx(np.c_[error.T @ x, error.sum(axis=0)])
+    model = softmax.SoftmaxModel(DenseMatrix(3, 3, weights[:, :-1].reshape(-1, order="F")), DenseVector(weights[:, -1]))
+    found = [r[0] for r in df.select(model.probabilities_of(F.col("buckets"), numbered, spark)).collect()]
+    assert np.array(found) == pytest.approx(p)
+
+
+def test_margin_model_gathers_its_rows_once(prepared, monkeypatch):
+    seen = []
+    fit = L.LinearSVC.fit
+    monkeypatch.setattr(L.LinearSVC, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    L.fit_linear_svm(prepared.repartition(7))
+    assert seen == [1]
