@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shoplayers.functions.columns import let
+
 BITS = 23  # a megabyte
 _WORD_BITS = 6
 
@@ -36,13 +38,14 @@ def bitmap_of(keys: DataFrame, key_hash: Column, bits: int = BITS) -> Column:
     stretches = united.groupBy(F.shiftright("word", half).alias("stretch")).agg(stretch.alias("held"))
     # Words that no key has are 0; a stretch becomes an array of all its words.
     number = F.sequence(F.lit(0), F.lit((1 << half) - 1))
-    known = F.map_from_entries("held")
-    filled = F.transform(
-        number, lambda i: F.coalesce(F.try_element_at(known, F.shiftleft(F.col("stretch"), half) + i), F.lit(0).cast("long"))
-    )
-    filled = stretches.select("stretch", filled.alias("bits"))
+    zero = F.lit(0).cast("long")
+
+    def all_words(known: Column) -> Column:
+        return F.transform(number, lambda i: F.coalesce(F.try_element_at(known, F.shiftleft(F.col("stretch"), half) + i), zero))
+
+    filled = stretches.select("stretch", let(F.map_from_entries("held"), all_words).alias("bits"))
     every = keys.sparkSession.range(words >> half).select(F.col("id").alias("stretch"))
-    empty = F.array_repeat(F.lit(0).cast("long"), 1 << half)
+    empty = F.array_repeat(zero, 1 << half)
     whole = every.join(filled, "stretch", "left").select("stretch", F.coalesce("bits", empty).alias("bits"))
     ordered = whole.agg(F.sort_array(F.collect_list(F.struct("stretch", "bits"))).alias("all"))
     return ordered.select(F.flatten(F.transform("all", lambda s: s["bits"]))).scalar()

@@ -1,8 +1,8 @@
 """Quality rules: counts with fixed limits, and a log-likelihood ratio against the raw corpus.
 
-Every count of a document comes from its own row, by array functions; nothing is shuffled for them. Runs
-of eight words that occur twice are first looked for by 64-bit hashes; only documents where two hashes
-agree compare the words themselves, so hashing costs no exactness.
+Every count of a document comes from its own row, by array functions; no text is shuffled for them. Runs
+of eight words that occur twice are first looked for by 64-bit hashes, of four words and then of eight; where
+two hashes agree the words themselves are compared, so hashing costs no exactness.
 
 The ratio follows importance resampling with hashed n-grams (Xie et al., "Data Selection for Language Models
 via Importance Resampling", 2023): a document's words and its pairs of neighbouring words are hashed into 2^BUCKET_BITS
@@ -35,7 +35,8 @@ names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -52,6 +53,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 BUCKET_BITS = 20
+LANE_BITS = 4
+PLACE_BITS = 24
 SMOOTHING = 16384.0
 MIN_SCORE = -0.5
 UNIT = 1 << 20
@@ -69,9 +72,9 @@ def _shifted(values: Column, first: Column) -> Column:
     return F.slice(F.concat(F.array(first), values), 1, F.size(values))
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words in runs of eight that occur twice or more: sort (run, place), mark runs equal to a
-    neighbour, unite the places they cover."""
+def _covered(ordered: Column, as_next: Column) -> Column:
+    """Words covered by the runs that equal a neighbour. `ordered` holds their places, equal runs side by side, and
+    `as_next` whether a run is equal to the next."""
 
     def covered(places: Column) -> Column:
         lengths = F.zip_with(
@@ -79,47 +82,92 @@ def _repeated_words(words: Column) -> Column:
         )
         return F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
 
-    def marked(ordered: Column, as_next: Column) -> Column:
-        twice = F.zip_with(as_next, _shifted(as_next, F.lit(False)), lambda a, b: a | b)
-        places = F.zip_with(ordered, twice, lambda pair, two: F.when(two, pair["place"]))
-        return _let(F.sort_array(F.filter(places, lambda place: place.isNotNull())), covered)
+    twice = F.zip_with(as_next, _shifted(as_next, F.lit(False)), lambda a, b: a | b)
+    places = F.zip_with(ordered, twice, lambda place, two: F.when(two, place))
+    return _let(F.sort_array(F.filter(places, lambda place: place.isNotNull())), covered)
+
+
+def _repeated_words(words: Column) -> Column:
+    """Words in runs of eight that occur twice or more: sort (run, place), mark runs equal to a
+    neighbour, unite the places they cover."""
 
     def compared(ordered: Column) -> Column:
         equal = F.zip_with(ordered, _after(ordered, 1), lambda a, b: F.coalesce(a["run"] == b["run"], F.lit(False)))
-        return _let(equal, lambda as_next: marked(ordered, as_next))
+        return _let(equal, lambda as_next: _covered(ordered["place"], as_next))
 
     def placed(runs: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(runs) - 1)
-        return _let(F.sort_array(F.zip_with(runs, places, lambda w, i: F.struct(w.alias("run"), i.alias("place")))), compared)
+        return F.sort_array(F.transform(runs, lambda run, i: F.struct(run.alias("run"), i.alias("place"))))
 
     def doubled(runs: Column, places: int) -> Column:
         """Runs of eight words, by doubling into pairs, fours and eights."""
         if places == WINDOW:
-            return placed(F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0))))
+            return _let(placed(F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0)))), compared)
         longer = F.zip_with(runs, _after(runs, places), lambda a, b: F.concat(a, F.lit(" "), b))
         return _let(longer, lambda joined: doubled(joined, 2 * places))
 
     return _let(words, lambda single: doubled(single, 1))
 
 
-def _hashed(text: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
-    """`body` of a text's words, their hashes, and the hashes of each word with the next.
+def _four_hashes(hashes: Column) -> Column:
+    """Hashes of all runs of four words, from the hashes of the words."""
 
-    The last pair has no next word; whoever counts pairs leaves it out.
-    """
+    def fours(pairs: Column) -> Column:
+        runs = F.zip_with(pairs, _after(pairs, 2), lambda a, b: F.xxhash64(a, b))
+        return F.slice(runs, 1, F.greatest(F.size(pairs) - 3, F.lit(0)))
+
+    return _let(F.zip_with(hashes, _after(hashes, 1), lambda a, b: F.xxhash64(a, b)), fours)
+
+
+def _repeated_by_hash(words: Column, fours: Column) -> Column:
+    """What `_repeated_words` says, by the hashes of runs: a hash and its place share a number, as numbers sort far faster
+    than structs or words. Neighbours with one hash compare their words. NULL if those differ, or places have no room."""
+    places = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    hashes = F.lit(-(1 << PLACE_BITS)).cast("long")
+
+    def equal(a: Column, b: Column) -> Column:
+        first, second = a.bitwiseAND(places).cast("int"), b.bitwiseAND(places).cast("int")
+        pairs = [F.get(words, first + i) == F.get(words, second + i) for i in range(WINDOW)]
+        return F.when(a.bitwiseAND(hashes) == b.bitwiseAND(hashes), reduce(and_, pairs))
+
+    def compared(ordered: Column) -> Column:
+        return _let(F.zip_with(ordered, _after(ordered, 1), equal), lambda known: checked(ordered, known))
+
+    def checked(ordered: Column, same: Column) -> Column:
+        as_next = F.transform(same, lambda known: known.isNotNull())
+        proven = F.forall(same, lambda known: F.coalesce(known, F.lit(True)))
+        at = F.transform(ordered, lambda number: number.bitwiseAND(places).cast("int"))
+        return F.when(proven, _let(as_next, lambda marks: _covered(at, marks)))
 
-    def paired(words: Column, single: Column) -> Column:
-        pairs = F.zip_with(single, _after(single, 1), lambda a, b: F.xxhash64(a, b))
-        return _let(pairs, lambda pair: body(words, single, pair))
+    eights = F.zip_with(fours, _after(fours, 4), lambda a, b: F.xxhash64(a, b))
+    eights = F.slice(eights, 1, F.greatest(F.size(fours) - 4, F.lit(0)))
+    numbers = F.transform(eights, lambda run, i: run.bitwiseAND(hashes).bitwiseOR(i.cast("long")))
+    return F.when(F.size(fours) <= 1 << PLACE_BITS, _let(F.sort_array(numbers), compared))
 
-    def hashed(words: Column) -> Column:
-        return _let(F.transform(words, lambda w: F.xxhash64(w)), lambda single: paired(words, single))
 
-    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)), hashed)
+def _repeats(words: Column, fours: Column) -> Column:
+    """Words in runs of eight that occur twice or more. A run that occurred before brings five fours that did, so texts
+    with fewer have none."""
+    some = F.size(fours) - F.size(F.array_distinct(fours)) >= WINDOW - 3
+    return F.when(some, F.coalesce(_repeated_by_hash(words, fours), _repeated_words(words))).otherwise(F.lit(0))
 
 
-def _real_pairs(pairs: Column) -> Column:
-    return F.slice(pairs, 1, F.greatest(F.size(pairs) - 1, F.lit(0)))
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _gram_numbers(hashes: Column) -> Column:
+    """0 to 2 * words - 2: even ones stand for words, odd ones for pairs. NULL without words."""
+    return F.when(F.size(hashes) > 0, F.sequence(F.lit(0), 2 * F.size(hashes) - 2))
+
+
+def _gram(hashes: Column, number: Column) -> Column:
+    """The hash of a word, or of a word and the next, by `_gram_numbers`."""
+    here = F.get(hashes, F.shiftright(number, 1))
+    return F.when(number.bitwiseAND(1) == 0, here).otherwise(F.xxhash64(here, F.get(hashes, F.shiftright(number, 1) + 1)))
 
 
 def _line_and_sign_counts(content: Column) -> list[Column]:
@@ -130,40 +178,38 @@ def _line_and_sign_counts(content: Column) -> list[Column]:
     ]
 
 
-def _measures(text: Column, table: Column, bits: int) -> Column:
-    """The base counts, n_grams and ratio_sum of a text, as a struct.
+def _measures(short: DataFrame, table: Column, bits: int) -> DataFrame:
+    """The base counts, n_grams and ratio_sum of every row. `table` holds the ratios by bucket.
 
-    `table` holds the ratios by bucket. It is named once: so the optimizer moves the subquery behind it to this
-    place, and the array is never copied into rows.
+    Arrays are columns of their own before anything reads them twice, so each is evaluated once. The words of a row
+    become rows next to each other, whose ratios are summed where they are; only counts and sums are shuffled.
     """
-    content = F.coalesce(text, F.lit(""))
-    mask = F.lit((1 << bits) - 1).cast("long")
-
-    def suspect(pairs: Column) -> Column:
-        def eights(fours: Column) -> Column:
-            runs = F.zip_with(fours, _after(fours, 4), lambda a, b: F.xxhash64(a, b))
-            runs = F.slice(runs, 1, F.greatest(F.size(runs) - (WINDOW - 1), F.lit(0)))
-            return _let(runs, lambda all_: F.size(F.array_distinct(all_)) < F.size(all_))
-
-        return _let(F.zip_with(pairs, _after(pairs, 2), lambda a, b: F.xxhash64(a, b)), eights)
-
-    def summed(ratios: Column, hashes: Column) -> Column:
-        def add(total: Column, h: Column) -> Column:
-            return total + F.get(ratios, h.bitwiseAND(mask).cast("int"))
-
-        return F.aggregate(hashes, F.lit(0).cast("long"), add)
-
-    def counted(words: Column, single: Column, pairs: Column) -> Column:
-        return F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            *_line_and_sign_counts(content),
-            F.when(suspect(pairs), _repeated_words(words)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
-            F.greatest(2 * F.size(words) - 1, F.lit(0)).cast("long").alias("n_grams"),
-            _let(table, lambda ratios: summed(ratios, single) + summed(ratios, _real_pairs(pairs))).alias("ratio_sum"),
-        )
-
-    return _hashed(text, counted)
+    words = short.select("id", F.coalesce("text", F.lit("")).alias("text"), _words(F.col("text")).alias("words"))
+    hashed = words.select("id", "text", "words", _word_hashes(F.col("words")).alias("hashes"))
+    runs = hashed.select("id", "text", "words", "hashes", _four_hashes(F.col("hashes")).alias("fours"))
+    counted = runs.select(
+        F.monotonically_increasing_id().alias("row"),
+        "id",
+        "hashes",
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        *_line_and_sign_counts(F.col("text")),
+        _repeats(F.col("words"), F.col("fours")).cast("long").alias("n_repeat_words"),
+    )
+    base = [name for name in MEASURES if name not in ("n_grams", "ratio_sum")]
+    number = F.when(F.size("hashes") > 0, F.sequence(F.lit(0), F.size("hashes") - 1))
+    places = counted.select("row", "id", *base, "hashes", F.explode_outer(number).alias("place"))
+
+    def ratio(at: Column) -> Column:
+        return F.coalesce(F.get(table, _bucket(at, bits)), F.lit(0).cast("long"))
+
+    here, following = F.get("hashes", F.col("place")), F.get("hashes", F.col("place") + 1)
+    both = ratio(here) + F.when(following.isNotNull(), ratio(F.xxhash64(here, following))).otherwise(F.lit(0).cast("long"))
+    ratios = places.select("row", "id", *base, F.when(F.col("place").isNotNull(), both).alias("ratio"))
+    sums = ratios.groupBy("row", "id").agg(F.sum("ratio").alias("ratio_sum"), *[F.max(name).alias(name) for name in base])
+    return sums.withColumn("n_grams", F.greatest(2 * F.col("n_words") - 1, F.lit(0).cast("long"))).select(
+        "id", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in MEASURES]
+    )
 
 
 # --- long texts ------------------------------------------------------------------------------------
@@ -253,12 +299,35 @@ def gram_counts(
     """(bucket, raw, trusted) of the buckets that occur. `docs` has id and text, `trusted` ids, and `long` the word
     rows of the texts beyond `long_text` with their mark."""
     marked = _marked(docs.filter(~_is_long(F.col("text"), long_text)), trusted)
-    hashes = _hashed(F.col("text"), lambda words, single, pairs: F.concat(single, _real_pairs(pairs)))
-    grams = marked.select("marked", F.explode(hashes).alias("hash"))
+    hashed = marked.select("marked", _word_hashes(_words(F.col("text"))).alias("hashes"))
+    numbered = hashed.select("marked", "hashes", F.explode(_gram_numbers(F.col("hashes"))).alias("number"))
+    grams = numbered.select("marked", _gram(F.col("hashes"), F.col("number")).alias("hash"))
     if long is not None:
         grams = grams.unionByName(_gram_rows(long).select("marked", "hash"))
-    buckets = grams.select("marked", _bucket(F.col("hash"), bits).alias("bucket"))
-    return buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("marked").alias("trusted"))
+    return _bucket_counts(grams.select(F.coalesce("marked", F.lit(0)).alias("marked"), _bucket(F.col("hash"), bits).alias("bucket")))
+
+
+def _bucket_counts(buckets: DataFrame) -> DataFrame:
+    """(bucket, raw, trusted) of rows with `bucket` and `marked`, 1 or 0.
+
+    A row counts 2^LANE_BITS neighbouring buckets, a column each: a task then holds 2^16 rows, which stay in Spark's fast
+    hash map, instead of 2^20.
+    """
+    lanes = range(1 << LANE_BITS)
+    lane = F.col("bucket").bitwiseAND(F.lit(len(lanes) - 1))
+    spread = buckets.select("marked", F.shiftright("bucket", LANE_BITS).alias("stretch"), lane.alias("lane"))
+    counts = spread.groupBy("marked", "stretch").agg(*[F.count(F.when(F.col("lane") == i, 1)).alias(f"lane{i}") for i in lanes])
+
+    def both(i: int) -> list[Column]:
+        trusted = F.sum(F.when(F.col("marked") == 1, F.col(f"lane{i}")).otherwise(F.lit(0).cast("long")))
+        return [F.sum(f"lane{i}").alias(f"raw{i}"), trusted.alias(f"trusted{i}")]
+
+    whole = counts.groupBy("stretch").agg(*[column for i in lanes for column in both(i)])
+    first = F.shiftleft("stretch", LANE_BITS)
+    cells = [
+        F.struct((first + i).alias("bucket"), F.col(f"raw{i}").alias("raw"), F.col(f"trusted{i}").alias("trusted")) for i in lanes
+    ]
+    return whole.select(F.inline(F.array(*cells))).filter("raw > 0")
 
 
 def likelihood_ratios(counts: DataFrame) -> DataFrame:
@@ -306,8 +375,7 @@ def judge(
         marks = long.select("key", "id").join(trusted.withColumn("marked", F.lit(1)), "id", "left").select("key", "marked")
         words = durable(_word_rows(long).join(marks, "key"))
     ratios = durable(likelihood_ratios(durable(gram_counts(rows, trusted, words, bits, long_text))))
-    short = rows.filter(~_is_long(F.col("text"), long_text)).withColumn("table", _ratio_table(ratios, bits))
-    measured = short.select("id", _measures(F.col("text"), F.col("table"), bits).alias("m")).select("id", "m.*")
+    measured = _measures(rows.filter(~_is_long(F.col("text"), long_text)), _ratio_table(ratios, bits), bits)
     if words is not None:
         measured = measured.unionByName(_long_measures(long, words, ratios, bits))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
