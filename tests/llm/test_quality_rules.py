@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from shoplayers.llm import quality_rules as qr
 
@@ -134,3 +135,35 @@ def test_a_long_text_with_one_id_beside_others(spark):
     found = sorted(((r["doc_id"], r["n_words"], r["n_repeat_words"], r["n_grams"]) for r in qr.judge(docs, docs.select("doc_id").limit(1)).collect()), key=repr)
     expected = [(1, 500_000, 500_000, 999_999), (1, 2, 0, 3), (None, 500_000, 500_000, 999_999), (2, 0, 0, 0), (3, 1, 0, 1)]
     assert found == sorted(expected, key=repr)
+
+
+def test_runs_with_one_hash_are_told_apart_by_their_words(spark):
+    draw, texts = random.Random(11), []
+    for _ in range(20):
+        texts.append(" ".join(draw.choice("abc") for _ in range(draw.randint(20, 60))))
+    texts += [" ".join(f"w{i}" for i in range(40)), " ".join(f"w{i % 12}" for i in range(40)), "w " * 30]
+    docs = spark.createDataFrame([(i, text.split()) for i, text in enumerate(texts)], "i long, words array<string>")
+    for seen in ("transform(words, w -> xxhash64(w))", "array_repeat(7L, size(words))"):  # the second: all hashes are equal
+        fours = docs.withColumn("hashes", F.expr(seen)).withColumn("fours", qr._four_hashes(F.col("hashes")))
+        by_hash = qr._repeated_by_hash(F.col("words"), F.col("fours")).alias("by_hash")
+        found = fours.select("i", by_hash, qr._repeats(F.col("words"), F.col("fours")).alias("n")).collect()
+        assert {r["i"]: r["n"] for r in found} == {i: base(text)[4] for i, text in enumerate(texts)}
+        alike = {r["i"] for r in found if r["by_hash"] is None}
+        assert all(r["by_hash"] in (None, r["n"]) for r in found)
+        assert len(texts) - 1 not in alike and bool(alike) == seen.startswith("array_repeat")
+
+
+def test_a_row_counts_neighbouring_buckets(spark):
+    draw = random.Random(12)
+    rows = [(draw.randint(0, 3000), " ".join(f"w{draw.randint(0, 900)}" for _ in range(draw.randint(0, 40)))) for _ in range(90)]
+    docs, trusted = spark.createDataFrame(rows, "id long, text string"), sorted({i for i, _ in rows if i % 3 == 0})
+    marks = spark.createDataFrame([(i,) for i in trusted], "id long")
+    for bits in (2, 9, 12):
+        counts = qr.gram_counts(docs, marks, None, bits)
+        raw, good = Counter(), Counter()
+        for i, text in rows:
+            raw.update(grams(text, bits))
+            good.update(grams(text, bits) if i in trusted else [])
+        assert {r["bucket"]: (r["raw"], r["trusted"]) for r in counts.collect()} == {b: (raw[b], good[b]) for b in raw}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[bucket#", plan) and re.search(r"Aggregate \[marked#\d+, stretch#", plan)

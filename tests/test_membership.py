@@ -26,3 +26,9 @@ def test_no_keys_and_null_keys(spark):
     null_hash = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
     bitmap = bitmap_of(rows, null_hash, 12)
     assert [r["id"] for r in rows.filter(may_be_member(bitmap, null_hash, 12)).collect()] == [1]
+
+
+def test_a_stretch_makes_its_map_once(spark):
+    keys = spark.range(10).select(F.xxhash64("id").alias("h"))
+    plan = spark.range(1).select(bitmap_of(keys, F.col("h")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" in plan and "element_at(map_from_entries" not in plan
