@@ -275,3 +275,59 @@ def test_margin_model_gathers_its_rows_once(prepared, monkeypatch):
     monkeypatch.setattr(L.LinearSVC, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
     L.fit_linear_svm(prepared.repartition(7))
     assert seen == [1]
+
+
+def test_models_of_all_folds_share_the_passes_and_equal_models_fitted_alone(spark, monkeypatch):
+    rows = gold_reviews(spark).filter("ingest_id % 4 <> 2 OR label <> '中性'")
+    numbered = L.with_buckets(sampling.fold_ids(rows, key="ingest_id", folds=3)).persist()
+    passes = []
+    one_pass = softmax._gradients
+    monkeypatch.setattr(softmax, "_gradients", lambda *given: passes.append(len(given[-1])) or one_pass(*given))
+    models, together = L.fit_on_folds(numbered, "label", 3, tol=1e-6), len(passes)
+    assert passes[0] == 3 and sum(passes) > 2 * together
+    for fold, model in enumerate(models):
+        alone = L.fit_text_classifier(numbered.filter(F.col("fold") != fold), "label", tol=1e-6)
+        values = model.classifier.coefficientMatrix.toArray()
+        own = {bucket: values[:, model.numbered.places[bucket]] for bucket in alone.vocabulary}
+        assert np.array(list(own.values())).T == pytest.approx(alone.classifier.coefficientMatrix.toArray(), abs=1e-4)
+        assert model.classifier.interceptVector.toArray() == pytest.approx(alone.classifier.interceptVector.toArray(), abs=1e-4)
+        expected = {r["ingest_id"]: r["p_negative"] for r in alone.predict(numbered, "p").collect()}
+        assert {r["ingest_id"]: r["p_negative"] for r in model.predict(numbered, "p").collect()} == pytest.approx(expected, abs=1e-4)
+    assert len(passes) - together > 2 * together
+
+
+def test_folds_without_rows_or_terms(spark):
+    few = gold_reviews(spark, 2).withColumn("comment", F.when(F.col("ingest_id") == 0, F.col("comment")))
+    assert sorted((r["ingest_id"], r["cv_label"]) for r in L.text_out_of_fold(few).collect()) == [(0, K.NEGATIVE), (1, K.NEGATIVE)]
+    assert L.text_out_of_fold(few.filter("false")).count() == 0
+
+
+def test_buckets_that_are_known_need_no_texts(spark):
+    reviews = gold_reviews(spark)
+    known = L.with_buckets(reviews).drop("comment").persist()
+    model, same = L.fit_text_classifier(reviews, "label"), L.fit_text_classifier(known, "label")
+    assert np.array_equal(model.vocabulary, same.vocabulary)
+    assert same.classifier.coefficientMatrix.toArray() == pytest.approx(model.classifier.coefficientMatrix.toArray())
+    assert L.text_certificate(same, known).collect() == L.text_certificate(model, reviews).collect()
+    p = [{r["ingest_id"]: r["p_negative"] for r in model.predict(df, "p").collect()} for df in (reviews, known)]
+    assert p[0] == pytest.approx(p[1])
+    lacking = L.with_buckets(reviews).withColumn("buckets", F.when(F.col("ingest_id") < 9, F.col("buckets")))
+    assert {r["ingest_id"]: r["p_negative"] for r in model.predict(lacking, "p").collect()} == pytest.approx(p[0])
+
+
+def test_top_features_of_few_buckets_are_those_of_all(spark, monkeypatch):
+    reviews = gold_reviews(spark)
+    model = L.fit_text_classifier(reviews, "label")
+    counted = []
+    dictionary = L.term_dictionary
+    monkeypatch.setattr(L, "term_dictionary", lambda *given: counted.append(given[-1]) or dictionary(*given))
+    everything = [tuple(r) for r in L.text_top_features(model, reviews, 2, ends=1 << 16).collect()]
+    assert counted == [None] and len(everything) == 4
+    assert [tuple(r) for r in L.text_top_features(model, reviews, 2, ends=8).collect()] == everything
+    assert len(counted) == 2 and len(counted[1]) == 16  # buckets at both ends were enough
+    assert [tuple(r) for r in L.text_top_features(model, reviews, 20, ends=3).collect()] == [
+        tuple(r) for r in L.text_top_features(model, reviews, 20, ends=1 << 16).collect()
+    ]
+    assert [c and len(c) for c in counted[2:]] == [6, None, None]  # 20 terms are not there: all are counted
+    some = {r["term"]: tuple(r) for r in dictionary(reviews, 8, 2, [1, 5]).collect()}
+    assert some == {r["term"]: tuple(r) for r in dictionary(reviews, 8, 2).collect() if r["bucket"] in (1, 5)}
