@@ -1533,9 +1533,9 @@ def lr_pr_curve(spark, folder):
 
 @_query("svm_pr_curve")
 def svm_pr_curve(spark, folder):
-    """Precision and recall at every margin of the linear purchase model on test rows."""
+    """Precision and recall at every margin of the linear purchase model, fitted to all training rows, on test rows."""
     prepared = _prepared(spark, folder)
-    model = learning.fit_linear_svm(prepared.filter("in_subsample = 1"))
+    model = learning.fit_linear_svm(prepared.filter("is_train = 1"))
     predicted = learning.predict(model, prepared.filter("is_train = 0"))
     return evaluation.precision_recall_curve(predicted, F.col("label") == 1, F.col("ranking_score"))
 

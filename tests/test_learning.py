@@ -2,11 +2,12 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import DenseMatrix, DenseVector
+from pyspark.ml.linalg import DenseMatrix, DenseVector, Vectors
 from pyspark.sql import functions as F
 
 from shoplayers import constants as K
 from shoplayers.operators import learning as L, sampling, softmax
+from shoplayers.plans import catalog
 
 FEATURES = K.FEATURES
 
@@ -331,3 +332,13 @@ def test_top_features_of_few_buckets_are_those_of_all(spark, monkeypatch):
     assert [c and len(c) for c in counted[2:]] == [6, None, None]  # 20 terms are not there: all are counted
     some = {r["term"]: tuple(r) for r in dictionary(reviews, 8, 2, [1, 5]).collect()}
     assert some == {r["term"]: tuple(r) for r in dictionary(reviews, 8, 2).collect() if r["bucket"] in (1, 5)}
+
+
+def test_margin_curve_comes_from_all_training_rows(spark, monkeypatch):
+    """The rows of the subsample say the opposite of the other training rows."""
+    rows = [(i, Vectors.dense([float(i % 2)]), i % 2 if i >= 10 else 1 - i % 2, int(i < 60), int(i < 10)) for i in range(80)]
+    table = spark.createDataFrame(rows, ["id", "features", "label", "is_train", "in_subsample"])
+    monkeypatch.setattr(catalog, "_prepared", lambda *_: table)
+    points = [p for p in catalog.svm_pr_curve(spark, "").collect() if p["threshold"] is not None]
+    best = max(points, key=lambda p: p["threshold"])
+    assert len(points) == 2 and (best["precision"], best["recall"]) == (1.0, 1.0)
