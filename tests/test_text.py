@@ -252,3 +252,24 @@ def test_ascii_words_need_no_ranges_and_no_tables_of_scripts(spark):
     ascii_only = df.filter(F.octet_length("comment") == F.length("comment"))
     starts = F.filter(F.regexp_extract_all("comment", F.lit(rf"({text._ASCII_WORD})"), F.lit(1)), lambda w: w != "")
     assert ascii_only.filter(F.col("comment").rlike("^[a-zA-Z_]{2,}$") & (starts != found[1])).collect() == []
+
+
+def test_term_weights_move_texts_and_a_row_per_place_and_term(spark):
+    rows = [(None if i % 9 == 0 else i % 40, None if i == 7 else f"aa bb t{i % 5} aa x{i} bb") for i in range(60)]
+    df = spark.createDataFrame(rows, "ingest_id long, comment string")
+    wanted = {}
+    for i, comment in rows:
+        words = (comment or "").split()
+        wanted.setdefault(i, Counter()).update(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    seen = Counter(t for _, c in rows if c for t in {*c.split(), *(f"{a} {b}" for a, b in zip(c.split(), c.split()[1:]))})
+    found = text.tfidf_weights(df, bytes_per_task=100)
+    got = {r["ingest_id"]: dict(map(tuple, r["weights"])) for r in found.collect()}
+    for i, counts in wanted.items():
+        raw = {t: n * (math.log(61 / (seen[t] + 1)) + 1) for t, n in counts.items() if seen[t] >= 2}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        assert got.get(i, {}) == pytest.approx({t: w / norm for t, w in raw.items()})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(term") == plan.count("hashpartitioning(place") // 2 and "hashpartitioning(ingest_id" not in plan
+    places, tasks = text._placed_texts(df, 100)
+    dealt = places.repartition(tasks, "place").rdd.glom().map(lambda part: len({r["place"] for r in part})).collect()
+    assert tasks > 5 and max(dealt) == 1
