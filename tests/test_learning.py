@@ -342,3 +342,17 @@ def test_margin_curve_comes_from_all_training_rows(spark, monkeypatch):
     points = [p for p in catalog.svm_pr_curve(spark, "").collect() if p["threshold"] is not None]
     best = max(points, key=lambda p: p["threshold"])
     assert len(points) == 2 and (best["precision"], best["recall"]) == (1.0, 1.0)
+
+
+def test_rows_told_from_gold_rows_take_no_texts_along(spark, monkeypatch):
+    reviews = gold_reviews(spark)
+    seen = []
+    fit = L.fit_text_classifier
+    monkeypatch.setattr(L, "fit_text_classifier", lambda train, *rest, **more: seen.append(train) or fit(train, *rest, **more))
+    gold = reviews.filter("ingest_id < 9")
+    models = [L.fit_on_bands(scored, gold) for scored in (reviews, L.with_buckets(reviews).persist())]
+    alone = fit(reviews.filter("ingest_id >= 9"), "label")
+    for train, model in zip(seen, models):
+        assert train.columns == ["label", "buckets"] and train.count() == reviews.count() - 9
+        assert model.vocabulary == alone.vocabulary
+        assert model.classifier.coefficientMatrix.toArray() == pytest.approx(alone.classifier.coefficientMatrix.toArray(), abs=1e-4)
